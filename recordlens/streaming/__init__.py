@@ -1,0 +1,4 @@
+"""No streaming operator belongs to this library.
+
+The cleaning operators are plain projections, so they take a streaming DataFrame as they are.
+"""

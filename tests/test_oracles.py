@@ -1,0 +1,63 @@
+"""Every registered query against its DuckDB twin."""
+
+import math
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+import pytest
+from __spark_entry__ import oracle_sql, queries
+
+QUERIES, ORACLES = queries(), oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck(medium):
+    connection = duckdb.connect()
+    for path in Path(medium).glob("*.parquet"):
+        connection.execute(f"create view {path.stem} as select * from '{path}'")
+    return connection
+
+
+def plain(value):
+    if value is None or (isinstance(value, float) and math.isnan(value)):
+        return None
+    return value.isoformat() if hasattr(value, "isoformat") else value
+
+
+def rows_of(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(plain(row[i]) for i in order) for row in rows)
+
+
+def kinds(rows):
+    return [{type(value).__name__ for value in column if value is not None} for column in zip(*rows)]
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_matches_oracle(spark, duck, medium, name):
+    result = QUERIES[name](spark, medium)
+    expected = duck.execute(ORACLES[name])
+    columns = [d[0] for d in expected.description]
+    assert sorted(result.columns) == sorted(columns)
+    expected_rows = expected.fetchall()
+    found = rows_of(result.columns, result.collect())
+    wanted = rows_of(columns, expected_rows)
+    assert sum(found.values()) == sum(wanted.values())
+    assert found == wanted, (list((found - wanted).items())[:3], list((wanted - found).items())[:3])
+    assert kinds(found) == kinds(wanted)
+
+
+def test_every_oracle_has_a_query():
+    assert set(ORACLES) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+def test_query_without_oracle_gives_rows(spark, medium, name):
+    assert QUERIES[name](spark, medium).take(1)
+
+
+def test_entry(spark):
+    from __spark_entry__ import entry
+
+    assert entry(spark).count() > 0
