@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 def whole_number(col: Column, target: str) -> Column:
     """Text to a whole-number type: ``'20'`` and ``'20.7'`` give 20, anything else null.
 
-    The fraction is cut from the text, not through a double, so a BIGINT keeps all its digits. A zero
-    is put before the digits so that ``'.5'`` has some. Values out of the target's range are null.
+    Plain whole numbers take the direct cast. For the rest the fraction is cut from the text, not
+    through a double, so a BIGINT keeps all its digits; a zero is put before the digits so that
+    ``'.5'`` has some. Values out of the target's range are null.
     """
-    return F.regexp_replace(F.trim(col), r"^([+-]?)([0-9]*)\.[0-9]*$", "$10$2").try_cast(target)
+    cut = F.regexp_replace(F.trim(col), r"^([+-]?)([0-9]*)\.[0-9]*$", "$10$2")
+    return F.coalesce(col.try_cast(target), cut.try_cast(target))
 
 
 def repair_shifted(col: Column, donor: Column, sentinel: str = "False", length: int | None = None) -> Column:

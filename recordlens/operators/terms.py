@@ -14,6 +14,7 @@ from recordlens.sources.scratch import materialize
 
 # monotonically_increasing_id() keeps the row number within a partition in its lower 33 bits.
 _ROW_BITS = 33
+_SHORT_LIMIT = 10_000
 
 
 def add_tokens(df: DataFrame, text: str = "text", name: str = "tokens", *, unicode: bool = False) -> DataFrame:
@@ -22,10 +23,15 @@ def add_tokens(df: DataFrame, text: str = "text", name: str = "tokens", *, unico
 
 
 def remove_stop_words(
-    df: DataFrame, column: str = "tokens", name: str = "filtered", *, stop_words=STOP_WORDS
+    df: DataFrame,
+    column: str = "tokens",
+    name: str = "filtered",
+    *,
+    stop_words=STOP_WORDS,
+    case_sensitive: bool = False,
 ) -> DataFrame:
-    """Add the token list without stop words."""
-    return df.withColumn(name, without_stop_words(F.col(column), stop_words))
+    """Add the token list without stop words. Tokens that are lower case already may be compared as they are."""
+    return df.withColumn(name, without_stop_words(F.col(column), stop_words, case_sensitive=case_sensitive))
 
 
 def count_tokens(df: DataFrame, column: str = "tokens", name: str = "n_tokens") -> DataFrame:
@@ -38,12 +44,14 @@ def term_frequencies(df: DataFrame, key: str, column: str = "filtered") -> DataF
     return df.select(key, F.inline(term_counts(F.col(column))))
 
 
-def vocabulary(df: DataFrame, column: str = "filtered", *, min_df: float = 1, max_terms: int | None = None) -> DataFrame:
+def vocabulary(
+    df: DataFrame, column: str = "filtered", *, min_df: float = 1, max_terms: int | None = None
+) -> DataFrame:
     """``term, count, df``: occurrences and number of documents of each term.
 
     ``min_df`` keeps terms of at least so many documents, or, below 1, of at least that share of
-    them. ``max_terms`` keeps the most frequent terms, equal counts in term order. Terms are counted
-    inside each document first, then per task, and only then shuffled.
+    them. ``max_terms`` keeps the most frequent terms. Terms are counted inside each document first,
+    then per task, and only then shuffled.
     """
     terms = (
         df.select(F.inline(term_counts(F.col(column))))
@@ -55,9 +63,19 @@ def vocabulary(df: DataFrame, column: str = "filtered", *, min_df: float = 1, ma
     elif 0 < min_df < 1:
         n_documents = df.agg(F.count(F.lit(1))).scalar()
         terms = terms.where(F.col("df") >= n_documents * min_df)
-    if max_terms is not None:
-        terms = terms.orderBy(F.desc("count"), "term").limit(max_terms)
-    return terms
+    return terms if max_terms is None else most_frequent(terms, max_terms)
+
+
+def most_frequent(terms: DataFrame, k: int) -> DataFrame:
+    """The ``k`` terms of the highest counts; equal counts in term order.
+
+    A sorted limit sends up to ``k`` rows of every task to one task. That is fine for a short report;
+    above ``10,000`` terms the rows are numbered in a distributed sort instead, which runs a job.
+    """
+    order = [F.desc("count"), F.col("term")]
+    if k <= _SHORT_LIMIT:
+        return terms.orderBy(*order).limit(k)
+    return global_index(terms, *order).where(F.col("index") < k).drop("index")
 
 
 def idf(n_documents: Column, df: Column) -> Column:
@@ -68,15 +86,15 @@ def idf(n_documents: Column, df: Column) -> Column:
 def term_weights(
     df: DataFrame, key: str, column: str = "filtered", *, min_df: float = 1, max_terms: int | None = None
 ) -> DataFrame:
-    """``key, term, tf, df, tfidf`` for every term of every document.
+    """``key, term, tf, df, tfidf`` for every term of every document. Runs a job.
 
-    The documents are read twice: once for the document frequencies, which leave their tasks
-    pre-aggregated, and once for the join. The join carries no hint. Spark measures the finished
-    vocabulary and either broadcasts it or merges the two sides, splitting a term that fills a
-    partition (``spark.sql.adaptive.skewJoin.enabled``).
+    The vocabulary is written to a scratch table first and the documents are read again for the join,
+    which carries no hint: Spark sees the table's size and broadcasts it only below
+    ``spark.sql.autoBroadcastJoinThreshold``. Otherwise both sides are shuffled for this join alone,
+    which is what lets ``spark.sql.adaptive.skewJoin`` split a term that most documents hold.
     """
     n_documents = df.agg(F.count(F.lit(1))).scalar()
-    known = vocabulary(df, column, min_df=min_df, max_terms=max_terms).select("term", "df")
+    known = materialize(vocabulary(df, column, min_df=min_df, max_terms=max_terms).select("term", "df"), "vocabulary")
     return (
         term_frequencies(df, key, column)
         .join(known, "term")

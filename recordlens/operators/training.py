@@ -11,14 +11,14 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from recordlens.operators import features as stages
 from recordlens.operators.clean import drop_missing
 from recordlens.operators.evaluate import f1_evaluator
 from recordlens.operators.split import SPLIT_SEED, split_by_hash
-from recordlens.operators.terms import idf, vocabulary
+from recordlens.operators.terms import idf, most_frequent, vocabulary
 from recordlens.sources.scratch import materialize
 
 # The hyper-parameters that the search tries.
@@ -45,6 +45,7 @@ class Recipe:
     hashed: bool = False
     buckets: int = stages.HASH_BUCKETS
     unseen: str = "keep"
+    max_labels: int = 10_000
     reg_param: float = 0.0
     max_iter: int = 50
     tol: float = 1e-6
@@ -134,15 +135,44 @@ def classification_stages(recipe: Recipe) -> list:
     ]
 
 
+def _check_labels(rows: DataFrame, recipe: Recipe) -> None:
+    """Refuse a category of more labels than the driver should hold and a one-hot vector should have."""
+    counts = rows.agg(*[F.approx_count_distinct(name).alias(name) for name in recipe.categories]).first()
+    for name in recipe.categories:
+        if counts[name] > recipe.max_labels:
+            raise ValueError(f"{name} has about {counts[name]} labels, more than max_labels={recipe.max_labels}")
+
+
+def _by_count(terms: DataFrame) -> list[Row]:
+    """Counted terms on the driver, the most frequent first; the caller bounds their number."""
+    rows = terms.collect()
+    if not rows:
+        raise ValueError("no term occurs in enough documents")
+    return sorted(rows, key=lambda row: (-row["count"], row["term"]))
+
+
+def _counter(rows: list[Row]) -> CountVectorizerModel:
+    return CountVectorizerModel.from_vocabulary([row["term"] for row in rows], "filtered", "rawFeatures")
+
+
 def fit(train: DataFrame, recipe: Recipe) -> PipelineModel:
     """Fit all stages. Runs jobs.
 
     Tokens are computed once and written to a scratch table, because the vocabulary, the weights, the
-    label numbers and the regression each pass over them.
+    label numbers and the regression each pass over them. The vocabulary comes from
+    ``terms.vocabulary``: the rows that reach the driver are bounded by ``vocab_size``, and terms of
+    equal counts have a fixed order.
     """
     tokenize = PipelineModel(token_stages(recipe))
     rows = materialize(tokenize.transform(train).drop("tokens", recipe.text), "tokens")
-    fitted = Pipeline(stages=classification_stages(recipe)[len(tokenize.stages) :]).fit(rows)
+    _check_labels(rows, recipe)
+    counter, weights = term_stages(recipe)
+    if not recipe.hashed:
+        counter = _counter(
+            _by_count(vocabulary(rows, "filtered", min_df=recipe.min_df, max_terms=recipe.vocab_size))
+        )
+    learned = [counter, weights, *category_stages(recipe), assemble_stage(recipe), classifier(recipe)]
+    fitted = Pipeline(stages=learned).fit(rows)
     return PipelineModel([*tokenize.stages, *fitted.stages])
 
 
@@ -186,20 +216,12 @@ class Tuned:
 
 def _term_models(terms: DataFrame, n_documents: int, recipe: Recipe) -> list:
     """Term counts and weighting for one ``min_df``, from counted terms instead of another pass."""
-    kept = (
-        terms.where(F.col("df") >= recipe.min_df)
-        .orderBy(F.desc("count"), "term")
-        .limit(recipe.vocab_size)
-        .select("term", idf(F.lit(n_documents), F.col("df")).alias("idf"))
-        .collect()
-    )
-    if not kept:
-        raise ValueError(f"no term occurs in {recipe.min_df:g} documents")
-    counter = CountVectorizerModel.from_vocabulary([row.term for row in kept], "filtered", "rawFeatures")
+    kept = most_frequent(terms.where(F.col("df") >= recipe.min_df), recipe.vocab_size)
+    rows = _by_count(kept.withColumn("idf", idf(F.lit(n_documents), F.col("df"))))
     weights = ElementwiseProduct(
-        scalingVec=Vectors.dense([row.idf for row in kept]), inputCol="rawFeatures", outputCol="features"
+        scalingVec=Vectors.dense([row["idf"] for row in rows]), inputCol="rawFeatures", outputCol="features"
     )
-    return [counter, weights]
+    return [_counter(rows), weights]
 
 
 def tune(
@@ -229,6 +251,7 @@ def tune(
     fit_rows, check_rows = split_by_hash(rows, key, train_ratio, seed)
     terms = materialize(vocabulary(fit_rows, "filtered", min_df=min(min_dfs)), "terms")
     n_documents = fit_rows.count()
+    _check_labels(fit_rows, recipe)
     categories = Pipeline(stages=category_stages(recipe)).fit(fit_rows)
 
     evaluator = f1_evaluator(recipe.label)

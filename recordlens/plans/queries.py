@@ -309,7 +309,7 @@ def first_goals(spark, folder):
 
 
 def filtered_documents(docs: DataFrame) -> DataFrame:
-    return terms.remove_stop_words(terms.add_tokens(docs))
+    return terms.remove_stop_words(terms.add_tokens(docs), case_sensitive=True)
 
 
 @query

@@ -11,13 +11,20 @@ DATA = Path(os.environ.get("RECORDLENS_TESTDATA", "/root/testdata"))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def shared_folder(tmp_path_factory):
+    return tmp_path_factory.mktemp("shared")
+
+
+@pytest.fixture(scope="session")
+def spark(shared_folder):
     session = (
         SparkSession.builder.master("local[8]")
         .appName("recordlens-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", f"{shared_folder}/")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
