@@ -42,6 +42,7 @@ class Recipe:
     features: str = "join_features"
     min_df: float = 1.0
     vocab_size: int = stages.VOCAB_SIZE
+    unicode: bool = False
     hashed: bool = False
     buckets: int = stages.HASH_BUCKETS
     unseen: str = "keep"
@@ -80,7 +81,7 @@ def training_input(df: DataFrame, recipe: Recipe, *, drop_nulls: bool = False) -
 
 def token_stages(recipe: Recipe) -> list:
     """Tokenizer and stop-word remover; nothing to fit."""
-    return [stages.tokenizer(recipe.text), stages.stop_word_remover()]
+    return [stages.tokenizer(recipe.text, unicode=recipe.unicode), stages.stop_word_remover()]
 
 
 def term_stages(recipe: Recipe) -> list:
@@ -155,13 +156,24 @@ def _counter(rows: list[Row]) -> CountVectorizerModel:
     return CountVectorizerModel.from_vocabulary([row["term"] for row in rows], "filtered", "rawFeatures")
 
 
+def _learning_rows(df: DataFrame, recipe: Recipe, name: str) -> DataFrame:
+    """Label and features only, in a scratch table.
+
+    The assembler describes every single feature in its column's metadata, megabytes that would
+    travel with each task of each iteration. Learning needs none of it, so it is dropped here, and the
+    table cuts the lineage that would travel too.
+    """
+    vector = F.col(recipe.features).alias(recipe.features, metadata={})
+    return materialize(df.select(recipe.label, vector), name)
+
+
 def fit(train: DataFrame, recipe: Recipe) -> PipelineModel:
     """Fit all stages. Runs jobs.
 
-    Tokens are computed once and written to a scratch table, because the vocabulary, the weights, the
-    label numbers and the regression each pass over them. The vocabulary comes from
-    ``terms.vocabulary``: the rows that reach the driver are bounded by ``vocab_size``, and terms of
-    equal counts have a fixed order.
+    Tokens are computed once and written to a scratch table, because the vocabulary, the weights and
+    the label numbers each pass over them; so are the feature vectors, which the regression reads. The
+    vocabulary comes from ``terms.vocabulary``: the rows that reach the driver are bounded by
+    ``vocab_size``, and terms of equal counts have a fixed order.
     """
     tokenize = PipelineModel(token_stages(recipe))
     rows = materialize(tokenize.transform(train).drop("tokens", recipe.text), "tokens")
@@ -171,9 +183,9 @@ def fit(train: DataFrame, recipe: Recipe) -> PipelineModel:
         counter = _counter(
             _by_count(vocabulary(rows, "filtered", min_df=recipe.min_df, max_terms=recipe.vocab_size))
         )
-    learned = [counter, weights, *category_stages(recipe), assemble_stage(recipe), classifier(recipe)]
-    fitted = Pipeline(stages=learned).fit(rows)
-    return PipelineModel([*tokenize.stages, *fitted.stages])
+    described = Pipeline(stages=[counter, weights, *category_stages(recipe), assemble_stage(recipe)]).fit(rows)
+    learned = classifier(recipe).fit(_learning_rows(described.transform(rows), recipe, "vectors"))
+    return PipelineModel([*tokenize.stages, *described.stages, learned])
 
 
 def score(model, df: DataFrame) -> DataFrame:
@@ -262,9 +274,8 @@ def tune(
             featurize = PipelineModel(
                 [*_term_models(terms, n_documents, point), *categories.stages, assemble_stage(recipe)]
             )
-            wanted = [recipe.label, recipe.features]
-            fit_vectors = materialize(featurize.transform(fit_rows).select(wanted), "fit")
-            check_vectors = materialize(featurize.transform(check_rows).select(wanted), "check")
+            fit_vectors = _learning_rows(featurize.transform(fit_rows), recipe, "fit")
+            check_vectors = _learning_rows(featurize.transform(check_rows), recipe, "check")
 
             def f1_of(reg, point=point, fit_vectors=fit_vectors, check_vectors=check_vectors):
                 fitted = classifier(replace(point, reg_param=float(reg))).fit(fit_vectors)
