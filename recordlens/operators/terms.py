@@ -50,8 +50,8 @@ def vocabulary(
     """``term, count, df``: occurrences and number of documents of each term.
 
     ``min_df`` keeps terms of at least so many documents, or, below 1, of at least that share of
-    them. ``max_terms`` keeps the most frequent terms. Terms are counted inside each document first,
-    then per task, and only then shuffled.
+    them. ``max_terms`` keeps the most frequent terms; more than 10,000 run a job. Terms are counted
+    inside each document first, then per task, and only then shuffled.
     """
     terms = (
         df.select(F.inline(term_counts(F.col(column))))
@@ -63,18 +63,23 @@ def vocabulary(
     elif 0 < min_df < 1:
         n_documents = df.agg(F.count(F.lit(1))).scalar()
         terms = terms.where(F.col("df") >= n_documents * min_df)
-    return terms if max_terms is None else most_frequent(terms, max_terms)
+    if max_terms is None:
+        return terms
+    return most_frequent(terms if max_terms <= _SHORT_LIMIT else materialize(terms, "vocabulary"), max_terms)
 
 
 def most_frequent(terms: DataFrame, k: int) -> DataFrame:
     """The ``k`` terms of the highest counts; equal counts in term order.
 
-    A sorted limit sends up to ``k`` rows of every task to one task. That is fine for a short report;
-    above ``10,000`` terms the rows are numbered in a distributed sort instead, which runs a job.
+    A sorted limit sends up to ``k`` rows of every task to one task, which is fine for a short report.
+    Above 10,000 terms jobs are run: ``terms``, which should be a table then, is counted, and if
+    there are more than ``k`` its rows are numbered in a distributed sort.
     """
     order = [F.desc("count"), F.col("term")]
     if k <= _SHORT_LIMIT:
         return terms.orderBy(*order).limit(k)
+    if terms.count() <= k:
+        return terms
     return global_index(terms, *order).where(F.col("index") < k).drop("index")
 
 
