@@ -11,7 +11,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from recordlens.operators import features as stages
@@ -46,7 +46,7 @@ class Recipe:
     hashed: bool = False
     buckets: int = stages.HASH_BUCKETS
     unseen: str = "keep"
-    max_labels: int = 10_000
+    max_labels: int = 100_000
     reg_param: float = 0.0
     max_iter: int = 50
     tol: float = 1e-6
@@ -167,16 +167,13 @@ def _learning_rows(df: DataFrame, recipe: Recipe, name: str) -> DataFrame:
     return materialize(df.select(recipe.label, vector), name)
 
 
-def fit(train: DataFrame, recipe: Recipe) -> PipelineModel:
-    """Fit all stages. Runs jobs.
+def _token_rows(train: DataFrame, recipe: Recipe) -> DataFrame:
+    """The training rows with tokens in place of text, in a scratch table."""
+    tokenized = PipelineModel(token_stages(recipe)).transform(train)
+    return materialize(tokenized.drop("tokens", recipe.text), "tokens")
 
-    Tokens are computed once and written to a scratch table, because the vocabulary, the weights and
-    the label numbers each pass over them; so are the feature vectors, which the regression reads. The
-    vocabulary comes from ``terms.vocabulary``: the rows that reach the driver are bounded by
-    ``vocab_size``, and terms of equal counts have a fixed order.
-    """
-    tokenize = PipelineModel(token_stages(recipe))
-    rows = materialize(tokenize.transform(train).drop("tokens", recipe.text), "tokens")
+
+def _fit_tokens(rows: DataFrame, recipe: Recipe) -> PipelineModel:
     _check_labels(rows, recipe)
     counter, weights = term_stages(recipe)
     if not recipe.hashed:
@@ -185,7 +182,18 @@ def fit(train: DataFrame, recipe: Recipe) -> PipelineModel:
         )
     described = Pipeline(stages=[counter, weights, *category_stages(recipe), assemble_stage(recipe)]).fit(rows)
     learned = classifier(recipe).fit(_learning_rows(described.transform(rows), recipe, "vectors"))
-    return PipelineModel([*tokenize.stages, *described.stages, learned])
+    return PipelineModel([*token_stages(recipe), *described.stages, learned])
+
+
+def fit(train: DataFrame, recipe: Recipe) -> PipelineModel:
+    """Fit all stages. Runs jobs.
+
+    Tokens are computed once and written to a scratch table, because the vocabulary, the weights and
+    the label numbers each pass over them; so are the feature vectors, which the regression reads. The
+    vocabulary comes from ``terms.vocabulary``: the rows that reach the driver are bounded by
+    ``vocab_size``, and terms of equal counts have a fixed order.
+    """
+    return _fit_tokens(_token_rows(train, recipe), recipe)
 
 
 def score(model, df: DataFrame) -> DataFrame:
@@ -217,13 +225,13 @@ class Tuned:
     best: Recipe
     scores: Sequence[tuple[float, float, float]]
 
-    def report(self, df: DataFrame) -> DataFrame:
+    def report(self, spark: SparkSession) -> DataFrame:
         """``min_df, reg_param, f1, chosen``, one row for each grid point."""
         rows = [
             (min_df, reg, f1, min_df == self.best.min_df and reg == self.best.reg_param)
             for min_df, reg, f1 in self.scores
         ]
-        return df.sparkSession.createDataFrame(rows, "min_df double, reg_param double, f1 double, chosen boolean")
+        return spark.createDataFrame(rows, "min_df double, reg_param double, f1 double, chosen boolean")
 
 
 def _term_models(terms: DataFrame, n_documents: int, recipe: Recipe) -> list:
@@ -259,7 +267,7 @@ def tune(
         raise ValueError("a hashed recipe has no vocabulary and no min_df to tune")
     if min(min_dfs) < 1:
         raise ValueError("min_dfs are numbers of documents")
-    rows = materialize(PipelineModel(token_stages(recipe)).transform(train).drop("tokens", recipe.text), "tokens")
+    rows = _token_rows(train, recipe)
     fit_rows, check_rows = split_by_hash(rows, key, train_ratio, seed)
     terms = materialize(vocabulary(fit_rows, "filtered", min_df=min(min_dfs)), "terms")
     n_documents = fit_rows.count()
@@ -289,7 +297,7 @@ def tune(
     best = replace(recipe, min_df=best_min_df, reg_param=best_reg)
     whole = Pipeline(stages=classification_stages(recipe))
     grid = parameter_grid(whole, reg_params, min_dfs)
-    model = TrainValidationSplitModel(fit(train, best), [f1 for _, _, f1 in scores])
+    model = TrainValidationSplitModel(_fit_tokens(rows, best), [f1 for _, _, f1 in scores])
     for param, value in (
         (model.estimator, whole),
         (model.estimatorParamMaps, grid),

@@ -537,4 +537,4 @@ def grid_report(spark, folder):
     """Validation score of every grid point, and which one was chosen."""
     train, _ = document_parts(spark, folder)
     tuned = training.tune(train, DOCUMENT_RECIPE, "doc_id", min_dfs=DOCUMENT_MIN_DFS)
-    return tuned.report(train).withColumn("f1", F.round("f1", 6))
+    return tuned.report(spark).withColumn("f1", F.round("f1", 6))

@@ -65,9 +65,16 @@ def read_parquet(
     which would otherwise keep most cores idle because a row group is never split: the rows are
     dealt out over the cores. A table of many files is left as it is, without a shuffle.
     """
-    df = spark.read.option("mergeSchema", merge_schema).parquet(*([path] if isinstance(path, str) else path))
-    if spread_few_files:
-        cores = spark.sparkContext.defaultParallelism
-        if len(df.inputFiles()) < cores:
-            df = df.repartition(cores)
-    return df
+    paths = [path] if isinstance(path, str) else path
+    df = spark.read.option("mergeSchema", merge_schema).parquet(*paths)
+    return _spread(df) if spread_few_files else df
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of fewer files than cores out over the cores.
+
+    The files are listed only where the scan has few partitions, so their list is short.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    few = df.rdd.getNumPartitions() <= 4 * cores and len(df.inputFiles()) < cores
+    return df.repartition(cores) if few else df

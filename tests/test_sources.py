@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from recordlens import sources
 from recordlens.plans import prepare
+from recordlens.plans.tables import campaigns
 
 QUOTED = 'name,desc,country,currency\nx,"say ""hi, there"" now",US,USD\n'
 
@@ -130,3 +131,13 @@ def test_preparing_is_one_stage_and_reads_no_dropped_column(spark, tmp_path):
     assert "Exchange" not in plan
     scan = plan[plan.index("ReadSchema") :]
     assert "backers_count" not in scan and "disable_communication" not in scan
+
+
+def test_preparing_takes_a_stream(spark, small, tmp_path):
+    raw = campaigns(spark, small)
+    raw.write.parquet(f"{tmp_path}/raw")
+    stream = prepare.prepare_records(spark.readStream.schema(raw.schema).parquet(f"{tmp_path}/raw"))
+    query = stream.writeStream.format("memory").queryName("prepared_stream").trigger(availableNow=True).start()
+    query.awaitTermination(60)
+    found, wanted = spark.table("prepared_stream"), prepare.prepare_records(raw)
+    assert found.count() == wanted.count() and found.exceptAll(wanted).isEmpty()
