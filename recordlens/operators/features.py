@@ -1,8 +1,8 @@
 """Feature stages: Spark ML transformers and estimators with the settings this library uses.
 
-The vocabulary is held on the driver and sent to the executors, so its size is bounded by
-``vocab_size``. For larger vocabularies use hashed terms, which need none, or the long form in
-``recordlens.operators.terms``.
+What Spark ML holds on the driver and sends to the executors is bounded here: the vocabulary by
+``vocab_size``, the labels of a category by a check. Beyond that use hashed terms, which need no
+vocabulary, or the long form in ``recordlens.operators.terms``.
 """
 
 from __future__ import annotations
@@ -23,8 +23,13 @@ from pyspark.ml.feature import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recordlens.operators.terms import vocabulary
+
 VOCAB_SIZE = 1 << 18
 HASH_BUCKETS = 20_000
+MAX_LABELS = 100_000
+# CountVectorizer's fit merges the terms of all tasks on the driver; above this many it is not used.
+DRIVER_TERMS = 1_000_000
 
 
 def tokenizer(text: str = "text", out: str = "tokens", *, unicode: bool = False) -> RegexTokenizer:
@@ -46,6 +51,36 @@ def count_vectorizer(
     return CountVectorizer(inputCol=column, outputCol=out, minDF=min_df, vocabSize=vocab_size)
 
 
+def counter_of(terms: Sequence[str], column: str = "filtered", out: str = "rawFeatures") -> CountVectorizerModel:
+    """Term counter over given terms, in the given order."""
+    return CountVectorizerModel.from_vocabulary(list(terms), column, out)
+
+
+def fit_count_vectorizer(
+    df: DataFrame,
+    column: str = "filtered",
+    out: str = "rawFeatures",
+    *,
+    min_df: float = 1.0,
+    vocab_size: int = VOCAB_SIZE,
+) -> CountVectorizerModel:
+    """Fit ``count_vectorizer`` on a corpus of any number of distinct terms. Runs jobs.
+
+    Spark ML's fit is used where the distinct terms are few, by an estimate made first, and none has
+    to be cut off. Otherwise the terms are counted and ranked over all tasks, equal counts in term
+    order, and only the ``vocab_size`` most frequent ones come to the driver.
+    """
+    distinct = df.select(F.explode(column).alias("term")).agg(F.approx_count_distinct("term")).first()[0]
+    if distinct <= DRIVER_TERMS:
+        model = count_vectorizer(column, out, min_df=min_df, vocab_size=vocab_size).fit(df)
+        if len(model.vocabulary) < vocab_size:
+            return model
+    kept = vocabulary(df, column, min_df=min_df, max_terms=vocab_size).select("term", "count").collect()
+    if not kept:
+        raise ValueError("no term occurs in enough documents")
+    return counter_of([row["term"] for row in sorted(kept, key=lambda r: (-r["count"], r["term"]))], column, out)
+
+
 def hashing_tf(column: str = "filtered", out: str = "rawFeatures", *, buckets: int = HASH_BUCKETS) -> HashingTF:
     """Term counts over hash buckets; terms of one bucket count together."""
     return HashingTF(inputCol=column, outputCol=out, numFeatures=buckets)
@@ -66,6 +101,16 @@ def string_indexer(columns: Sequence[str], out: Sequence[str], *, unseen: str =
     )
 
 
+def check_labels(df: DataFrame, columns: Sequence[str], max_labels: int = MAX_LABELS) -> None:
+    """Refuse categories of more labels than the driver should hold and a one-hot vector should have. Runs a job."""
+    if not columns:
+        return
+    counts = df.agg(*[F.approx_count_distinct(name).alias(name) for name in columns]).first()
+    for name in columns:
+        if counts[name] > max_labels:
+            raise ValueError(f"{name} has about {counts[name]} labels, more than max_labels={max_labels}")
+
+
 def one_hot_encoder(columns: Sequence[str], out: Sequence[str], *, drop_last: bool = True) -> OneHotEncoder:
     """Turn label numbers into one-hot vectors, by default without the last label."""
     return OneHotEncoder(inputCols=list(columns), outputCols=list(out), dropLast=drop_last, handleInvalid="error")

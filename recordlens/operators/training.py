@@ -8,10 +8,10 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
+from pyspark.ml.feature import ElementwiseProduct
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordlens.operators import features as stages
@@ -46,7 +46,7 @@ class Recipe:
     hashed: bool = False
     buckets: int = stages.HASH_BUCKETS
     unseen: str = "keep"
-    max_labels: int = 100_000
+    max_labels: int = stages.MAX_LABELS
     reg_param: float = 0.0
     max_iter: int = 50
     tol: float = 1e-6
@@ -136,26 +136,6 @@ def classification_stages(recipe: Recipe) -> list:
     ]
 
 
-def _check_labels(rows: DataFrame, recipe: Recipe) -> None:
-    """Refuse a category of more labels than the driver should hold and a one-hot vector should have."""
-    counts = rows.agg(*[F.approx_count_distinct(name).alias(name) for name in recipe.categories]).first()
-    for name in recipe.categories:
-        if counts[name] > recipe.max_labels:
-            raise ValueError(f"{name} has about {counts[name]} labels, more than max_labels={recipe.max_labels}")
-
-
-def _by_count(terms: DataFrame) -> list[Row]:
-    """Counted terms on the driver, the most frequent first; the caller bounds their number."""
-    rows = terms.collect()
-    if not rows:
-        raise ValueError("no term occurs in enough documents")
-    return sorted(rows, key=lambda row: (-row["count"], row["term"]))
-
-
-def _counter(rows: list[Row]) -> CountVectorizerModel:
-    return CountVectorizerModel.from_vocabulary([row["term"] for row in rows], "filtered", "rawFeatures")
-
-
 def _learning_rows(df: DataFrame, recipe: Recipe, name: str) -> DataFrame:
     """Label and features only, in a scratch table.
 
@@ -173,14 +153,17 @@ def _token_rows(train: DataFrame, recipe: Recipe) -> DataFrame:
     return materialize(tokenized.drop("tokens", recipe.text), "tokens")
 
 
-def _fit_tokens(rows: DataFrame, recipe: Recipe) -> PipelineModel:
-    _check_labels(rows, recipe)
+def fit_features(rows: DataFrame, recipe: Recipe) -> PipelineModel:
+    """Fit the stages from ``filtered`` tokens to the vector that is learned from. Runs jobs."""
+    stages.check_labels(rows, recipe.categories, recipe.max_labels)
     counter, weights = term_stages(recipe)
     if not recipe.hashed:
-        counter = _counter(
-            _by_count(vocabulary(rows, "filtered", min_df=recipe.min_df, max_terms=recipe.vocab_size))
-        )
-    described = Pipeline(stages=[counter, weights, *category_stages(recipe), assemble_stage(recipe)]).fit(rows)
+        counter = stages.fit_count_vectorizer(rows, min_df=recipe.min_df, vocab_size=recipe.vocab_size)
+    return Pipeline(stages=[counter, weights, *category_stages(recipe), assemble_stage(recipe)]).fit(rows)
+
+
+def _fit_tokens(rows: DataFrame, recipe: Recipe) -> PipelineModel:
+    described = fit_features(rows, recipe)
     learned = classifier(recipe).fit(_learning_rows(described.transform(rows), recipe, "vectors"))
     return PipelineModel([*token_stages(recipe), *described.stages, learned])
 
@@ -189,9 +172,7 @@ def fit(train: DataFrame, recipe: Recipe) -> PipelineModel:
     """Fit all stages. Runs jobs.
 
     Tokens are computed once and written to a scratch table, because the vocabulary, the weights and
-    the label numbers each pass over them; so are the feature vectors, which the regression reads. The
-    vocabulary comes from ``terms.vocabulary``: the rows that reach the driver are bounded by
-    ``vocab_size``, and terms of equal counts have a fixed order.
+    the label numbers each pass over them; so are the feature vectors, which the regression reads.
     """
     return _fit_tokens(_token_rows(train, recipe), recipe)
 
@@ -237,11 +218,14 @@ class Tuned:
 def _term_models(terms: DataFrame, n_documents: int, recipe: Recipe) -> list:
     """Term counts and weighting for one ``min_df``, from counted terms instead of another pass."""
     kept = most_frequent(terms.where(F.col("df") >= recipe.min_df), recipe.vocab_size)
-    rows = _by_count(kept.withColumn("idf", idf(F.lit(n_documents), F.col("df"))))
+    rows = kept.withColumn("idf", idf(F.lit(n_documents), F.col("df"))).collect()
+    if not rows:
+        raise ValueError(f"no term occurs in {recipe.min_df:g} documents")
+    rows.sort(key=lambda row: (-row["count"], row["term"]))
     weights = ElementwiseProduct(
         scalingVec=Vectors.dense([row["idf"] for row in rows]), inputCol="rawFeatures", outputCol="features"
     )
-    return [_counter(rows), weights]
+    return [stages.counter_of([row["term"] for row in rows]), weights]
 
 
 def tune(
@@ -271,7 +255,7 @@ def tune(
     fit_rows, check_rows = split_by_hash(rows, key, train_ratio, seed)
     terms = materialize(vocabulary(fit_rows, "filtered", min_df=min(min_dfs)), "terms")
     n_documents = fit_rows.count()
-    _check_labels(fit_rows, recipe)
+    stages.check_labels(fit_rows, recipe.categories, recipe.max_labels)
     categories = Pipeline(stages=category_stages(recipe)).fit(fit_rows)
 
     evaluator = f1_evaluator(recipe.label)

@@ -99,6 +99,13 @@ n as (select count(*) as n_documents from documents)
 """
 )
 
+_ML_TERMS = (
+    _TERMS
+    + """
+, ml_vocab as (select * from vocab where df >= 2 order by "count" desc, term limit 262144)
+"""
+)
+
 _WEIGHTS = """round(tf * ln((n_documents + 1.0) / (df + 1.0)), 6) as tfidf"""
 
 _WORDS = """words as (select unnest(string_split({text}, ' ')) as word from documents)"""
@@ -248,9 +255,8 @@ ORACLES: dict[str, str] = {
         select label, "index", "index" as position, cast(1 as double) as value from indexed
         where "index" < (select max("index") from indexed)""",
     # Spark ML features
-    "count_vectors": f"with {_TERMS} select doc_id, term, tf from tf join vocab using (term) where df >= 2",
-    "idf_vectors": f"""with {_TERMS} select doc_id, term, {_WEIGHTS} from tf join vocab using (term), n
-        where df >= 2""",
+    "count_vectors": f"with {_ML_TERMS} select doc_id, term, tf from tf join ml_vocab using (term)",
+    "idf_vectors": f"with {_ML_TERMS} select doc_id, term, {_WEIGHTS} from tf join ml_vocab using (term), n",
     "hashed_term_vectors": f"""with {_tokens()} select doc_id, 20000 as n_buckets, coalesce(m, 0) as n_terms
         from documents left join (select doc_id, count(*) as m from kept group by doc_id) using (doc_id)""",
     "string_indexer": f"""with l as (select lang, cast({_INDEX.format(label="lang")} as double) as lang_indexed
@@ -266,11 +272,11 @@ ORACLES: dict[str, str] = {
           case when j < (select max(j) from s) then j + 1 else 0 end as source_position,
           cast((select max(j) from s) as integer) as source_size
         from documents join l using (lang) join s using (source)""",
-    "assembled_vectors": f"""with {_TERMS},
-        sizes as (select (select count(*) from vocab where df >= 2) + 1
+    "assembled_vectors": f"""with {_ML_TERMS},
+        sizes as (select (select count(*) from ml_vocab) + 1
           + (select count(distinct lang) from documents) + (select count(distinct source) from documents) as size),
-        entries as (select doc_id, count(*) as m from tf join vocab using (term), n
-          where df >= 2 and df < n_documents group by doc_id)
+        entries as (select doc_id, count(*) as m from tf join ml_vocab using (term), n
+          where df < n_documents group by doc_id)
         select doc_id, cast(size as integer) as vector_size,
           cast(coalesce(m, 0) + case when n_chars <> 0 then 1 else 0 end + 2 as integer) as n_entries
         from documents left join entries using (doc_id), sizes""",

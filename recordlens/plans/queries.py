@@ -384,7 +384,7 @@ def ml_filtered(docs: DataFrame) -> DataFrame:
 def count_vectors(spark, folder):
     """Counts per document and term, read out of the fitted vectors."""
     docs = ml_filtered(documents(spark, folder).select("doc_id", "text"))
-    model = features.count_vectorizer(min_df=2.0).fit(docs)
+    model = features.fit_count_vectorizer(docs, min_df=2.0)
     entries = features.vector_entries(model.transform(docs), "doc_id", "rawFeatures", "tf")
     return entries.join(features.vocabulary_table(model, docs), "position").select(
         "doc_id", "term", F.col("tf").cast("int").alias("tf")
@@ -394,7 +394,7 @@ def count_vectors(spark, folder):
 @query
 def idf_vectors(spark, folder):
     docs = ml_filtered(documents(spark, folder).select("doc_id", "text"))
-    counter = features.count_vectorizer(min_df=2.0).fit(docs)
+    counter = features.fit_count_vectorizer(docs, min_df=2.0)
     counted = counter.transform(docs)
     weighted = features.idf().fit(counted).transform(counted)
     entries = features.vector_entries(weighted, "doc_id", "features", "tfidf")
@@ -419,6 +419,7 @@ def hashed_term_vectors(spark, folder):
 @query
 def string_indexer(spark, folder):
     docs = documents(spark, folder).select("lang", "source")
+    features.check_labels(docs, ["lang", "source"])
     model = features.string_indexer(["lang", "source"], ["lang_indexed", "source_indexed"]).fit(docs)
     return profile.distinct_rows(model.transform(docs), "lang", "lang_indexed", "source", "source_indexed")
 
@@ -426,6 +427,7 @@ def string_indexer(spark, folder):
 @query
 def one_hot_vectors(spark, folder):
     docs = documents(spark, folder).select("doc_id", "lang", "source")
+    features.check_labels(docs, ["lang", "source"])
     chain = [
         features.string_indexer(["lang", "source"], ["lang_indexed", "source_indexed"]),
         features.one_hot_encoder(["lang_indexed", "source_indexed"], ["lang_onehot", "source_onehot"]),
@@ -442,12 +444,11 @@ def one_hot_vectors(spark, folder):
 @query
 def assembled_vectors(spark, folder):
     """Size of each assembled vector and number of its entries."""
-    docs = training.training_input(
-        documents(spark, folder).withColumn("quality", F.lit(0)), DOCUMENT_RECIPE
-    )
-    featurize = Pipeline(stages=training.classification_stages(DOCUMENT_RECIPE)[:-1]).fit(docs)
+    docs = documents(spark, folder).withColumn("quality", F.lit(0))
+    rows = ml_filtered(training.training_input(docs, DOCUMENT_RECIPE))
+    featurize = training.fit_features(rows, DOCUMENT_RECIPE)
     vector = F.unwrap_udt(F.col("join_features"))
-    return featurize.transform(docs).select(
+    return featurize.transform(rows).select(
         "doc_id",
         F.coalesce(vector["size"], F.size(vector["values"])).alias("vector_size"),
         F.size(F.filter(vector["values"], lambda v: v != 0)).alias("n_entries"),

@@ -92,6 +92,22 @@ def test_long_vocabulary_limit_equals_sorted_limit(spark, small, monkeypatch):
     assert long.exceptAll(short).isEmpty()
 
 
+def test_both_ways_of_fitting_a_vocabulary_agree(spark, small, monkeypatch):
+    docs = filtered_documents(documents(spark, small)).select("filtered").cache()
+    by_spark = features.fit_count_vectorizer(docs, min_df=3)
+    monkeypatch.setattr(features, "DRIVER_TERMS", 0)
+    ranked = features.fit_count_vectorizer(docs, min_df=3)
+    assert set(by_spark.vocabulary) == set(ranked.vocabulary)
+    counts = {row["term"]: row["count"] for row in terms.vocabulary(docs).collect()}
+    for model in (by_spark, ranked):
+        in_order = [counts[term] for term in model.vocabulary]
+        assert in_order == sorted(in_order, reverse=True)
+    monkeypatch.undo()
+    # A vocabulary that is cut off is cut in a fixed order.
+    cut = features.fit_count_vectorizer(docs, min_df=3, vocab_size=40)
+    assert cut.vocabulary == ranked.vocabulary[:40]
+
+
 def test_weights_equal_idf_of_spark(spark, small):
     docs = filtered_documents(documents(spark, small)).select("doc_id", "filtered")
     counter = features.count_vectorizer(min_df=3).fit(docs)
