@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline
@@ -504,6 +505,18 @@ def heldout_scores(spark, folder):
     )
 
 
+@query
+def heldout_f1(spark, folder):
+    """Held-out score of the model over all features and of the one over text alone."""
+    train, test = document_parts(spark, folder)
+    reports = []
+    for column in ("join_features", "features"):
+        recipe = replace(DOCUMENT_RECIPE, features=column)
+        scored = training.score(training.fit(train, recipe), test)
+        reports.append(evaluate.weighted_f1(scored, "quality").withColumn("features", F.lit(column)))
+    return reports[0].union(reports[1]).withColumn("f1", F.round("f1", 6))
+
+
 @query
 def heldout_threshold_agreement(spark, folder):
     """Held-out rows whose prediction differs from the threshold rule on the model's probability."""

@@ -3,6 +3,7 @@
 import math
 import re
 from collections import Counter
+from contextlib import contextmanager
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -125,13 +126,10 @@ def test_weights_equal_idf_of_spark(spark, small):
     assert all(math.isclose(ours[key], theirs[key], abs_tol=1e-9) for key in ours)
 
 
-def test_weights_split_a_term_that_most_documents_hold(spark):
-    # One term is in every document, the rest are rare.
-    rare = F.concat(F.lit("t"), (F.col("id") % 3000).cast("string"))
-    docs = spark.range(0, 60000, 1, 4).select(
-        F.col("id").alias("doc_id"), F.array(F.lit("common"), rare).alias("filtered")
-    )
-    settings_ = {
+@contextmanager
+def small_skewed_partitions(spark):
+    """No broadcast joins, and partitions count as skewed from a few kilobytes on."""
+    values = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
@@ -139,20 +137,42 @@ def test_weights_split_a_term_that_most_documents_hold(spark):
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     }
-    for key, value in settings_.items():
+    for key, value in values.items():
         spark.conf.set(key, value)
     try:
+        yield
+    finally:
+        for key in values:
+            spark.conf.unset(key)
+
+
+def test_weights_split_a_term_that_most_documents_hold(spark):
+    # One term is in every document, the rest are rare.
+    rare = F.concat(F.lit("t"), (F.col("id") % 3000).cast("string"))
+    docs = spark.range(0, 60000, 1, 4).select(
+        F.col("id").alias("doc_id"), F.array(F.lit("common"), rare).alias("filtered")
+    )
+    with small_skewed_partitions(spark):
         weights = terms.term_weights(docs, "doc_id")
         rows = weights.collect()
         plan = weights._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for key in settings_:
-            spark.conf.unset(key)
     assert len(rows) == 120000
     assert {row["df"] for row in rows} == {60000, 20}
     assert "SortMergeJoin(skew=true)" in plan
 
 
+def test_indexing_splits_a_label_that_most_rows_hold(spark):
+    label = F.when(F.col("id") % 3 > 0, "common").otherwise(F.concat(F.lit("rare"), F.col("id")))
+    rows = spark.range(0, 90000, 1, 4).select("id", label.alias("x"))
+    with small_skewed_partitions(spark):
+        indexed = terms.index_rows(rows, "x", terms.label_index(rows, "x"), "i")
+        found = indexed.collect()
+        plan = indexed._jdf.queryExecution().executedPlan().toString()
+    assert len(found) == 90000 and {row["i"] for row in found if row["x"] == "common"} == {0}
+    assert len({row["i"] for row in found}) == 30001
+    assert "SortMergeJoin(skew=true)" in plan
+
+
 @pytest.mark.parametrize("partitions", [1, 3, 16])
 def test_global_index_numbers_all_rows_in_order(spark, partitions):
     df = spark.range(0, 997, 1, partitions).select((F.col("id") * 7919 % 997).alias("v"))
