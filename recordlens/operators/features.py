@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.ml.feature import (
     IDF,
     CountVectorizer,
@@ -66,6 +67,7 @@ def fit_count_vectorizer(
 ) -> CountVectorizerModel:
     """Fit ``count_vectorizer`` on a corpus of any number of distinct terms. Runs jobs.
 
+    ``df`` is read more than once, so its tokens should be in a table and not computed on the way.
     Spark ML's fit is used where the distinct terms are few, by an estimate made first, and none has
     to be cut off. Otherwise the terms are counted and ranked over all tasks, equal counts in term
     order, and only the ``vocab_size`` most frequent ones come to the driver.
@@ -132,5 +134,10 @@ def vector_entries(df: DataFrame, key: str, column: str, name: str = "value") ->
 
 
 def vocabulary_table(model: CountVectorizerModel, df: DataFrame) -> DataFrame:
-    """``position, term`` of a fitted vocabulary, at most ``vocab_size`` rows."""
-    return df.sparkSession.createDataFrame(list(enumerate(model.vocabulary)), "position int, term string")
+    """``position, term`` of a fitted vocabulary, at most ``vocab_size`` rows.
+
+    It is handed over as one Arrow table, whose size Spark knows when it plans a join.
+    """
+    words = model.vocabulary
+    columns = {"position": pa.array(range(len(words)), pa.int32()), "term": pa.array(words, pa.string())}
+    return df.sparkSession.createDataFrame(pa.table(columns))

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import ElementwiseProduct
+from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, VectorAssembler
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
 from pyspark.sql import DataFrame, SparkSession
@@ -102,7 +102,7 @@ def category_stages(recipe: Recipe) -> list:
     ]
 
 
-def assemble_stage(recipe: Recipe):
+def assemble_stage(recipe: Recipe) -> VectorAssembler:
     """All features in one vector."""
     return stages.assembler(["features", *recipe.numbers, *recipe.encoded])
 
@@ -177,9 +177,18 @@ def fit(train: DataFrame, recipe: Recipe) -> PipelineModel:
     return _fit_tokens(_token_rows(train, recipe), recipe)
 
 
-def score(model, df: DataFrame) -> DataFrame:
-    """Add all feature columns, ``raw_predictions``, ``probability`` and ``predictions``."""
-    return model.transform(df)
+def score(model: PipelineModel | TrainValidationSplitModel, df: DataFrame) -> DataFrame:
+    """Add all feature columns, ``raw_predictions``, ``probability`` and ``predictions``.
+
+    The description of each single feature is taken off the assembled column; it would go into the
+    footer of every file that the scored rows are written to.
+    """
+    best = model.bestModel if isinstance(model, TrainValidationSplitModel) else model
+    for stage in best.stages:
+        df = stage.transform(df)
+        if isinstance(stage, VectorAssembler):
+            df = df.withMetadata(stage.getOutputCol(), {})
+    return df
 
 
 def parameter_grid(
@@ -189,7 +198,7 @@ def parameter_grid(
 ) -> list[dict]:
     """All combinations of penalty and least document frequency, which belong to two stages."""
     by_type = {type(stage): stage for stage in classification.getStages()}
-    regression, counter = by_type[LogisticRegression], by_type[type(stages.count_vectorizer())]
+    regression, counter = by_type[LogisticRegression], by_type[CountVectorizer]
     return (
         ParamGridBuilder()
         .addGrid(counter.minDF, [float(v) for v in min_dfs])

@@ -376,9 +376,10 @@ def one_hot_entries(spark, folder):
 
 
 def ml_filtered(docs: DataFrame) -> DataFrame:
+    """Tokens of the Spark ML stages, written once because fitting and transforming both read them."""
     for stage in training.token_stages(DOCUMENT_RECIPE):
         docs = stage.transform(docs)
-    return docs
+    return sources.materialize(docs.drop("text", "tokens"), "tokens")
 
 
 @query
