@@ -376,16 +376,20 @@ def one_hot_entries(spark, folder):
 
 
 def ml_filtered(docs: DataFrame) -> DataFrame:
-    """Tokens of the Spark ML stages, written once because fitting and transforming both read them."""
     for stage in training.token_stages(DOCUMENT_RECIPE):
         docs = stage.transform(docs)
-    return sources.materialize(docs.drop("text", "tokens"), "tokens")
+    return docs.drop("text", "tokens")
+
+
+def ml_token_table(docs: DataFrame) -> DataFrame:
+    """Tokens of the Spark ML stages, written once because fitting and transforming both read them."""
+    return sources.materialize(ml_filtered(docs), "tokens")
 
 
 @query
 def count_vectors(spark, folder):
     """Counts per document and term, read out of the fitted vectors."""
-    docs = ml_filtered(documents(spark, folder).select("doc_id", "text"))
+    docs = ml_token_table(documents(spark, folder).select("doc_id", "text"))
     model = features.fit_count_vectorizer(docs, min_df=2.0)
     entries = features.vector_entries(model.transform(docs), "doc_id", "rawFeatures", "tf")
     return entries.join(features.vocabulary_table(model, docs), "position").select(
@@ -395,7 +399,7 @@ def count_vectors(spark, folder):
 
 @query
 def idf_vectors(spark, folder):
-    docs = ml_filtered(documents(spark, folder).select("doc_id", "text"))
+    docs = ml_token_table(documents(spark, folder).select("doc_id", "text"))
     counter = features.fit_count_vectorizer(docs, min_df=2.0)
     counted = counter.transform(docs)
     weighted = features.idf().fit(counted).transform(counted)
@@ -447,7 +451,7 @@ def one_hot_vectors(spark, folder):
 def assembled_vectors(spark, folder):
     """Size of each assembled vector and number of its entries."""
     docs = documents(spark, folder).withColumn("quality", F.lit(0))
-    rows = ml_filtered(training.training_input(docs, DOCUMENT_RECIPE))
+    rows = ml_token_table(training.training_input(docs, DOCUMENT_RECIPE))
     featurize = training.fit_features(rows, DOCUMENT_RECIPE)
     vector = F.unwrap_udt(F.col("join_features"))
     return featurize.transform(rows).select(
