@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordlens.llm.vocabularies import encoder
@@ -139,9 +139,8 @@ class TokenFile:
 def token_ids(docs: DataFrame, vocabulary: str, end: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_tokens, ids``: ids of every whole text and the end id, as unsigned 16- or 32-bit integers.
 
-    16 bits are used where all ids of a document fit; four bytes an id less to shuffle.
+    16 bits are used where all ids of a document fit; two bytes an id less to shuffle.
     """
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, last = encoder(vocabulary), np.uint32(end).tobytes()
         for batch in batches:
@@ -162,22 +161,22 @@ def _wide(ids: bytes, n: int) -> bytes:
     return ids if len(ids) == 4 * n else np.frombuffer(ids, "<u2").astype("<u4").tobytes()
 
 
-def write_tokens(tokens: DataFrame, folder: str, percentile: float = PERCENTILE) -> DataFrame:
+def write_tokens(tokens: DataFrame, borders: list[int], folder: str, percentile: float = PERCENTILE) -> DataFrame:
     """Write documents of ids (see ``token_ids``) to files under ``folder`` in ascending order of their ids, nulls first.
 
-    Returns one row for each file: ``path, part, place, n_docs, n_ids, start`` with ``start`` the ids of all files
-    before. Runs jobs. The rows are sorted over all tasks; each task fills files of ``FILE_IDS`` ids. A file is
-    written under a name of its attempt and then renamed, so a repeated task leaves the same files. ``folder`` is a URI of a store that
-    pyarrow knows and all executors reach. Rows with equal ids are all kept, in any order among them.
+    Returns one row for each file: ``file, part, place, n_docs, n_ids, start`` with ``start`` the ids of all files
+    before. Runs jobs. ``borders`` (see ``id_borders``) cut the ids into ranges, each sorted and written by one task in files of
+    ``FILE_IDS`` ids; an id that fills several ranges has its rows dealt over them. So the ids are made once and shuffled
+    once, without a pass to sample them. A file is written under a name of its attempt and then renamed, so a
+    repeated task leaves the same files. ``folder`` is a URI of a store that pyarrow knows and all executors reach.
+    Rows with equal ids are all kept, in any order among them.
     """
-    from pyspark import TaskContext
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
         store, root = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder.removeprefix('file:')}")
         store.create_dir(root, recursive=True)
-        part, place, keys, ids, total = TaskContext.get().partitionId(), 0, [], [], 0
+        part, place, keys, ids, total = -1, 0, [], [], 0
 
         def save() -> pa.RecordBatch:
             name = f"{root}/tokens-{part:06d}-{place:06d}.pfor"
@@ -189,23 +188,49 @@ def write_tokens(tokens: DataFrame, folder: str, percentile: float = PERCENTILE)
             return pa.RecordBatch.from_pydict(row, schema=pa.schema([("file", pa.string()), ("part", pa.int64()), ("place", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
 
         for batch in batches:
-            for key, n, raw in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                if total and total + n > FILE_IDS:
+            for key, n, raw, own in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if keys and (own != part or total + n > FILE_IDS):
                     yield save()
                     place, keys, ids, total = place + 1, [], [], 0
+                if own != part:
+                    part, place = own, 0
                 keys.append(key)
                 ids.append(_wide(raw, n))
                 total += n
         if keys:
             yield save()
 
-    ordered = tokens.orderBy(F.col("doc_id").asc_nulls_first())
+    low, high = _range(F.col("doc_id"), borders, False), _range(F.col("doc_id"), borders, True)
+    dealt = tokens.withColumn("part", low + F.pmod(F.xxhash64("ids"), high - low + 1))
+    ordered = dealt.repartition(len(borders) + 1, "part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_first())
     files = materialize(
         ordered.mapInArrow(run, "file string, part long, place long, n_docs long, n_ids long"), "token-files"
     )
     return files.select("*", F.expr("coalesce(sum(n_ids) over (order by part, place rows between unbounded preceding and 1 preceding), 0L) as start"))
 
 
+def id_borders(docs: DataFrame, doc_id: str = "doc_id") -> list[int]:
+    """Ids that cut the rows into ranges of about equal number, one for each shuffle partition. Runs a job over the ids."""
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = F.coalesce(F.col(doc_id).cast("long"), F.lit(_NULL))
+    found = docs.agg(F.percentile_approx(key, [i / n for i in range(1, n)] or [0.5], 100 * n)).first()[0]
+    return sorted(found or [])
+
+
+def _range(doc_id: Column, borders: list[int], last: bool) -> Column:
+    """How many borders are below an id, or not above it."""
+    key, n = F.coalesce(doc_id, F.lit(_NULL)), len(borders)
+
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo).cast("long")
+        mid = (lo + hi) // 2
+        border = F.lit(borders[mid]).cast("long")
+        return F.when(border <= key if last else border < key, search(mid + 1, hi)).otherwise(search(lo, mid))
+
+    return search(0, n)
+
+
 def read_tokens(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
     """``doc_id, start, n_tokens, ids, ids_crc32`` of every document of the files.
 
@@ -245,8 +270,7 @@ def token_files(spark: SparkSession, docs: DataFrame, vocabulary: str, end: int)
     Only ``doc_id`` and ``text`` are read, so other columns don't matter.
     """
     folder = scratch_path(spark, "pfor")
-    tokens = materialize(token_ids(docs, vocabulary, end), "token-ids")
-    files = write_tokens(tokens, folder)
+    files = write_tokens(token_ids(docs, vocabulary, end), id_borders(docs), folder)
     if files.isEmpty():
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids binary, ids_crc32 long")
     return read_tokens(spark, folder, files)

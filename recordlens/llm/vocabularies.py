@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 from array import array
 from functools import lru_cache
 
@@ -33,14 +34,11 @@ class Memory:
 
     def recall(self, distinct: set[str]) -> tuple[dict[str, bytes], list[str]]:
         """What is known of some chunks, and those that are not known."""
-        found = dict(zip(distinct, map(self.late.get, distinct), strict=True))
-        new = []
-        for chunk in [c for c, ids in found.items() if ids is None]:
-            if (ids := self.older.get(chunk)) is None:
-                new.append(chunk)
-            else:
-                found[chunk] = self.late[chunk] = ids
-        return found, new
+        new = distinct.difference(self.late)
+        again = {c for c in new if c in self.older}
+        self.late.update((c, self.older[c]) for c in again)
+        known = list(distinct.difference(new)) + list(again) if new else list(distinct)
+        return dict(zip(known, map(self.late.__getitem__, known), strict=True)), list(new.difference(again))
 
     def learn(self, found: dict[str, bytes]) -> None:
         if len(self.late) + len(found) > self.most:
@@ -54,18 +52,37 @@ class Encoder:
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         os.environ.setdefault("RAYON_NUM_THREADS", "1")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        # The same vocabulary for what is one piece already, without the search for pieces.
+        self.bare = Tokenizer(self.tokenizer.model)
+        self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.lowers = self.tokenizer.normalizer is not None
         self.memory = Memory(REMEMBERED)
 
+    def _piece(self, word: str) -> str | None:
+        """A word of letters only as the vocabulary takes it, which is as one piece; None for anything else."""
+        if self.lowers:  # white space falls away; NFC and lower case as the library has them
+            word = word.strip(" \n\t\r")
+            if word.isascii() or ("\u03a3" not in word and unicodedata.is_normalized("NFC", word)):
+                word = word.lower()
+                return word if word.isalpha() else None
+            return None
+        return word if word.isalpha() or word[:1] == " " and word[1:].isalpha() else None
+
     def _ids(self, new: list[str]) -> dict[str, bytes]:
         out = {}
         for at in range(0, len(new), 5000):
             some = new[at : at + 5000]
-            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            out.update((c, array("I", e.ids).tobytes()) for c, e in zip(some, found, strict=True))
+            pieces = list(map(self._piece, some))
+            for tokenizer, texts, own in (
+                (self.bare, [p for p in pieces if p is not None], [c for c, p in zip(some, pieces, strict=True) if p is not None]),
+                (self.tokenizer, rest := [c for c, p in zip(some, pieces, strict=True) if p is None], rest),
+            ):
+                found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+                out.update((c, array("I", e.ids).tobytes()) for c, e in zip(own, found, strict=True))
         return out
 
     def _encode(self, new: list[str]) -> dict[str, bytes]:
@@ -90,8 +107,8 @@ class Encoder:
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
         out = []
-        for first in range(0, len(texts), 64):
-            cut = [chunks(t) for t in texts[first : first + 64]]
+        for first in range(0, len(texts), 128):
+            cut = [chunks(t) for t in texts[first : first + 128]]
             found, new = self.memory.recall(set().union(*cut))
             fresh = self._encode(new)
             found.update(fresh)
