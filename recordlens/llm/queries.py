@@ -70,9 +70,9 @@ def op6_superminhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_importance(spark: SparkSession, folder: str) -> DataFrame:
-    """Weight, key and rank of every document, and whether it is drawn."""
+    """Weight and key of every document, and whether it is drawn."""
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    return importance.resample(docs, _table(spark, folder, "labels")).select("doc_id", "log_weight", "gumbel_key", "draw_rank", "kept")
+    return importance.resample(docs, _table(spark, folder, "labels"), keep_text=False).select("doc_id", "log_weight", "gumbel_key", "kept")
 
 
 def op8_pigeonhole(spark: SparkSession, folder: str) -> DataFrame:

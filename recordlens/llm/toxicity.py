@@ -23,10 +23,12 @@ from recordlens.sources.scratch import materialize
 
 #: Labelled documents that the model is fitted on at most: those with the least hashes of their ids.
 MAX_LABELLED = 12_000
-#: Features of the model at most, those whose frequency differs most between the grades.
+#: Features of the model at most, those of the greatest chi-square.
 MAX_FEATURES = 4_000
 #: Documents of the sample that a feature has to be in.
-MIN_DOCS = 5
+MIN_DOCS = 3
+#: Chi-square between a feature and being graded above 0 at least; below it a small sample shows chance only.
+MIN_CHI = 10.0
 #: Starts of words that are features beside the whole words.
 PREFIXES = (4, 5)
 PENALTY = 1e-4
@@ -150,10 +152,12 @@ def fit_sample(sample: DataFrame, *, max_features: int = MAX_FEATURES) -> Severi
     n_clean = sum(n for g, n in sizes.items() if g == 0)
     n_toxic = sum(sizes.values()) - n_clean
     counts = sample.select("text", "grade").mapInArrow(_counted, "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    p, q = F.col("clean") / F.lit(float(max(n_clean, 1))), F.col("toxic") / F.lit(float(max(n_toxic, 1)))
-    both = (F.col("clean") + F.col("toxic")) / F.lit(float(n_clean + n_toxic))
-    apart = (p - q) * (p - q) / (both * (1 - both) + 1e-3)
-    best = counts.where(F.col("clean") + F.col("toxic") >= MIN_DOCS).orderBy(apart.desc(), "feature").limit(max_features)
+    n = float(n_clean + n_toxic)
+    held = F.col("clean") + F.col("toxic")
+    apart = F.col("toxic") * F.lit(float(n_clean)) - F.col("clean") * F.lit(float(n_toxic))
+    spread = held * (n - held) * F.lit(float(n_clean) * float(n_toxic))
+    counts = counts.where(held >= MIN_DOCS).withColumn("chi", F.when(spread > 0, n * apart * apart / spread).otherwise(0.0))
+    best = counts.where(F.col("chi") >= MIN_CHI).orderBy(F.desc("chi"), "feature").limit(max_features)
     names = [r["feature"] for r in best.select("feature").collect()]
     number = {f: i for i, f in enumerate(names)}
 
