@@ -30,7 +30,7 @@ MIN_DOCS = 3
 #: Chi-square between a feature and being graded above 0 at least; below it a small sample shows chance only.
 MIN_CHI = 10.0
 #: Starts of words that are features beside the whole words.
-PREFIXES = (4, 5)
+PREFIXES = (4, 5, 6, 7, 8)
 PENALTY = 1e-4
 STEPS = 400
 REJECT_FROM = 0.5
