@@ -1,7 +1,7 @@
 """Feature stages: Spark ML transformers and estimators with the settings this library uses.
 
-What Spark ML holds on the driver and sends to the executors is bounded here: the vocabulary by
-``vocab_size``, the labels of a category by a check. Beyond that use hashed terms, which need no
+What Spark ML holds on the driver and sends to the executors is bounded here: the vocabulary and
+the labels of a category by a check. Beyond that use hashed terms, which need no
 vocabulary, or the long form in ``recordlens.operators.terms``.
 """
 
@@ -24,13 +24,15 @@ from pyspark.ml.feature import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordlens.operators.terms import vocabulary
+from recordlens.operators.terms import most_frequent, vocabulary
+from recordlens.sources.scratch import materialize
 
+#: The plain Spark stage's setting; ``fit_count_vectorizer`` cuts nothing unless asked to.
 VOCAB_SIZE = 1 << 18
+#: Terms that a fitted vocabulary, which Spark ML holds on the driver, may have.
+DRIVER_TERMS = 1 << 20
 HASH_BUCKETS = 20_000
 MAX_LABELS = 100_000
-# CountVectorizer's fit merges the terms of all tasks on the driver; above this many it is not used.
-DRIVER_TERMS = 1_000_000
 
 
 def tokenizer(text: str = "text", out: str = "tokens", *, unicode: bool = False) -> RegexTokenizer:
@@ -63,24 +65,27 @@ def fit_count_vectorizer(
     out: str = "rawFeatures",
     *,
     min_df: float = 1.0,
-    vocab_size: int = VOCAB_SIZE,
+    vocab_size: int | None = None,
 ) -> CountVectorizerModel:
-    """Fit ``count_vectorizer`` on a corpus of any number of distinct terms. Runs jobs.
+    """Fit ``count_vectorizer`` on a corpus of any size. Runs jobs.
 
-    ``df`` is read more than once, so its tokens should be in a table and not computed on the way.
-    Spark ML's fit is used where the distinct terms are few, by an estimate made first, and none has
-    to be cut off. Otherwise the terms are counted and ranked over all tasks, equal counts in term
-    order, and only the ``vocab_size`` most frequent ones come to the driver.
+    Terms are counted and ranked over all tasks, equal counts in term order, so the same corpus gives the same
+    vocabulary however it is partitioned. Nothing is cut unless ``vocab_size`` asks for it. More terms than the
+    driver may hold are an error: use hashed terms or the long form then.
     """
-    distinct = df.select(F.explode(column).alias("term")).agg(F.approx_count_distinct("term")).first()[0]
-    if distinct <= DRIVER_TERMS:
-        model = count_vectorizer(column, out, min_df=min_df, vocab_size=vocab_size).fit(df)
-        if len(model.vocabulary) < vocab_size:
-            return model
-    kept = vocabulary(df, column, min_df=min_df, max_terms=vocab_size).select("term", "count").collect()
-    if not kept:
+    kept = ranked_terms(vocabulary(df, column, min_df=min_df), vocab_size).collect()
+    return counter_of([row["term"] for row in kept], column, out)
+
+
+def ranked_terms(terms: DataFrame, vocab_size: int | None = None) -> DataFrame:
+    """The terms that a model is to know, most frequent first; checked to fit the driver. Runs jobs."""
+    kept = materialize(terms if vocab_size is None else most_frequent(terms, vocab_size), "kept-terms")
+    n = kept.count()
+    if n == 0:
         raise ValueError("no term occurs in enough documents")
-    return counter_of([row["term"] for row in sorted(kept, key=lambda r: (-r["count"], r["term"]))], column, out)
+    if n > DRIVER_TERMS:
+        raise ValueError(f"{n} terms are more than {DRIVER_TERMS}: name a vocab_size, use hashed terms or the long form")
+    return kept.orderBy(F.desc("count"), "term")
 
 
 def hashing_tf(column: str = "filtered", out: str = "rawFeatures", *, buckets: int = HASH_BUCKETS) -> HashingTF:
@@ -107,10 +112,10 @@ def check_labels(df: DataFrame, columns: Sequence[str], max_labels: int = MAX_LA
     """Refuse categories of more labels than the driver should hold and a one-hot vector should have. Runs a job."""
     if not columns:
         return
-    counts = df.agg(*[F.approx_count_distinct(name).alias(name) for name in columns]).first()
+    counts = df.agg(*[F.count_distinct(name).alias(name) for name in columns]).first()
     for name in columns:
         if counts[name] > max_labels:
-            raise ValueError(f"{name} has about {counts[name]} labels, more than max_labels={max_labels}")
+            raise ValueError(f"{name} has {counts[name]} labels, more than max_labels={max_labels}")
 
 
 def one_hot_encoder(columns: Sequence[str], out: Sequence[str], *, drop_last: bool = True) -> OneHotEncoder:

@@ -14,7 +14,6 @@ from recordlens.sources.scratch import materialize
 
 # monotonically_increasing_id() keeps the row number within a partition in its lower 33 bits.
 _ROW_BITS = 33
-_SHORT_LIMIT = 10_000
 
 
 def add_tokens(df: DataFrame, text: str = "text", name: str = "tokens", *, unicode: bool = False) -> DataFrame:
@@ -50,7 +49,7 @@ def vocabulary(
     """``term, count, df``: occurrences and number of documents of each term.
 
     ``min_df`` keeps terms of at least so many documents, or, below 1, of at least that share of
-    them. ``max_terms`` keeps the most frequent terms; more than 10,000 run a job. Terms are counted
+    them. ``max_terms`` keeps the most frequent terms, which runs jobs. Terms are counted
     inside each document first, then per task, and only then shuffled.
     """
     terms = (
@@ -65,22 +64,16 @@ def vocabulary(
         terms = terms.where(F.col("df") >= n_documents * min_df)
     if max_terms is None:
         return terms
-    return most_frequent(terms if max_terms <= _SHORT_LIMIT else materialize(terms, "vocabulary"), max_terms)
+    return most_frequent(terms, max_terms)
 
 
 def most_frequent(terms: DataFrame, k: int) -> DataFrame:
     """The ``k`` terms of the highest counts; equal counts in term order.
 
-    A sorted limit sends up to ``k`` rows of every task to one task, which is fine for a short report.
-    Above 10,000 terms jobs are run: ``terms``, which should be a table then, is counted, and if
-    there are more than ``k`` its rows are numbered in a distributed sort.
+    The rows are numbered in a distributed sort, whatever ``k`` and their number. Runs jobs.
     """
-    order = [F.desc("count"), F.col("term")]
-    if k <= _SHORT_LIMIT:
-        return terms.orderBy(*order).limit(k)
-    if terms.count() <= k:
-        return terms
-    return global_index(terms, *order).where(F.col("index") < k).drop("index")
+    counted = materialize(terms, "terms")
+    return global_index(counted, F.desc("count"), F.col("term")).where(F.col("index") < k).drop("index")
 
 
 def idf(n_documents: Column, df: Column) -> Column:

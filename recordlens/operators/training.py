@@ -10,7 +10,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, VectorAssembler
 from pyspark.ml.linalg import Vectors
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
+from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplitModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +18,7 @@ from recordlens.operators import features as stages
 from recordlens.operators.clean import drop_missing
 from recordlens.operators.evaluate import f1_evaluator
 from recordlens.operators.split import SPLIT_SEED, split_by_hash
-from recordlens.operators.terms import idf, most_frequent, vocabulary
+from recordlens.operators.terms import idf, vocabulary
 from recordlens.sources.scratch import materialize
 
 # The hyper-parameters that the search tries.
@@ -41,7 +41,7 @@ class Recipe:
     label: str = "final_status"
     features: str = "join_features"
     min_df: float = 1.0
-    vocab_size: int = stages.VOCAB_SIZE
+    vocab_size: int | None = None
     unicode: bool = False
     hashed: bool = False
     buckets: int = stages.HASH_BUCKETS
@@ -89,7 +89,7 @@ def term_stages(recipe: Recipe) -> list:
     counter = (
         stages.hashing_tf(buckets=recipe.buckets)
         if recipe.hashed
-        else stages.count_vectorizer(min_df=recipe.min_df, vocab_size=recipe.vocab_size)
+        else stages.count_vectorizer(min_df=recipe.min_df, vocab_size=recipe.vocab_size or stages.VOCAB_SIZE)
     )
     return [counter, stages.idf()]
 
@@ -156,10 +156,14 @@ def _token_rows(train: DataFrame, recipe: Recipe) -> DataFrame:
 def fit_features(rows: DataFrame, recipe: Recipe) -> PipelineModel:
     """Fit the stages from ``filtered`` tokens to the vector that is learned from. Runs jobs."""
     stages.check_labels(rows, recipe.categories, recipe.max_labels)
-    counter, weights = term_stages(recipe)
-    if not recipe.hashed:
-        counter = stages.fit_count_vectorizer(rows, min_df=recipe.min_df, vocab_size=recipe.vocab_size)
-    return Pipeline(stages=[counter, weights, *category_stages(recipe), assemble_stage(recipe)]).fit(rows)
+    if recipe.hashed:
+        counted = term_stages(recipe)
+    elif recipe.min_df < 1:
+        share = vocabulary(rows, "filtered", min_df=recipe.min_df)
+        counted = _term_models(share, rows.count(), replace(recipe, min_df=1.0))
+    else:
+        counted = _term_models(vocabulary(rows, "filtered"), rows.count(), recipe)
+    return Pipeline(stages=[*counted, *category_stages(recipe), assemble_stage(recipe)]).fit(rows)
 
 
 def _fit_tokens(rows: DataFrame, recipe: Recipe) -> PipelineModel:
@@ -226,11 +230,8 @@ class Tuned:
 
 def _term_models(terms: DataFrame, n_documents: int, recipe: Recipe) -> list:
     """Term counts and weighting for one ``min_df``, from counted terms instead of another pass."""
-    kept = most_frequent(terms.where(F.col("df") >= recipe.min_df), recipe.vocab_size)
+    kept = stages.ranked_terms(terms.where(F.col("df") >= recipe.min_df), recipe.vocab_size)
     rows = kept.withColumn("idf", idf(F.lit(n_documents), F.col("df"))).collect()
-    if not rows:
-        raise ValueError(f"no term occurs in {recipe.min_df:g} documents")
-    rows.sort(key=lambda row: (-row["count"], row["term"]))
     weights = ElementwiseProduct(
         scalingVec=Vectors.dense([row["idf"] for row in rows]), inputCol="rawFeatures", outputCol="features"
     )
@@ -254,7 +255,7 @@ def tune(
     terms serves every ``min_df`` (which must be document numbers, at least 1), label numbers are
     fitted once, and the feature vectors of one ``min_df`` are written once for all penalties.
     Up to ``parallelism`` regressions run at a time. The parts are split by a hash of ``key``, which
-    ``recipe.keep`` must name. What the driver holds is bounded by ``recipe.vocab_size``.
+    ``recipe.keep`` must name. The terms that the driver holds are counted first.
     """
     if recipe.hashed:
         raise ValueError("a hashed recipe has no vocabulary and no min_df to tune")
@@ -302,27 +303,6 @@ def tune(
     return Tuned(model, best, tuple(scores))
 
 
-def search_estimator(
-    recipe: Recipe,
-    *,
-    reg_params: Sequence[float] = GRID_REG_PARAMS,
-    min_dfs: Sequence[float] = GRID_MIN_DFS,
-    train_ratio: float = 0.7,
-    seed: int = SPLIT_SEED,
-    parallelism: int = 4,
-) -> TrainValidationSplit:
-    """The same search as one Spark ML estimator. It repeats every stage at every grid point."""
-    whole = Pipeline(stages=classification_stages(recipe))
-    return TrainValidationSplit(
-        estimator=whole,
-        estimatorParamMaps=parameter_grid(whole, reg_params, min_dfs),
-        evaluator=f1_evaluator(recipe.label),
-        trainRatio=train_ratio,
-        seed=seed,
-        parallelism=parallelism,
-    )
-
-
 def save_model(model, path: str) -> None:
     """Save a fitted model, replacing what is at ``path``."""
     model.write().overwrite().save(path)

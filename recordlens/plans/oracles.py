@@ -102,7 +102,7 @@ n as (select count(*) as n_documents from documents)
 _ML_TERMS = (
     _TERMS
     + """
-, ml_vocab as (select * from vocab where df >= 2 order by "count" desc, term limit 262144)
+, ml_vocab as (select * from vocab)
 """
 )
 
@@ -241,11 +241,15 @@ ORACLES: dict[str, str] = {
         left join (select doc_id, string_agg(token, ' ' order by place) as joined from kept group by doc_id)
         using (doc_id)""",
     "term_frequencies": f"with {_TERMS} select doc_id, term, tf from tf",
-    "vocabulary": f"""with {_TERMS} select term, "count", df from vocab where df >= 5""",
+    "vocabulary": f"""with {_TERMS} select term, "count", df from vocab""",
+    "vocabulary_min_df": f"""with {_TERMS} select term, "count", df from vocab where df >= 5""",
+    "prepared_schema": f"""select cast(row_number() over () - 1 as integer) as position, column_name as "column",
+        case column_type when 'VARCHAR' then 'string' when 'INTEGER' then 'int' else lower(column_type) end as type
+        from (describe with {_PREPARED} select * from prepared)""",
     "vocabulary_by_share": f"""with {_TERMS} select term, "count", df from vocab, n where df >= n_documents * 0.01
         order by "count" desc, term limit 500""",
     "term_weights": f"""with {_TERMS} select doc_id, term, tf, df, {_WEIGHTS}
-        from tf join vocab using (term), n where df >= 2""",
+        from tf join vocab using (term), n""",
     "label_index": f"""with {_CAMPAIGNS} select deadline as label, count(*) as "count",
         {_INDEX.format(label="deadline")} as "index" from campaigns group by deadline""",
     "distinct_label_index": f"""with {_PREPARED} select country2,

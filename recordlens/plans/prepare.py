@@ -61,6 +61,6 @@ def prepare_records(raw: DataFrame, *, code_rule: str = "full", label: str = "Un
 
 
 def run(spark: SparkSession, csv_path: str, out_path: str, *, columns=RAW_COLUMNS, code_rule: str = "full") -> None:
-    """CSV in, prepared parquet out, replacing what is there."""
-    raw = read_csv(spark, csv_path, columns)
+    """CSV in, prepared parquet out, replacing what is there. Further columns of the CSV pass through."""
+    raw = read_csv(spark, csv_path, columns, others=True)
     write_parquet(prepare_records(raw, code_rule=code_rule), out_path, overwrite=True)

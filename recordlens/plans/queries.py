@@ -25,7 +25,6 @@ DOCUMENT_RECIPE = training.Recipe(
     numbers=("n_chars",),
     label="quality",
     keep=("doc_id",),
-    min_df=2,
 )
 # The usual values suit about 100,000 rows; these suit the test tables.
 DOCUMENT_MIN_DFS = (10.0, 20.0, 40.0)
@@ -108,13 +107,24 @@ def word_count_without_empty(spark, folder):
 def csv_round_trip(spark, folder):
     """Records with commas and quotes in their text, through CSV and back, then typed."""
     path = sources.scratch_path(spark, "campaigns-csv")
-    sources.write_csv(campaigns(spark, folder).drop("id"), path)
-    return sources.read_csv(spark, path, campaigns(spark, folder).drop("id").columns, prepare.TYPES)
+    records = campaigns(spark, folder)
+    # The id stands first and the others in another order than they are read in: columns go by their names.
+    sources.write_csv(records.select("id", *sorted(records.drop("id").columns)), path)
+    return sources.read_csv(spark, path, records.drop("id").columns, prepare.TYPES)
 
 
 @query
 def parquet_glob(spark, folder):
-    return sources.read_parquet(spark, f"{folder}/orders*.parquet")
+    """Several part files, matched by a glob."""
+    path = sources.scratch_path(spark, "parts")
+    sources.write_parquet(table(spark, folder, "orders").repartition(4), path)
+    return sources.read_parquet(spark, f"{path}/part-*.parquet")
+
+
+@query
+def prepared_schema(spark, folder):
+    """Position, name and type of the columns of the prepared records."""
+    return profile.schema_table(prepare.prepare_records(campaigns(spark, folder))).drop("nullable")
 
 
 @query
@@ -339,6 +349,12 @@ def term_frequencies(spark, folder):
 
 @query
 def vocabulary(spark, folder):
+    return terms.vocabulary(filtered_documents(documents(spark, folder)))
+
+
+@query
+def vocabulary_min_df(spark, folder):
+    """Terms of at least five documents."""
     return terms.vocabulary(filtered_documents(documents(spark, folder)), min_df=5)
 
 
@@ -350,7 +366,7 @@ def vocabulary_by_share(spark, folder):
 
 @query
 def term_weights(spark, folder):
-    weights = terms.term_weights(filtered_documents(documents(spark, folder)), "doc_id", min_df=2)
+    weights = terms.term_weights(filtered_documents(documents(spark, folder)), "doc_id")
     return weights.withColumn("tfidf", F.round("tfidf", 6))
 
 
@@ -390,7 +406,7 @@ def ml_token_table(docs: DataFrame) -> DataFrame:
 def count_vectors(spark, folder):
     """Counts per document and term, read out of the fitted vectors."""
     docs = ml_token_table(documents(spark, folder).select("doc_id", "text"))
-    model = features.fit_count_vectorizer(docs, min_df=2.0)
+    model = features.fit_count_vectorizer(docs)
     entries = features.vector_entries(model.transform(docs), "doc_id", "rawFeatures", "tf")
     return entries.join(features.vocabulary_table(model, docs), "position").select(
         "doc_id", "term", F.col("tf").cast("int").alias("tf")
@@ -400,7 +416,7 @@ def count_vectors(spark, folder):
 @query
 def idf_vectors(spark, folder):
     docs = ml_token_table(documents(spark, folder).select("doc_id", "text"))
-    counter = features.fit_count_vectorizer(docs, min_df=2.0)
+    counter = features.fit_count_vectorizer(docs)
     counted = counter.transform(docs)
     weighted = features.idf().fit(counted).transform(counted)
     entries = features.vector_entries(weighted, "doc_id", "features", "tfidf")

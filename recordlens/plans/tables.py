@@ -40,8 +40,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    """All documents; a single file is dealt out over the cores because text work is heavy."""
-    return read_parquet(spark, f"{folder}/documents.parquet", spread_few_files=True)
+    return read_parquet(spark, f"{folder}/documents.parquet")
 
 
 def campaigns(spark: SparkSession, folder: str) -> DataFrame:
@@ -51,5 +50,5 @@ def campaigns(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def labelled(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents that have labels, with them. Training gains nothing from more partitions than files."""
+    """Documents that have labels, with them."""
     return table(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id")

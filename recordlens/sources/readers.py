@@ -25,56 +25,38 @@ def read_text(spark: SparkSession, path: str | list[str], line_sep: str | None =
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
-    columns: Iterable[str],
+    columns: Iterable[str] | None = None,
     types: Mapping[str, str] | None = None,
     *,
+    others: bool = False,
     escape: str = '"',
     quote: str = '"',
     multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with a header, read as text and then narrowed to ``types``.
+    """CSV with a header, columns taken by their names in it, as text and then narrowed to ``types``.
 
-    The columns are named instead of inferred, which saves the extra pass over the files that
-    schema inference costs. A doubled quote inside quoted text is a literal quote (``escape``).
-    Text that does not parse as the wanted type becomes null. ``multi_line`` allows line breaks
-    inside quoted text, but each file is then read by one task, so leave it off for large files.
+    The names are read from the first line of one file; no pass infers types. The rows have ``columns`` in the given
+    order (all without it) and, with ``others``, whatever else the header names behind them. A wanted column that the header lacks
+    is a ``ValueError``, and a file whose header differs from the first one's fails when it is read. A doubled
+    quote inside quoted text is a literal quote (``escape``). Text that does not parse as the wanted type becomes null.
+    ``multi_line`` allows line breaks inside quoted text, but each file is then read by one task, so leave it off for large files.
     """
-    schema = T.StructType([T.StructField(name, T.StringType(), True) for name in columns])
-    raw = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("escape", escape)
-        .option("quote", quote)
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
+    options = {"header": True, "escape": escape, "quote": quote, "multiLine": multi_line}
+    found = spark.read.options(**options).csv(path).columns
+    wanted = list(found if columns is None else columns)
+    if missing := [name for name in wanted if name not in found]:
+        raise ValueError(f"the header names no column {', '.join(missing)}")
+    schema = T.StructType([T.StructField(name, T.StringType(), True) for name in found])
+    raw = spark.read.schema(schema).options(**options, enforceSchema=False).csv(path)
+    rest = [name for name in found if name not in wanted] if others else []
+    raw = raw.select(*[f"`{name}`" for name in [*wanted, *rest]])
     return cast_columns(raw, types) if types else raw
 
 
-def read_parquet(
-    spark: SparkSession,
-    path: str | list[str],
-    *,
-    merge_schema: bool = False,
-    spread_few_files: bool = False,
-) -> DataFrame:
+def read_parquet(spark: SparkSession, path: str | list[str], *, merge_schema: bool = False) -> DataFrame:
     """Parquet file, folder or glob.
 
-    ``merge_schema`` takes the union of the columns of all part files; it reads every footer, so it
-    is off by default. ``spread_few_files`` is for tables of fewer files than the session has cores,
-    which would otherwise keep most cores idle because a row group is never split: the rows are
-    dealt out over the cores. A table of many files is left as it is, without a shuffle.
+    ``merge_schema`` takes the union of the columns of all part files; it reads every footer, so it is off by default.
     """
     paths = [path] if isinstance(path, str) else path
-    df = spark.read.option("mergeSchema", merge_schema).parquet(*paths)
-    return _spread(df) if spread_few_files else df
-
-
-def _spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of fewer files than cores out over the cores.
-
-    The files are listed only where the scan has few partitions, so their list is short.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    few = df.rdd.getNumPartitions() <= 4 * cores and len(df.inputFiles()) < cores
-    return df.repartition(cores) if few else df
+    return spark.read.option("mergeSchema", merge_schema).parquet(*paths)

@@ -2,31 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_root: str | None = None
-
 
 def _root(spark: SparkSession) -> str:
-    global _local_root
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if shared:
-        return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="recordlens-")
-    return _local_root
+    return (shared or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under ``spark.checkpoint.dir``.
-
-    A machine-local folder is used only for a ``local`` master that names no folder.
-    """
+    """A fresh path under ``spark.checkpoint.dir``, or under the warehouse where that is not set."""
     return f"{_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 

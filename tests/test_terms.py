@@ -83,30 +83,21 @@ def test_vocabulary_limits(spark, small):
     assert by_share == {row["term"] for row in order if row["df"] >= 0.1 * n}
 
 
-def test_long_vocabulary_limit_equals_sorted_limit(spark, small, monkeypatch):
-    docs = filtered_documents(documents(spark, small))
-    counted = terms.vocabulary(docs)
-    short = terms.most_frequent(counted, 200)
-    monkeypatch.setattr(terms, "_SHORT_LIMIT", 10)
-    long = terms.most_frequent(counted, 200)
-    assert long.columns == short.columns and long.count() == 200
-    assert long.exceptAll(short).isEmpty()
-
-
-def test_both_ways_of_fitting_a_vocabulary_agree(spark, small, monkeypatch):
+def test_a_vocabulary_does_not_depend_on_partitions(spark, small):
     docs = filtered_documents(documents(spark, small)).select("filtered").cache()
-    by_spark = features.fit_count_vectorizer(docs, min_df=3)
-    monkeypatch.setattr(features, "DRIVER_TERMS", 0)
-    ranked = features.fit_count_vectorizer(docs, min_df=3)
-    assert set(by_spark.vocabulary) == set(ranked.vocabulary)
-    counts = {row["term"]: row["count"] for row in terms.vocabulary(docs).collect()}
-    for model in (by_spark, ranked):
-        in_order = [counts[term] for term in model.vocabulary]
-        assert in_order == sorted(in_order, reverse=True)
-    monkeypatch.undo()
-    # A vocabulary that is cut off is cut in a fixed order.
-    cut = features.fit_count_vectorizer(docs, min_df=3, vocab_size=40)
-    assert cut.vocabulary == ranked.vocabulary[:40]
+    one = features.fit_count_vectorizer(docs.coalesce(1), min_df=3)
+    many = features.fit_count_vectorizer(docs.repartition(7), min_df=3)
+    assert one.vocabulary == many.vocabulary
+    by_spark = features.count_vectorizer(min_df=3).fit(docs)
+    assert set(by_spark.vocabulary) == set(one.vocabulary)
+    assert features.fit_count_vectorizer(docs, min_df=3, vocab_size=40).vocabulary == one.vocabulary[:40]
+
+
+def test_more_terms_than_the_driver_may_hold_are_an_error(spark, small, monkeypatch):
+    docs = filtered_documents(documents(spark, small)).select("filtered")
+    monkeypatch.setattr(features, "DRIVER_TERMS", 10)
+    with pytest.raises(ValueError, match="more than 10"):
+        features.fit_count_vectorizer(docs)
 
 
 def test_weights_equal_idf_of_spark(spark, small):
