@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from recordlens.llm.vocabularies import Memory, chunks
 
 #: Chunks of text after which a worker starts a new memory, keeping the last one; about 200 bytes each.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 #: Longest match, in bytes, that is encoded in a matrix; longer ones are rows of their own.
 WIDEST = 256
 #: Cells of a matrix at most.
