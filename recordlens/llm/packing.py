@@ -38,14 +38,16 @@ def pieces(docs: DataFrame, vocabulary: str, end: int, length: int = LENGTH, doc
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, last = encoder(vocabulary), np.uint32(end).tobytes()
+        encode = encoder(vocabulary)
         for batch in batches:
             for at in range(0, len(batch), 500):
                 part = batch.slice(at, 500)
                 keys, out = part.column(0).to_pylist(), []
-                for key, raw in zip(keys, encode(["" if x is None else x for x in part.column(1).to_pylist()]), strict=True):
-                    raw += last
-                    n = len(raw) // 4
+                ids, offsets = encode(part.column(1))
+                whole = np.insert(ids, offsets[1:], end).tobytes()
+                borders = (offsets + np.arange(len(offsets))).tolist()
+                for key, here, there in zip(keys, borders, borders[1:], strict=False):
+                    raw, n = memoryview(whole)[4 * here : 4 * there], there - here
                     first = n % length or length
                     cuts = [0, *range(first, n + 1, length)] if n > length else [0, n]
                     out += [(key, i, a, b - a, zlib.crc32(raw[4 * a : 4 * b])) for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]

@@ -142,17 +142,20 @@ def token_ids(docs: DataFrame, vocabulary: str, end: int, doc_id: str = "doc_id"
     16 bits are used where all ids of a document fit; two bytes an id less to shuffle.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, last = encoder(vocabulary), np.uint32(end).tobytes()
+        encode = encoder(vocabulary)
         for batch in batches:
-            keys, column = batch.column(0), batch.column(1)
-            for at in range(0, len(column), 500):
-                found = encode(["" if x is None else x for x in column.slice(at, 500).to_pylist()])
-                sizes, out = [], []
-                for x in found:
-                    a = np.frombuffer(x + last, "<u4")
-                    sizes.append(len(a))
-                    out.append(a.astype("<u2").tobytes() if a.max() < 1 << 16 else a.tobytes())
-                yield pa.RecordBatch.from_arrays([keys.slice(at, 500), pa.array(sizes, pa.int64()), pa.array(out, pa.binary())], names=["doc_id", "n_tokens", "ids"])
+            for at in range(0, len(batch), 500):
+                keys, texts = batch.column(0).slice(at, 500), batch.column(1).slice(at, 500)
+                ids, offsets = encode(texts)
+                ids = np.insert(ids, offsets[1:], end)
+                offsets = offsets + np.arange(len(offsets))
+                sizes = np.diff(offsets)
+                short = np.maximum.reduceat(ids, offsets[:-1]) < 1 << 16
+                out = [
+                    (ids[a:b].astype("<u2") if s else ids[a:b]).tobytes()
+                    for a, b, s in zip(offsets[:-1].tolist(), offsets[1:].tolist(), short.tolist(), strict=True)
+                ]
+                yield pa.RecordBatch.from_arrays([keys, pa.array(sizes, pa.int64()), pa.array(out, pa.binary())], names=["doc_id", "n_tokens", "ids"])
 
     return docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(run, _FIELDS)
 

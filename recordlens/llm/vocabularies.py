@@ -4,26 +4,63 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import unicodedata
 from array import array
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from recordlens.llm.common import slices, utf8
+
 #: Chunks of text after which a worker starts a new memory, keeping the last one; about 200 bytes each.
-REMEMBERED = 250_000
+REMEMBERED = 500_000
+#: Chunks of more bytes are not remembered.
+LONGEST = 64
+#: Bytes of text that are cut and encoded at a time, but for a text that alone has more.
+SLICE = 1 << 23
 
-# Cutting in front of white space that follows other characters never cuts a token, because both vocabularies
+# Cutting in front of white space that follows other characters never cuts a token, because the vocabularies
 # split a text into pieces first, none of which goes on after a run of white space begins, and look only ahead.
 # That is so for the white space below. A text that holds any other is encoded in one piece.
 _CHUNK = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
-_OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_OTHER_SPACE = "[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_OTHER_SPACES = re.compile(_OTHER_SPACE)
+
 
+def _bytes_of(characters: str) -> np.ndarray:
+    """Which bytes are among some ASCII characters."""
+    return np.isin(np.arange(256), list(characters.encode()))
 
-_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+_SPACE = _bytes_of(" \n\t\r")
+_LETTER = _bytes_of(string.ascii_letters)
+_MARK = _bytes_of(string.punctuation)
 
 
 def chunks(text: str) -> list[str]:
     """A text cut where no token can reach across."""
-    return [text] if _OTHER_SPACE.search(text) else _CHUNK.findall(text)
+    return [text] if _OTHER_SPACES.search(text) else _CHUNK.findall(text)
+
+
+def _starts(raw: np.ndarray, offsets: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """Where the chunks of some texts begin in their bytes.
+
+    Beside white space, texts are cut between a letter and an ASCII mark, which no piece of these vocabularies
+    joins. Letters are ASCII's and U+00C0 to U+00FF without the two signs among them. Texts marked ``whole`` stay so.
+    """
+    cut = np.zeros(len(raw) + 1, bool)
+    space = _SPACE[raw]
+    np.greater(space[1:], space[:-1], out=cut[1:-1])
+    letter = _LETTER[raw]
+    letter[1:] |= (raw[:-1] == 0xC3) & (raw[1:] != 0x97) & (raw[1:] != 0xB7)
+    cut[1:-1] |= letter[:-1] & _MARK[raw[1:]]
+    for i in np.flatnonzero(whole).tolist():
+        cut[offsets[i] : offsets[i + 1]] = False
+    cut[offsets] = True
+    return np.flatnonzero(cut[:-1])
 
 
 class Memory:
@@ -72,50 +109,62 @@ class Encoder:
             return None
         return word if word.isalpha() or word[:1] == " " and word[1:].isalpha() else None
 
-    def _ids(self, new: list[str]) -> dict[str, bytes]:
-        out = {}
+    def _encode(self, new: list[bytes]) -> list[bytes]:
+        """The ids of chunks that are not known."""
+        out: list[bytes] = [b""] * len(new)
         for at in range(0, len(new), 5000):
-            some = new[at : at + 5000]
-            pieces = list(map(self._piece, some))
-            for tokenizer, texts, own in (
-                (self.bare, [p for p in pieces if p is not None], [c for c, p in zip(some, pieces, strict=True) if p is not None]),
-                (self.tokenizer, rest := [c for c, p in zip(some, pieces, strict=True) if p is None], rest),
-            ):
-                found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-                out.update((c, array("I", e.ids).tobytes()) for c, e in zip(own, found, strict=True))
+            texts = [c.decode() for c in new[at : at + 5000]]
+            pieces = list(map(self._piece, texts))
+            words = [i for i, p in enumerate(pieces) if p is not None]
+            others = [i for i, p in enumerate(pieces) if p is None]
+            for tokenizer, places, source in ((self.bare, words, pieces), (self.tokenizer, others, texts)):
+                found = tokenizer.encode_batch_fast([source[i] for i in places], add_special_tokens=False)
+                for i, e in zip(places, found, strict=True):
+                    out[at + i] = array("I", e.ids).tobytes()
         return out
 
-    def _encode(self, new: list[str]) -> dict[str, bytes]:
-        """The ids of chunks, and of the words in front of their marks.
-
-        Both vocabularies keep letters and marks apart, so the ids of a word with marks behind it are those of both.
-        """
-        pairs, words = [], set()
-        for chunk in new:
-            word = chunk.rstrip(_MARKS)
-            if word and word is not chunk and len(word) < len(chunk) and word[-1].isalpha():
-                pairs.append((chunk, word, chunk[len(word) :]))
-                words.update(pairs[-1][1:])
+    def _known(self, distinct: list[bytes]) -> list[bytes]:
+        """The ids of distinct chunks."""
+        late, older = self.memory.late, self.memory.older
+        found = list(map(late.get, distinct))
+        new, fresh = [], {}
+        for i in [i for i, x in enumerate(found) if x is None]:
+            found[i] = older.get(distinct[i])
+            if found[i] is None:
+                new.append(i)
             else:
-                words.add(chunk)
-        known, unknown = self.memory.recall(words)
-        fresh = self._ids(unknown)
-        known.update(fresh)
-        fresh.update((chunk, known[word] + known[marks]) for chunk, word, marks in pairs)
-        return fresh
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text."""
-        out = []
-        for first in range(0, len(texts), 128):
-            cut = [chunks(t) for t in texts[first : first + 128]]
-            found, new = self.memory.recall(set().union(*cut))
-            fresh = self._encode(new)
-            found.update(fresh)
-            self.memory.learn(fresh)
-            get = found.__getitem__
-            out += [b"".join(map(get, parts)) for parts in cut]
-        return out
+                fresh[distinct[i]] = found[i]
+        for i, ids in zip(new, self._encode([distinct[i] for i in new]), strict=True):
+            found[i] = ids
+            if len(distinct[i]) <= LONGEST:
+                fresh[distinct[i]] = ids
+        self.memory.learn(fresh)
+        return found
+
+    def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a column, one text after another, and the offsets of the texts among them.
+
+        Null is the empty text. Each slice of the column is cut by array operations and its distinct chunks
+        are looked up or encoded once; only those become Python objects.
+        """
+        raw, offsets = utf8(column)
+        whole = pc.fill_null(pc.match_substring_regex(column, _OTHER_SPACE), False).to_numpy(zero_copy_only=False)
+        parts, ends, total = [np.empty(0, "<u4")], [np.zeros(1, np.int64)], 0
+        for first, last in slices(offsets, SLICE):
+            part, local = raw[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
+            starts = _starts(part, local, whole[first:last]) if len(part) else np.empty(0, np.int64)
+            bounds = np.append(starts, len(part)).astype(np.int64)
+            cut = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(part)])
+            coded = cut.dictionary_encode()
+            found, codes = self._known(coded.dictionary.to_pylist()), coded.indices.to_numpy(zero_copy_only=False)
+            sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            begins = np.cumsum(sizes) - sizes
+            after = np.concatenate([[0], np.cumsum(sizes[codes])])  # ids in front of each chunk, and of all
+            at = np.repeat(begins[codes] - after[:-1], sizes[codes]) + np.arange(after[-1])
+            parts.append(np.frombuffer(b"".join(found), "<u4")[at])
+            ends.append(total + after[np.searchsorted(starts, local[1:])])
+            total += int(after[-1])
+        return np.concatenate(parts), np.concatenate(ends)
 
 
 @lru_cache(maxsize=4)

@@ -9,12 +9,13 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from recordlens.llm import bpe_matrix, chat_tree, impact_topk, importance, packing, pigeonhole, queries, superminhash, token_blocks, toxicity, url_rules
+from recordlens.llm import bpe_matrix, chat_tree, impact_topk, importance, packing, pigeonhole, queries, superminhash, token_blocks, toxicity, url_rules, vocabularies
 from recordlens.llm.common import components
 from recordlens.llm.vocabularies import Encoder, public_path
 
@@ -170,12 +171,19 @@ def test_token_files_of_odd_rows(spark):
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
-def test_chunks_give_the_library_ids(name):
+@pytest.mark.parametrize("slice_bytes", [vocabularies.SLICE, 100])
+def test_chunks_give_the_library_ids(name, slice_bytes, monkeypatch):
     encoder, rng = Encoder(public_path(name)), np.random.default_rng(1)
     texts = ["".join(rng.choice(list("aeitnrs HÉß漢 !1\n\t',.\u3000\x1cΣ́"), rng.integers(0, 60))) for _ in range(800)]
     texts += [t or "" for t in ODD_TEXTS] + ["<|endoftext|> <|startoftext|>x", "don't.\n\nab,,  .. $$"]
-    for text, ids in zip(texts, encoder(texts), strict=True):
-        assert np.frombuffer(ids, "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    texts += ["".join(rng.choice(list("atsréßÀÿ×÷ı€’'._-!<(3 \u0301\u0338"), rng.integers(0, 40))) for _ in range(2000)]
+    monkeypatch.setattr(vocabularies, "SLICE", slice_bytes)
+    for _ in range(2):  # again from memory
+        ids, offsets = encoder(pa.array([None, *texts, None]))
+        assert offsets[0] == offsets[1] == 0 and offsets[-1] == offsets[-2] == len(ids)
+        for text, a, b in zip(texts, offsets[1:], offsets[2:], strict=False):
+            assert ids[a:b].tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(encoder(pa.array([], pa.string()))[0]) == 0
 
 
 # url rules
