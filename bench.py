@@ -42,11 +42,13 @@ HEADLINE = (
     "idf_vectors",
     "hashed_term_vectors",
     "string_indexer",
+    "assembled_vectors",
+    "summary_of_texts",
     "split_sizes",
     "weighted_f1",
 )
 # Training runs once, without a warm-up.
-TRAINING = ("heldout_scores", "grid_report")
+TRAINING = ("heldout_scores", "heldout_f1", "saved_model_agreement", "grid_report", "campaign_models")
 
 
 def seconds(spark: SparkSession, name: str) -> float:

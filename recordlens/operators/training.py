@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, VectorAssembler
@@ -166,10 +167,15 @@ def fit_features(rows: DataFrame, recipe: Recipe) -> PipelineModel:
     return Pipeline(stages=[*counted, *category_stages(recipe), assemble_stage(recipe)]).fit(rows)
 
 
-def _fit_tokens(rows: DataFrame, recipe: Recipe) -> PipelineModel:
+def _fit_tokens(rows: DataFrame, recipe: Recipe, columns: Sequence[str]) -> list[PipelineModel]:
     described = fit_features(rows, recipe)
-    learned = classifier(recipe).fit(_learning_rows(described.transform(rows), recipe, "vectors"))
-    return PipelineModel([*token_stages(recipe), *described.stages, learned])
+    featured = described.transform(rows)
+    models = []
+    for column in columns:
+        own = replace(recipe, features=column)
+        learned = classifier(own).fit(_learning_rows(featured, own, "vectors"))
+        models.append(PipelineModel([*token_stages(recipe), *described.stages, learned]))
+    return models
 
 
 def fit(train: DataFrame, recipe: Recipe) -> PipelineModel:
@@ -178,7 +184,12 @@ def fit(train: DataFrame, recipe: Recipe) -> PipelineModel:
     Tokens are computed once and written to a scratch table, because the vocabulary, the weights and
     the label numbers each pass over them; so are the feature vectors, which the regression reads.
     """
-    return _fit_tokens(_token_rows(train, recipe), recipe)
+    return fit_each(train, recipe, (recipe.features,))[0]
+
+
+def fit_each(train: DataFrame, recipe: Recipe, columns: Sequence[str]) -> list[PipelineModel]:
+    """Like ``fit``, one model for each of several feature columns, over stages that are fitted once."""
+    return _fit_tokens(_token_rows(train, recipe), recipe, columns)
 
 
 def score(model: PipelineModel | TrainValidationSplitModel, df: DataFrame) -> DataFrame:
@@ -218,14 +229,19 @@ class Tuned:
     model: TrainValidationSplitModel
     best: Recipe
     scores: Sequence[tuple[float, float, float]]
+    n_fit: int
+    n_check: int
+    n_terms: dict[float, int]
 
     def report(self, spark: SparkSession) -> DataFrame:
-        """``min_df, reg_param, f1, chosen``, one row for each grid point."""
+        """``min_df, reg_param, f1, chosen, n_fit, n_check, n_terms``, one row for each grid point."""
+        best = (self.best.min_df, self.best.reg_param)
         rows = [
-            (min_df, reg, f1, min_df == self.best.min_df and reg == self.best.reg_param)
+            (min_df, reg, f1, (min_df, reg) == best, self.n_fit, self.n_check, self.n_terms[min_df])
             for min_df, reg, f1 in self.scores
         ]
-        return spark.createDataFrame(rows, "min_df double, reg_param double, f1 double, chosen boolean")
+        schema = "min_df double, reg_param double, f1 double, chosen boolean, n_fit long, n_check long, n_terms long"
+        return spark.createDataFrame(rows, schema)
 
 
 def _term_models(terms: DataFrame, n_documents: int, recipe: Recipe) -> list:
@@ -264,7 +280,7 @@ def tune(
     rows = _token_rows(train, recipe)
     fit_rows, check_rows = split_by_hash(rows, key, train_ratio, seed)
     terms = materialize(vocabulary(fit_rows, "filtered", min_df=min(min_dfs)), "terms")
-    n_documents = fit_rows.count()
+    n_documents, n_check, n_terms = fit_rows.count(), check_rows.count(), {}
     stages.check_labels(fit_rows, recipe.categories, recipe.max_labels)
     categories = Pipeline(stages=category_stages(recipe)).fit(fit_rows)
 
@@ -273,9 +289,9 @@ def tune(
     with ThreadPoolExecutor(parallelism) as pool:
         for min_df in min_dfs:
             point = replace(recipe, min_df=float(min_df))
-            featurize = PipelineModel(
-                [*_term_models(terms, n_documents, point), *categories.stages, assemble_stage(recipe)]
-            )
+            counter, weights = _term_models(terms, n_documents, point)
+            n_terms[float(min_df)] = weights.getScalingVec().size
+            featurize = PipelineModel([counter, weights, *categories.stages, assemble_stage(recipe)])
             fit_vectors = _learning_rows(featurize.transform(fit_rows), recipe, "fit")
             check_vectors = _learning_rows(featurize.transform(check_rows), recipe, "check")
 
@@ -283,15 +299,14 @@ def tune(
                 fitted = classifier(replace(point, reg_param=float(reg))).fit(fit_vectors)
                 return evaluator.evaluate(fitted.transform(check_vectors))
 
-            scores += [
-                (float(min_df), float(reg), f1) for reg, f1 in zip(reg_params, pool.map(f1_of, reg_params))
-            ]
+            run = inheritable_thread_target(train.sparkSession)(f1_of)
+            scores += [(float(min_df), float(reg), f1) for reg, f1 in zip(reg_params, pool.map(run, reg_params))]
 
     best_min_df, best_reg, _ = max(scores, key=lambda point: point[2])
     best = replace(recipe, min_df=best_min_df, reg_param=best_reg)
     whole = Pipeline(stages=classification_stages(recipe))
     grid = parameter_grid(whole, reg_params, min_dfs)
-    model = TrainValidationSplitModel(_fit_tokens(rows, best), [f1 for _, _, f1 in scores])
+    model = TrainValidationSplitModel(_fit_tokens(rows, best, (best.features,))[0], [f1 for _, _, f1 in scores])
     for param, value in (
         (model.estimator, whole),
         (model.estimatorParamMaps, grid),
@@ -300,7 +315,7 @@ def tune(
         (model.seed, seed),
     ):
         model.set(param, value)
-    return Tuned(model, best, tuple(scores))
+    return Tuned(model, best, tuple(scores), n_documents, n_check, n_terms)
 
 
 def save_model(model, path: str) -> None:

@@ -14,6 +14,7 @@ campaigns as (
     concat('Status ', o_orderstatus, ' of "class", ', o_orderpriority) as "desc",
     case when o_orderkey % 13 = 0 then null else replace(o_orderpriority, ' ', '-') end as keywords,
     case when o_orderkey % 17 = 0 then null when o_orderkey % 19 = 0 then 'abc'
+      when o_orderkey % 41 = 0 then concat(cast(cast(floor(o_totalprice) as bigint) as varchar(20)), '.75')
       else cast(cast(floor(o_totalprice) as bigint) as varchar(20)) end as goal,
     case when o_orderkey % 29 = 0 then null else {_EPOCH} end as launched_at,
     {_EPOCH} - (o_orderkey * 7919 % 2592000) as created_at,
@@ -102,21 +103,26 @@ n as (select count(*) as n_documents from documents)
 _ML_TERMS = (
     _TERMS
     + """
-, ml_vocab as (select * from vocab)
+, ml_vocab as (select *, cast(row_number() over (order by "count" desc, term) - 1 as integer) as position from vocab)
 """
 )
 
 _WEIGHTS = """round(tf * ln((n_documents + 1.0) / (df + 1.0)), 6) as tfidf"""
 
-_WORDS = """words as (select unnest(string_split({text}, ' ')) as word from documents)"""
+_LINES = """lines as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as value from documents)"""
+_SPACED = (
+    _LINES
+    + """, spaced as (select case when doc_id % 7 = 0 then concat(value, '  ')
+      when doc_id % 7 = 1 then replace(value, ' ', '  ') when doc_id % 7 = 2 then ''
+      when doc_id % 7 = 3 then '   ' else value end as value from lines)"""
+)
+_WORDS = _LINES + """, words as (select unnest(string_split({text}, ' ')) as word from lines)"""
 
 
-def _word_count(text: str = "text", condition: str = "true", tail: str = "") -> str:
+def _word_count(text: str = "value", tail: str = "") -> str:
     return f"""with {_WORDS.format(text=text)}
-select word, count(*) as "count" from words where {condition} group by word {tail}"""
-
+select word, count(*) as "count" from words group by word {tail}"""
 
-_LINES = """lines as (select unnest(string_split(coalesce(text, ''), chr(10))) as value from documents)"""
 
 _INDEX = """row_number() over (order by count(*) desc, {label}) - 1"""
 
@@ -154,18 +160,18 @@ ORACLES: dict[str, str] = {
     "word_count_of_lines": f"""with {_LINES}, words as (select unnest(string_split(value, ' ')) as word from lines)
         select word, count(*) as "count" from words group by word""",
     "top_words": _word_count(tail='order by "count" desc, word limit 10'),
-    "word_count_folded": _word_count("lower(text)"),
-    "top_words_folded": _word_count("lower(text)", tail='order by "count" desc, word limit 10'),
-    "word_count_refolded": f"""with {_WORDS.format(text="text")},
+    "word_count_folded": _word_count("lower(value)"),
+    "top_words_folded": _word_count("lower(value)", tail='order by "count" desc, word limit 10'),
+    "word_count_refolded": f"""with {_WORDS.format(text="value")},
         counts as (select word, count(*) as n from words group by word)
         select lower(word) as word, cast(sum(n) as bigint) as "count" from counts group by 1""",
-    "word_count_java_split": f"""with {_WORDS.format(text="rtrim(text, ' ')")}, kept as (
-          select word from words where false
-          union all
-          select unnest(string_split(rtrim(text, ' '), ' ')) from documents
-          where text = '' or rtrim(text, ' ') <> '')
+    "word_count_java_split": f"""with {_SPACED}, kept as (
+          select unnest(string_split(rtrim(value, ' '), ' ')) as word from spaced
+          where value = '' or rtrim(value, ' ') <> '')
         select word, count(*) as "count" from kept group by word""",
-    "word_count_without_empty": _word_count("lower(text)", "word <> ''"),
+    "word_count_without_empty": f"""with {_SPACED},
+        words as (select unnest(string_split(lower(value), ' ')) as word from spaced)
+        select word, count(*) as "count" from words where word <> '' group by word""",
     # Sources and sinks
     "csv_round_trip": f"with {_TYPED} select * exclude (id) from typed",
     "parquet_glob": "select * from orders",
@@ -259,7 +265,7 @@ ORACLES: dict[str, str] = {
         select label, "index", "index" as position, cast(1 as double) as value from indexed
         where "index" < (select max("index") from indexed)""",
     # Spark ML features
-    "count_vectors": f"with {_ML_TERMS} select doc_id, term, tf from tf join ml_vocab using (term)",
+    "count_vectors": f"with {_ML_TERMS} select doc_id, term, position, tf from tf join ml_vocab using (term)",
     "idf_vectors": f"with {_ML_TERMS} select doc_id, term, {_WEIGHTS} from tf join ml_vocab using (term), n",
     "hashed_term_vectors": f"""with {_tokens()} select doc_id, 20000 as n_buckets, coalesce(m, 0) as n_terms
         from documents left join (select doc_id, count(*) as m from kept group by doc_id) using (doc_id)""",
@@ -299,9 +305,41 @@ ORACLES: dict[str, str] = {
         select id, backers_count / 500.0::double as p1,
           case when backers_count / 500.0::double > 0.3 then 1.0::double else 0.0::double end as predictions
         from campaigns""",
+    "random_split_shares": "select count(*) as n_rows, count(*) as n_ids, true as near_share from orders",
+    "hashed_term_buckets": f"""with {_tokens()}
+        select count(*) as n_terms, 0::bigint as n_different, 0::bigint as n_outside from kept""",
     # Trained models: what holds for any fitted model
+    "heldout_scores": f"""select doc_id, quality, true as p1_in_range, true as by_threshold
+        from documents join labels using (doc_id) where not {_hash_share("doc_id", 0.9)}""",
+    "heldout_f1": f"""select count(*) as n_rows, true as f1_agrees, features
+        from documents join labels using (doc_id), (values ('join_features'), ('features')) as f(features)
+        where not {_hash_share("doc_id", 0.9)} group by features""",
+    "grid_report": f"""with fit_rows as (select doc_id, text from documents join labels using (doc_id)
+          where {_hash_share("doc_id", 0.7)}),
+        check_rows as (select doc_id from documents join labels using (doc_id)
+          where {_hash_share("doc_id", 0.9)} and not {_hash_share("doc_id", 0.7)}),
+        {_tokens("fit_rows")},
+        dfs as (select token, count(distinct doc_id) as df from kept group by token)
+        select min_df, reg_param, (select count(*) from fit_rows) as n_fit, (select count(*) from check_rows) as n_check,
+          (select count(*) from dfs where df >= min_df) as n_terms,
+          true as f1_in_range, true as one_chosen, true as best_chosen
+        from (values (10::double), (20::double), (40::double)) as m(min_df),
+          (values (1e-7::double), (1e-5::double), (1e-3::double), (1e-1::double)) as r(reg_param)""",
+    "plain_stages_agreement": f"""select count(*) as n_rows, 0::bigint as n_different
+        from documents join labels using (doc_id) where not {_hash_share("doc_id", 0.9)}""",
+    "country_rates": f"""with {_PREPARED}
+        select country2, round(avg(final_status), 4) as p1 from prepared group by country2""",
+    "campaign_calibration": f"""with {_PREPARED}, parts as (select *, {_hash_share("id", 0.9)} as first from prepared)
+        select count(*) filter (first) as n_train, round(avg(final_status) filter (first), 4) as mean_p1,
+          count(*) filter (not first) as n_test from parts""",
+    "campaign_models": f"""with {_PREPARED}
+        select model, final_status, count(*) as n_rows, count(*) as n_right, true as f1_agrees
+        from prepared, (values ('simple'), ('text'), ('tuned'), ('reloaded')) as m(model)
+        where not {_hash_share("id", 0.9)} group by model, final_status""",
     "heldout_threshold_agreement": f"""select count(*) as n_rows, 0::bigint as n_different
         from documents join labels using (doc_id) where not {_hash_share("doc_id", 0.9)}""",
     "saved_model_agreement": f"""select count(*) as n_rows, 0::bigint as n_different
         from documents join labels using (doc_id) where not {_hash_share("doc_id", 0.9)}""",
 }
+ORACLES["assembled_slots"] = f"""select cast(sum(n_entries) as bigint) as n_entries, 0::bigint as n_different
+    from ({ORACLES["assembled_vectors"]})"""

@@ -8,13 +8,13 @@ from dataclasses import replace
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recordlens import sources
 from recordlens.operators import clean, evaluate, features, profile, split, terms, training, words
 from recordlens.plans import prepare
-from recordlens.plans.tables import campaigns, documents, labelled, table
+from recordlens.plans.tables import campaigns, documents, labelled, lines, spaced_lines, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -58,7 +58,7 @@ def first_lines(spark, folder):
 
 @query
 def word_count(spark, folder):
-    return words.count_words(documents(spark, folder), "text")
+    return words.count_words(lines(spark, folder))
 
 
 @query
@@ -71,33 +71,33 @@ def word_count_of_lines(spark, folder):
 
 @query
 def top_words(spark, folder):
-    return words.top(words.count_words(documents(spark, folder), "text"), 10)
+    return words.top(words.count_words(lines(spark, folder)), 10)
 
 
 @query
 def word_count_folded(spark, folder):
-    return words.count_words(documents(spark, folder), "text", fold=True)
+    return words.count_words(lines(spark, folder), fold=True)
 
 
 @query
 def top_words_folded(spark, folder):
-    return words.top(words.count_words(documents(spark, folder), "text", fold=True), 10)
+    return words.top(words.count_words(lines(spark, folder), fold=True), 10)
 
 
 @query
 def word_count_refolded(spark, folder):
     """Counted first, folded and summed after."""
-    return words.fold_counts(words.count_words(documents(spark, folder), "text"))
+    return words.fold_counts(words.count_words(lines(spark, folder)))
 
 
 @query
 def word_count_java_split(spark, folder):
-    return words.count_words(documents(spark, folder), "text", java_split=True)
+    return words.count_words(spaced_lines(spark, folder), java_split=True)
 
 
 @query
 def word_count_without_empty(spark, folder):
-    return words.count_words(documents(spark, folder), "text", fold=True, drop_empty=True)
+    return words.count_words(spaced_lines(spark, folder), fold=True, drop_empty=True)
 
 
 # Sources and sinks
@@ -404,12 +404,12 @@ def ml_token_table(docs: DataFrame) -> DataFrame:
 
 @query
 def count_vectors(spark, folder):
-    """Counts per document and term, read out of the fitted vectors."""
+    """Counts per document and term with the term's position, read out of the fitted vectors."""
     docs = ml_token_table(documents(spark, folder).select("doc_id", "text"))
     model = features.fit_count_vectorizer(docs)
     entries = features.vector_entries(model.transform(docs), "doc_id", "rawFeatures", "tf")
     return entries.join(features.vocabulary_table(model, docs), "position").select(
-        "doc_id", "term", F.col("tf").cast("int").alias("tf")
+        "doc_id", "term", "position", F.col("tf").cast("int").alias("tf")
     )
 
 
@@ -438,6 +438,23 @@ def hashed_term_vectors(spark, folder):
     )
 
 
+@query
+def hashed_term_buckets(spark, folder):
+    """Counted terms of all documents, and buckets whose count is not that of the terms which hash there one by one."""
+    docs = ml_token_table(documents(spark, folder).select("doc_id", "text"))
+    hashing = features.hashing_tf()
+    entries = features.vector_entries(hashing.transform(docs), "doc_id", "rawFeatures", "found")
+    counted = terms.term_frequencies(docs, "doc_id")
+    alone = counted.select("term").distinct().withColumn("filtered", F.array("term"))
+    buckets = features.vector_entries(hashing.transform(alone), "term", "rawFeatures").drop("value")
+    wanted = counted.join(buckets, "term").groupBy("doc_id", "position").agg(F.sum("tf").alias("tf"))
+    return entries.join(wanted, ["doc_id", "position"], "full").agg(
+        F.sum("found").cast("bigint").alias("n_terms"),
+        F.count_if(~F.col("found").eqNullSafe(F.col("tf").cast("double"))).alias("n_different"),
+        F.count_if(~F.col("position").between(0, features.HASH_BUCKETS - 1)).alias("n_outside"),
+    )
+
+
 @query
 def string_indexer(spark, folder):
     docs = documents(spark, folder).select("lang", "source")
@@ -477,6 +494,28 @@ def assembled_vectors(spark, folder):
     )
 
 
+@query
+def assembled_slots(spark, folder):
+    """Entries of the assembled vectors, and those that are not the parts' entries at the parts' places."""
+    docs = documents(spark, folder).withColumn("quality", F.lit(0))
+    rows = ml_token_table(training.training_input(docs, DOCUMENT_RECIPE))
+    made = training.fit_features(rows, DOCUMENT_RECIPE).transform(rows)
+    parts = ["features", *DOCUMENT_RECIPE.encoded]
+    sizes = made.select(*[F.size(vector_to_array(name)).alias(name) for name in parts]).first() or dict.fromkeys(parts, 0)
+    number = made.select("doc_id", F.lit(sizes["features"]).alias("position"), F.col("n_chars").alias("value"))
+    wanted, start = features.vector_entries(made, "doc_id", "features").union(number), sizes["features"] + 1
+    for name in DOCUMENT_RECIPE.encoded:
+        part = features.vector_entries(made, "doc_id", name)
+        wanted = wanted.union(part.withColumn("position", F.col("position") + start))
+        start += sizes[name]
+    found = features.vector_entries(made, "doc_id", "join_features", "found").where("found <> 0")
+    both = found.join(wanted.where("value <> 0"), ["doc_id", "position"], "full")
+    return both.agg(
+        F.count("found").alias("n_entries"),
+        F.count_if(~F.col("found").eqNullSafe(F.col("value"))).alias("n_different"),
+    )
+
+
 # Splits, scores, training
 
 
@@ -494,6 +533,18 @@ def random_split_union(spark, folder):
     return train.union(test)
 
 
+@query
+def random_split_shares(spark, folder):
+    """Rows and distinct ids of both parts of the random split, and whether the first has its share."""
+    train, test = split.split_at_random(table(spark, folder, "orders").select("o_orderkey"))
+    parts = train.withColumn("first", F.lit(1)).union(test.withColumn("first", F.lit(0)))
+    return parts.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("o_orderkey").alias("n_ids"),
+        F.avg("first").between(0.88, 0.92).alias("near_share"),
+    )
+
+
 @query
 def confusion_counts(spark, folder):
     return evaluate.confusion(table(spark, folder, "labels"), "quality", "toxic")
@@ -518,24 +569,33 @@ def document_parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFra
 
 @query
 def heldout_scores(spark, folder):
-    """Train on nine tenths of the labelled documents and score the rest."""
+    """Train on nine tenths of the labelled documents, score the rest, and check each row's probability and class."""
     train, test = document_parts(spark, folder)
     scored = training.score(training.fit(train, DOCUMENT_RECIPE), test)
+    p1 = vector_to_array("probability")[1]
     return scored.select(
-        "doc_id", "quality", F.round(vector_to_array("probability")[1], 6).alias("p1"), "predictions"
+        "doc_id", "quality", p1.between(0, 1).alias("p1_in_range"), (F.col("predictions") == F.when(p1 > 0.3, 1).otherwise(0)).alias("by_threshold")
     )
 
 
 @query
 def heldout_f1(spark, folder):
-    """Held-out score of the model over all features and of the one over text alone."""
+    """Held-out rows of the models over all features and over text alone, and whether both forms of their F1 agree."""
     train, test = document_parts(spark, folder)
+    columns = ("join_features", "features")
     reports = []
-    for column in ("join_features", "features"):
-        recipe = replace(DOCUMENT_RECIPE, features=column)
-        scored = training.score(training.fit(train, recipe), test)
-        reports.append(evaluate.weighted_f1(scored, "quality").withColumn("features", F.lit(column)))
-    return reports[0].union(reports[1]).withColumn("f1", F.round("f1", 6))
+    for column, model in zip(columns, training.fit_each(train, DOCUMENT_RECIPE, columns), strict=True):
+        scored = training.score(model, test)
+        reports.append(_f1_report(scored, "quality").withColumn("features", F.lit(column)))
+    return reports[0].union(reports[1])
+
+
+def _f1_report(scored: DataFrame, label: str) -> DataFrame:
+    """``n_rows``, and whether the F1 of the table is in range and that of Spark's evaluator."""
+    rows = sources.materialize(scored.select(F.col(label).cast("double").alias(label), "predictions"), "scored")
+    f1 = evaluate.f1_evaluator(label).evaluate(rows)
+    report = evaluate.weighted_f1(rows, label)
+    return report.select("n_rows", (F.col("f1").between(0, 1) & (F.abs(F.col("f1") - f1) < 1e-9)).alias("f1_agrees"))
 
 
 @query
@@ -569,7 +629,90 @@ def saved_model_agreement(spark, folder):
 
 @query
 def grid_report(spark, folder):
-    """Validation score of every grid point, and which one was chosen."""
+    """Rows and terms behind every grid point, and whether one point, the best, was chosen."""
     train, _ = document_parts(spark, folder)
     tuned = training.tune(train, DOCUMENT_RECIPE, "doc_id", min_dfs=DOCUMENT_MIN_DFS)
-    return tuned.report(spark).withColumn("f1", F.round("f1", 6))
+    grid = Window.partitionBy(F.lit(1))  # one row for each grid point
+    return tuned.report(spark).select(
+        "min_df",
+        "reg_param",
+        "n_fit",
+        "n_check",
+        "n_terms",
+        F.col("f1").between(0, 1).alias("f1_in_range"),
+        (F.count_if("chosen").over(grid) == 1).alias("one_chosen"),
+        (F.max(F.when(F.col("chosen"), F.col("f1"))).over(grid) == F.max("f1").over(grid)).alias("best_chosen"),
+    )
+
+
+@query
+def plain_stages_agreement(spark, folder):
+    """Held-out rows that the plain Spark stages, fitted in one pipeline, score differently."""
+    train, test = document_parts(spark, folder)
+    recipe = replace(DOCUMENT_RECIPE, reg_param=0.01)
+    p1 = vector_to_array("probability")[1]
+    plain = Pipeline(stages=training.classification_stages(recipe)).fit(train).transform(test)
+    scored = training.score(training.fit(train, recipe), test).select("doc_id", p1.alias("p"))
+    return scored.join(plain.select("doc_id", p1.alias("q")), "doc_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.abs(F.col("p") - F.col("q")) > 1e-4).alias("n_different")
+    )
+
+
+# The whole chain: prepared records, trained, tuned, saved, scored
+
+CAMPAIGN_RECIPE = training.Recipe(keep=("id",))
+
+
+def campaign_parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    records = prepare.prepare_records(campaigns(spark, folder))
+    return split.split_by_hash(training.training_input(records, CAMPAIGN_RECIPE), "id", 0.9)
+
+
+@query
+def country_rates(spark, folder):
+    """Fitted probability of each country from the country alone, which without a penalty is its share of label 1."""
+    recipe = training.Recipe(categories=("country2",), numbers=(), features="country_onehot", tol=1e-9)
+    rows = prepare.prepare_records(campaigns(spark, folder)).select("country2", "final_status")
+    chain = Pipeline(stages=[*training.category_stages(recipe), training.classifier(recipe)])
+    p1 = vector_to_array("probability")[1]
+    return chain.fit(rows).transform(rows).groupBy("country2").agg(F.round(F.max(p1), 4).alias("p1"))
+
+
+@query
+def campaign_calibration(spark, folder):
+    """Rows of both parts, and the mean probability over the training rows, which with an intercept is their label's mean."""
+    train, test = campaign_parts(spark, folder)
+    scored = training.score(training.fit(train, CAMPAIGN_RECIPE), train)
+    mean = scored.agg(F.count(F.lit(1)).alias("n_train"), F.round(F.avg(vector_to_array("probability")[1]), 4).alias("mean_p1"))
+    return mean.join(test.agg(F.count(F.lit(1)).alias("n_test")))
+
+
+@query
+def campaign_models(spark, folder):
+    """Held-out records by model and label, and how many of them are as they should be.
+
+    The simple model over all features and over text alone: class by the thresholds. The tuned model: the same.
+    The tuned model saved and loaded: the class that the tuned model gave.
+    """
+    train, test = campaign_parts(spark, folder)
+    simple, text = training.fit_each(train, CAMPAIGN_RECIPE, ("join_features", "features"))
+    tuned = training.tune(train, CAMPAIGN_RECIPE, "id").model
+    path = sources.scratch_path(spark, "tuned")
+    training.save_model(tuned, path)
+    rule = evaluate.threshold_decision(vector_to_array("probability")[1], CAMPAIGN_RECIPE.thresholds)
+    reports = []
+    for name, model in (("simple", simple), ("text", text), ("tuned", tuned)):
+        scored = training.score(model, test).withColumn("right", F.col("predictions") == rule)
+        reports.append(_by_label(scored, name))
+    first = training.score(tuned, test).select("id", F.col("predictions").alias("before"))
+    again = training.score(training.load_tuned(path), test).join(first, "id")
+    reports.append(_by_label(again.withColumn("right", F.col("predictions") == F.col("before")), "reloaded"))
+    return reports[0].union(reports[1]).union(reports[2]).union(reports[3])
+
+
+def _by_label(scored: DataFrame, name: str) -> DataFrame:
+    """Rows by label, and how many are right; the F1 of the table must be that of Spark's evaluator."""
+    rows = sources.materialize(scored.select("final_status", "predictions", "right"), "scored")
+    agrees = _f1_report(rows, "final_status").select("f1_agrees")
+    by_label = rows.groupBy("final_status").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("right").alias("n_right"))
+    return by_label.join(F.broadcast(agrees)).select(F.lit(name).alias("model"), "*")  # one row

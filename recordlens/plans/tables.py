@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from recordlens.sources import read_parquet
 
@@ -18,6 +19,7 @@ _CAMPAIGNS = {
     "desc": """concat('Status ', o_orderstatus, ' of "class", ', o_orderpriority)""",
     "keywords": "case when o_orderkey % 13 = 0 then null else replace(o_orderpriority, ' ', '-') end",
     "goal": """case when o_orderkey % 17 = 0 then null when o_orderkey % 19 = 0 then 'abc'
+        when o_orderkey % 41 = 0 then concat(cast(cast(floor(o_totalprice) as bigint) as string), '.75')
         else cast(cast(floor(o_totalprice) as bigint) as string) end""",
     "launched_at": f"case when o_orderkey % 29 = 0 then null else {_EPOCH} end",
     "created_at": f"{_EPOCH} - (o_orderkey * 7919 % 2592000)",
@@ -43,6 +45,20 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return read_parquet(spark, f"{folder}/documents.parquet")
 
 
+def lines(spark: SparkSession, folder: str) -> DataFrame:
+    """``doc_id, value``: the lines of all documents. A null text is one empty line."""
+    parts = F.split(F.coalesce("text", F.lit("")), "\n")
+    return documents(spark, folder).select("doc_id", F.explode(parts).alias("value"))
+
+
+def spaced_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines, some of them with trailing or doubled spaces, of nothing but spaces, or empty."""
+    return lines(spark, folder).selectExpr(
+        """case when doc_id % 7 = 0 then concat(value, '  ') when doc_id % 7 = 1 then replace(value, ' ', '  ')
+        when doc_id % 7 = 2 then '' when doc_id % 7 = 3 then '   ' else value end as value"""
+    )
+
+
 def campaigns(spark: SparkSession, folder: str) -> DataFrame:
     """Campaign records derived from ``orders``, with a share of broken codes and missing values."""
     orders = table(spark, folder, "orders")
