@@ -2,8 +2,9 @@
 
 Vectors of small integers are kept as postings: for each dimension and value a segment of the vectors that have it. A
 query gives every segment an impact, its own component times the value. Segments are processed by falling
-impact and their vectors' scores added up. A bound for what is still to come of each dimension shows which vectors can be
-among the best; processing stops when the bound proves that only few can, and those are scored exactly.
+impact, negative ones too, and their vectors' scores added up. A bound for what is still to come of each dimension shows
+which vectors can be among the best; processing stops when the bound proves that only few can, and those are scored
+exactly. Where it never does, all segments are processed and the sums are the scores.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ from recordlens.sources.scratch import materialize
 SHARD = 8192
 #: Queries that meet a shard at a time.
 QUERIES = 1024
-#: Impacts down to which a query's segments are processed before the proof is tried, as shares of its greatest one.
-LEVELS = (0.5, 0.3, 0.18, 0.1, 0.05, 0.02)
+#: The proof is tried whenever about this share of a query's postings has been processed.
+STEP = 1 / 32
 #: The rest is scored exactly once at most so many vectors, or this share of the shard, can still be among the best.
 FEW, FEW_SHARE = 64, 0.1
 #: Components beyond this are taken as this, so that sums of products fit 64 bits.
@@ -34,59 +35,61 @@ class Shard:
     """The index of some vectors: for each dimension its vectors in the order of their values; equal values are a segment."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        self.ids, self.vectors = ids, vectors.astype(np.float64)  # whole numbers, exact in sums below 2**53
-        self.order = np.ascontiguousarray(np.argsort(vectors, axis=0, kind="stable").T)
-        self.values = np.take_along_axis(np.ascontiguousarray(vectors.T), self.order, 1)
+        self.ids, self.vectors = ids, vectors
+        order = np.ascontiguousarray(np.argsort(vectors, axis=0, kind="stable").T)
+        values = np.take_along_axis(np.ascontiguousarray(vectors.T), order, 1)
+        self.least, self.most = values[:, 0], values[:, -1]
+        first = np.ones(values.shape, bool)
+        np.not_equal(values[:, 1:], values[:, :-1], out=first[:, 1:])
+        self.places, self.start = order.ravel(), np.flatnonzero(first)
+        self.size = np.diff(np.append(self.start, order.size))
+        self.dimension, self.value = self.start // len(vectors), values.ravel()[self.start]
 
     def search(self, query: np.ndarray, k: int, skip: int) -> tuple[np.ndarray, np.ndarray]:
         """Places and scores of the ``k`` best by falling score and rising id, without the vectors of the id ``skip``."""
-        n, d = self.vectors.shape
-        exactly = query.astype(np.float64)
-        own = np.flatnonzero(self.ids == skip)
-        live = np.flatnonzero(query)
-        greatest = np.maximum(query * self.values[:, 0], query * self.values[:, -1])
-        top = int(greatest.max()) if d else 0
-        # Sum of the processed impacts and, in its low digits, how many dimensions they are of.
-        unit = d + 1
-        total = np.zeros(n, np.int64)
-        # The dimension's processed vectors: from the highest values on for a positive component, else from the lowest.
-        ends = np.where(query > 0, n, 0)
-        candidates = None
-        for share in LEVELS:
-            level = max(1, int(top * share))
-            for i in live:
-                q = int(query[i])
-                if greatest[i] < level:
-                    continue
-                if q > 0:
-                    to = int(np.searchsorted(self.values[i], -(-level // q), "left"))
-                    part = slice(to, ends[i])
-                else:
-                    to = int(np.searchsorted(self.values[i], -(-level // -q) * -1, "right"))
-                    part = slice(ends[i], to)
-                if part.start < part.stop:
-                    total[self.order[i, part]] += self.values[i, part] * (q * unit) + 1
-                    ends[i] = to
-            # A vector not met in a dimension has an impact below the level there, and of the dimensions without a
-            # query component none.
-            score, met = total // unit, total % unit
-            bound = score + (len(live) - met) * (level - 1)
-            m = min(n, k + len(own) + 8)
-            best = np.argpartition(-score, m - 1)[:m]
-            exact = self.vectors[best] @ exactly
-            exact = exact[~np.isin(best, own)]
-            if len(exact) >= k:
-                floor = np.partition(exact, len(exact) - k)[len(exact) - k]
-                possible = np.flatnonzero(bound >= floor)
+        n = len(self.ids)
+        others = self.ids != skip
+        m = min(n, k + n - int(others.sum()) + 8)
+        greatest = np.maximum(query * self.least, query * self.most)[query != 0]
+        live = np.flatnonzero(query[self.dimension])
+        impact = query[self.dimension[live]] * self.value[live]
+        falling = np.argsort(-impact, kind="stable")
+        live, impact = live[falling], impact[falling]
+        processed = np.cumsum(self.size[live])
+        score, met = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        at, floor = 0, None
+        while at < len(live):
+            target = (processed[at - 1] if at else 0) + STEP * processed[-1]
+            to = max(at + 1, int(np.searchsorted(processed, target, "right")))
+            start, size = self.start[live[at:to]], self.size[live[at:to]]
+            before = np.cumsum(size) - size
+            places = self.places[np.repeat(start - before, size) + np.arange(size.sum())]
+            np.add.at(score, places, np.repeat(impact[at:to], size))
+            met += np.bincount(places, minlength=n)
+            at = to
+            if at == len(live):
+                break
+            # A vector not met in a dimension has no more there than the next impact of all and the dimension's greatest.
+            # Dimensions in which any vector was met have a greatest impact that is not below the next one.
+            bound = score + int(np.minimum(greatest, impact[at]).sum()) - met * impact[at]
+            best = np.argpartition(-bound, m - 1)[:m]
+            best = best[others[best]]
+            if len(best) >= k:
+                exact = np.sort(self.vectors[best] @ query)[-k]
+                floor = exact if floor is None else max(floor, exact)
+                possible = np.flatnonzero((bound >= floor) & others)
                 if len(possible) <= max(FEW, FEW_SHARE * n):
-                    candidates = possible
-                    break
-        if candidates is None:  # no proof: every vector is possible
-            candidates = np.arange(n)
-        candidates = candidates[~np.isin(candidates, own)]
-        exact = self.vectors[candidates] @ exactly
-        first = np.lexsort((self.ids[candidates], -exact))[:k]
-        return candidates[first], exact[first].astype(np.int64)
+                    return self._first(possible, self.vectors[possible] @ query, k)
+        # Every segment is processed, so the scores are exact.
+        possible = np.flatnonzero(others)
+        if len(possible) > k:
+            floor = np.partition(score[possible], len(possible) - k)[len(possible) - k]
+            possible = possible[score[possible] >= floor]
+        return self._first(possible, score[possible], k)
+
+    def _first(self, places: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        first = np.lexsort((self.ids[places], -scores))[:k]
+        return places[first], scores[first]
 
 
 def quantised(column: pa.Array, scale: float) -> tuple[np.ndarray, dict[int, np.ndarray]]:

@@ -459,6 +459,27 @@ def test_top_k_of_odd_vectors(spark):
     assert impact_topk.top_k(df.limit(0), F.col("vec_id") % 5 == 0).count() == 0
 
 
+def test_top_k_is_proved_by_the_index():
+    rng = np.random.default_rng(9)
+    vectors = np.floor(256 * rng.normal(size=(2000, 64))).astype(np.int64)
+    vectors[1500:] = vectors[0]  # exact copies: ties
+    vectors[7], vectors[8, :60] = 0, 0
+    ids, read = np.arange(2000)[::-1].copy(), []
+
+    class Read(np.ndarray):
+        def __getitem__(self, at):
+            read.append(len(at))
+            return np.asarray(super().__getitem__(at))
+
+    shard = impact_topk.Shard(ids, vectors)
+    shard.vectors = shard.vectors.view(Read)
+    for i in [0, 1, 2, 3, 7, 8, 1600]:
+        places, scores = shard.search(vectors[i], 5, ids[i])
+        wanted = sorted((-s, j) for s, j in zip((vectors @ vectors[i]).tolist(), ids.tolist(), strict=True) if j != ids[i])[:5]
+        assert [(-int(s), int(j)) for s, j in zip(scores, ids[places], strict=True)] == wanted
+    assert max(read) <= impact_topk.FEW_SHARE * 2000
+
+
 def test_top_k_in_several_shards_and_blocks(spark, small, monkeypatch):
     monkeypatch.setattr(impact_topk, "SHARD", 100)
     monkeypatch.setattr(impact_topk, "QUERIES", 20)
