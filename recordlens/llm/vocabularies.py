@@ -45,11 +45,12 @@ def chunks(text: str) -> list[str]:
     return [text] if _OTHER_SPACES.search(text) else _CHUNK.findall(text)
 
 
-def _starts(raw: np.ndarray, offsets: np.ndarray, whole: np.ndarray) -> np.ndarray:
+def _starts(raw: np.ndarray, offsets: np.ndarray, whole: np.ndarray, added: list[tuple[int, int]]) -> np.ndarray:
     """Where the chunks of some texts begin in their bytes.
 
     Beside white space, texts are cut between a letter and an ASCII mark, which no piece of these vocabularies
-    joins. Letters are ASCII's and U+00C0 to U+00FF without the two signs among them. Texts marked ``whole`` stay so.
+    joins. Letters are ASCII's and U+00C0 to U+00FF without the two signs among them. Added tokens, whose places are given,
+    are chunks, as the library takes them out first and encodes what is between on its own. Texts marked ``whole`` stay so.
     """
     cut = np.zeros(len(raw) + 1, bool)
     space = _SPACE[raw]
@@ -57,6 +58,9 @@ def _starts(raw: np.ndarray, offsets: np.ndarray, whole: np.ndarray) -> np.ndarr
     letter = _LETTER[raw]
     letter[1:] |= (raw[:-1] == 0xC3) & (raw[1:] != 0x97) & (raw[1:] != 0xB7)
     cut[1:-1] |= letter[:-1] & _MARK[raw[1:]]
+    for here, there in added:
+        cut[here:there] = False
+        cut[[here, there]] = True
     for i in np.flatnonzero(whole).tolist():
         cut[offsets[i] : offsets[i + 1]] = False
     cut[offsets] = True
@@ -84,7 +88,7 @@ class Memory:
 
 
 class Encoder:
-    """Token ids as little-endian unsigned 32-bit integers; special tokens in a text are ordinary text."""
+    """Token ids as little-endian unsigned 32-bit integers; added tokens in a text have their ids, as in the library."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -92,7 +96,11 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        tokens = self.tokenizer.get_added_tokens_decoder().values()
+        if any(t.normalized or t.single_word or t.lstrip or t.rstrip for t in tokens):
+            raise ValueError("texts are cut at added tokens that stand as they are only")
+        # The longest first, as the library prefers them.
+        self.added = "|".join(re.escape(t.content) for t in sorted(tokens, key=lambda t: -len(t.content)))
         # The same vocabulary for what is one piece already, without the search for pieces.
         self.bare = Tokenizer(self.tokenizer.model)
         self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
@@ -149,10 +157,17 @@ class Encoder:
         """
         raw, offsets = utf8(column)
         whole = pc.fill_null(pc.match_substring_regex(column, _OTHER_SPACE), False).to_numpy(zero_copy_only=False)
+        holds = pc.fill_null(pc.match_substring_regex(column, self.added), False).to_numpy(zero_copy_only=False) if self.added else np.zeros(len(column), bool)
+        pattern = re.compile(self.added.encode())
         parts, ends, total = [np.empty(0, "<u4")], [np.zeros(1, np.int64)], 0
         for first, last in slices(offsets, SLICE):
             part, local = raw[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
-            starts = _starts(part, local, whole[first:last]) if len(part) else np.empty(0, np.int64)
+            added = [
+                (local[i] + m.start(), local[i] + m.end())
+                for i in np.flatnonzero(holds[first:last]).tolist()
+                for m in pattern.finditer(part[local[i] : local[i + 1]].tobytes())
+            ]
+            starts = _starts(part, local, whole[first:last], added) if len(part) else np.empty(0, np.int64)
             bounds = np.append(starts, len(part)).astype(np.int64)
             cut = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(part)])
             coded = cut.dictionary_encode()

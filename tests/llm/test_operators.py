@@ -186,6 +186,20 @@ def test_chunks_give_the_library_ids(name, slice_bytes, monkeypatch):
     assert len(encoder(pa.array([], pa.string()))[0]) == 0
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+@pytest.mark.parametrize("slice_bytes", [vocabularies.SLICE, 100])
+def test_added_tokens_have_the_library_ids(name, slice_bytes, monkeypatch):
+    encoder, library, rng = Encoder(public_path(name)), Tokenizer.from_file(public_path(name)), np.random.default_rng(2)
+    # Parts of a token meet across texts, too.
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|endoftext", "|>", "<|ENDOFTEXT|>", "a", "É", "'s", " ", "\n", "\u3000", "\u0338", "<", "1"]
+    texts = ["a<|endoftext|>b", "<|endo", "ftext|>", "".join(parts)] + ["".join(rng.choice(parts, rng.integers(0, 12))) for _ in range(3000)]
+    monkeypatch.setattr(vocabularies, "SLICE", slice_bytes)
+    ids, offsets = encoder(pa.array(texts))
+    for text, a, b in zip(texts, offsets, offsets[1:], strict=False):
+        assert ids[a:b].tolist() == library.encode(text, add_special_tokens=False).ids
+    assert ids[:3].tolist() == {"byte_bpe_50k.json": [64, 50256, 65], "word_bpe_49k.json": [320, 49407, 321]}[name]
+
+
 # url rules
 
 
