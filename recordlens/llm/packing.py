@@ -22,12 +22,10 @@ from recordlens.llm.vocabularies import encoder
 from recordlens.sources.scratch import materialize
 
 LENGTH = 2048
-#: Pieces that one task packs; some 3 MB of its memory.
+#: Pieces that one task packs; some 3 MB of its memory, and 4 KB for each underfull bin.
 GROUP = 20_000
 #: Bins filled less than this share are dealt anew in the second pass.
 REPACK_BELOW = 0.99
-#: Rounds of the local search at most; each stops it early if it changes nothing.
-ROUNDS = 4
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -83,58 +81,54 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def local_search(bins: list[list[int]], lengths: list[int], capacity: int, rounds: int = ROUNDS) -> list[list[int]]:
+def local_search(bins: list[list[int]], lengths: list[int], capacity: int, rounds: int | None = None) -> list[list[int]]:
     """Raise the sum of squared fills of the underfull bins by moves and exchanges; drop bins that become empty.
 
     Bins are taken from the emptiest up. From such a donor to a fuller receiver of room ``r``: a piece of at most
     ``r`` is moved; or a longer piece goes over against one shorter piece, or against two, where the receiver gains
-    at least one token and at most ``r``. Every such step raises the sum of squares, as the receiver is the fuller
-    one, so the search ends.
+    at least one token and at most ``r``. All receivers are tried, the fullest first. Every such step raises the sum of squares, as the receiver is the fuller
+    one, so the search ends: after ``rounds`` rounds, or else when no step is left.
     """
     full = [b for b in bins if sum(lengths[i] for i in b) == capacity]
     open_ = [b for b in bins if sum(lengths[i] for i in b) < capacity]
-    for _ in range(rounds):
+    while rounds is None or rounds > 0:
+        rounds = None if rounds is None else rounds - 1
         open_.sort(key=lambda b: sum(lengths[i] for i in b))
         fills = [sum(lengths[i] for i in b) for b in open_]
         changed = False
-        # Open receivers by room, and one place for each length of piece in open bins.
+        # Open receivers by room, and for all at once the room and the exchanges on offer.
         rooms = sorted((capacity - f, k) for k, f in enumerate(fills))
+        offers = _Offers(open_, lengths, capacity)
         for d, donor in enumerate(open_):
             step = True
             while step and donor:
-                step = False
+                step, tried = False, 0
                 donor.sort(key=lambda i: -lengths[i])
                 for i in list(donor):
                     n = lengths[i]
+                    if n == tried:
+                        continue
+                    tried, r, given = n, None, []
+                    # The tightest receiver with room for the whole piece: a move.
                     at = bisect.bisect_left(rooms, (n, -1))
-                    # The tightest receivers with room for the whole piece: a move.
-                    while at < len(rooms):
-                        room, r = rooms[at]
-                        if r != d and fills[r] >= fills[d]:
-                            _shift(rooms, fills, capacity, r, n)
-                            _shift(rooms, fills, capacity, d, -n)
-                            donor.remove(i)
-                            open_[r].append(i)
-                            step = changed = True
-                            break
+                    if at < len(rooms) and rooms[at][1] == d:
                         at += 1
-                    if step:
-                        break
-                    # Else the fullest few receivers: exchange for one or two of their pieces.
-                    for room, r in rooms[:TRIED]:
-                        if r == d or room == 0 or fills[r] < fills[d]:
-                            continue
-                        given = _exchange(open_[r], lengths, n, room)
-                        if given:
-                            back = sum(lengths[j] for j in given)
-                            _shift(rooms, fills, capacity, r, n - back)
-                            _shift(rooms, fills, capacity, d, back - n)
-                            open_[r] = [j for j in open_[r] if j not in given] + [i]
-                            donor.remove(i)
-                            donor.extend(given)
-                            step = changed = True
-                            break
-                    if step:
+                    if at < len(rooms) and fills[rooms[at][1]] >= fills[d]:
+                        r = rooms[at][1]
+                    else:  # Else the fullest receiver that has one or two pieces to exchange for it.
+                        r = offers.fullest(n, d)
+                        if r is not None:
+                            given = _exchange(open_[r], lengths, n, capacity - fills[r])
+                    if r is not None:
+                        gain = n - sum(lengths[j] for j in given)
+                        _shift(rooms, fills, capacity, r, gain)
+                        _shift(rooms, fills, capacity, d, -gain)
+                        open_[r] = [j for j in open_[r] if j not in given] + [i]
+                        donor.remove(i)
+                        donor.extend(given)
+                        offers.update(r, open_[r])
+                        offers.update(d, donor)
+                        step = changed = True
                         break
         full += [b for b, f in zip(open_, fills, strict=True) if f == capacity]
         open_ = [b for b, f in zip(open_, fills, strict=True) if 0 < f < capacity]
@@ -143,24 +137,56 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int, round
     return full + open_
 
 
-#: Receivers that one exchange looks at; moves look at all.
-TRIED = 12
+class _Offers:
+    """What bins offer in exchange: for each sum and bin the greatest length up to it of one or two of the bin's pieces."""
+
+    def __init__(self, bins: list[list[int]], lengths: list[int], capacity: int) -> None:
+        self.lengths, self.capacity, self.none = lengths, capacity, -capacity - 1
+        self.room = np.zeros(len(bins), np.int32)
+        self.up_to = np.empty((capacity + 1, len(bins)), np.int16 if capacity < 1 << 14 else np.int32)
+        for k, b in enumerate(bins):
+            self.update(k, b)
+
+    def update(self, k: int, pieces: list[int]) -> None:
+        held = np.array([self.lengths[i] for i in pieces], np.int64)
+        self.room[k] = self.capacity - held.sum()
+        single, times = np.unique(held, return_counts=True)
+        pairs = np.add.outer(single, single)
+        np.fill_diagonal(pairs, np.where(times > 1, 2 * single, single))
+        sums = np.full(self.capacity + 1, self.none)
+        sums[single] = single
+        sums[pairs.ravel()] = pairs.ravel()
+        self.up_to[:, k] = np.maximum.accumulate(sums)
+
+    def fullest(self, n: int, donor: int) -> int | None:
+        """The fullest bin, not emptier than the donor, that gains 1 up to its room by a piece of length ``n`` for one or two of its own."""
+        fits = np.flatnonzero((self.room > 0) & (self.room <= self.room[donor]) & (self.up_to[n - 1] >= n - self.room))
+        fits = fits[fits != donor]
+        return int(fits[np.argmin(self.room[fits])]) if len(fits) else None
 
 
 def _shift(rooms: list[tuple[int, int]], fills: list[int], capacity: int, k: int, change: int) -> None:
+    """A bin's new fill. Full bins take nothing more and leave ``rooms``."""
     rooms.pop(bisect.bisect_left(rooms, (capacity - fills[k], k)))
     fills[k] += change
-    bisect.insort(rooms, (capacity - fills[k], k))
+    if fills[k] < capacity:
+        bisect.insort(rooms, (capacity - fills[k], k))
 
 
 def _exchange(receiver: list[int], lengths: list[int], n: int, room: int) -> list[int]:
     """One or two pieces of the receiver, shorter than ``n`` together by 1 to ``room``: those that fill it best."""
     best, best_gain = [], 0
-    for a, j in enumerate(receiver):
+    seen: dict[int, int] = {}
+    some = []  # two of each length at most
+    for j in receiver:
+        seen[lengths[j]] = seen.get(lengths[j], 0) + 1
+        if seen[lengths[j]] <= 2:
+            some.append(j)
+    for a, j in enumerate(some):
         gain = n - lengths[j]
         if best_gain < gain <= room:
             best, best_gain = [j], gain
-        for k in receiver[a + 1 :]:
+        for k in some[a + 1 :]:
             if best_gain < gain - lengths[k] <= room:
                 best, best_gain = [j, k], gain - lengths[k]
     return best

@@ -329,6 +329,22 @@ def test_local_search_empties_bins():
     assert len(packed) <= sum(lengths) / 100 * 1.1
 
 
+def test_local_search_tries_all_receivers_until_nothing_changes():
+    lengths = np.random.default_rng(1).integers(100, 180, 300).tolist()
+    bins = packing.best_fit(lengths, 410)
+    packed = packing.local_search([list(b) for b in bins], lengths, 410)
+    assert sorted(i for b in packed for i in b) == list(range(300)) and len(packed) < len(bins)
+    held = [[lengths[i] for i in b] for b in packed]
+    assert max(map(sum, held)) <= 410
+    for d, donor in enumerate(held):
+        for r, receiver in enumerate(held):
+            room = 410 - sum(receiver)
+            if r == d or sum(receiver) < sum(donor):
+                continue
+            back = [0, *receiver] + [x + y for i, x in enumerate(receiver) for y in receiver[:i]]
+            assert not any(0 < n - x <= room for n in donor for x in back)
+
+
 # near-duplicates
 
 
