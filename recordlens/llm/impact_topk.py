@@ -9,7 +9,10 @@ exactly. Where it never does, all segments are processed and the sums are the sc
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from fractions import Fraction
+from operator import mul
 
 import numpy as np
 import pandas as pd
@@ -27,7 +30,7 @@ QUERIES = 1024
 STEP = 1 / 32
 #: The rest is scored exactly once at most so many vectors, or this share of the shard, can still be among the best.
 FEW, FEW_SHARE = 64, 0.1
-#: Components beyond this are taken as this, so that sums of products fit 64 bits.
+#: Vectors with a component of this size or beyond are not indexed but scored in Python's integers. Sums of products of others fit 64 bits.
 LARGEST = 1 << 23
 
 
@@ -92,37 +95,56 @@ class Shard:
         return places[first], scores[first]
 
 
-def quantised(column: pa.Array, scale: float) -> tuple[np.ndarray, dict[int, np.ndarray]]:
-    """For each length of vector the places of those that take part and their components ``floor(scale * x)``."""
-    found: dict[int, list[tuple[int, np.ndarray]]] = {}
-    for i, x in enumerate(column.to_pylist()):
-        if x and None not in x:
-            v = np.floor(scale * np.array(x, float))
-            if np.isfinite(v).all():
-                found.setdefault(len(x), []).append((i, v.clip(-LARGEST, LARGEST).astype(np.int64)))
-    return {d: (np.array([i for i, _ in rows]), np.stack([v for _, v in rows])) for d, rows in found.items()}
+def quantised(x: list[float], scale: float) -> list[int] | None:
+    """The components ``floor(scale * x)``, whole; None for vectors that take no part."""
+    if not x or None in x or not np.isfinite(np.array(x, float)).all():
+        return None
+    products = [scale * y for y in x]
+    return [math.floor(p) if math.isfinite(p) else math.floor(Fraction(scale) * Fraction(y)) for p, y in zip(products, x, strict=True)]
 
 
 def _split(scale: float):
+    schema = pa.schema([("vec_id", pa.int64()), ("d", pa.int64()), ("x", pa.list_(pa.int32())), ("large", pa.list_(pa.string()))])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for d, (places, values) in quantised(batch.column(1), scale).items():
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, d * len(places) + 1, d, dtype=np.int32)), pa.array(values.ravel().astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(places)), pa.array(np.full(len(places), d)), lists], names=["vec_id", "d", "x"])
+            out = []
+            for vec_id, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                v = quantised(x, scale)
+                if v:
+                    small = max(map(abs, v)) < LARGEST
+                    out.append((vec_id, len(v), v if small else None, None if small else list(map(str, v))))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
     return run
 
 
+def _whole(x, large) -> list[int]:
+    return [int(y) for y in (large if x is None else x)]
+
+
 def _meet(k: int):
     def run(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         columns = {"query_id": [], "vec_id": [], "score": []}
         if len(vectors) and len(queries):
-            shard = Shard(vectors["vec_id"].to_numpy(np.int64), np.stack(vectors["x"].to_numpy()).astype(np.int64))
-            for query_id, x in zip(queries["vec_id"].tolist(), queries["x"].tolist(), strict=True):
-                places, scores = shard.search(np.asarray(x, np.int64), k, query_id)
-                columns["query_id"] += [query_id] * len(places)
-                columns["vec_id"] += shard.ids[places].tolist()
-                columns["score"] += scores.tolist()
+            small, rest = vectors[vectors["x"].notna()], vectors[vectors["x"].isna()]
+            shard = Shard(small["vec_id"].to_numpy(np.int64), np.stack(small["x"].to_numpy()).astype(np.int64)) if len(small) else None
+            large = [(i, _whole(None, v)) for i, v in zip(rest["vec_id"].tolist(), rest["large"], strict=True)]
+            for query_id, x, big in zip(queries["vec_id"].tolist(), queries["x"], queries["large"], strict=True):
+                query, best, plainly = _whole(x, big), [], large
+                if x is not None and shard:
+                    places, scores = shard.search(np.asarray(x, np.int64), k, query_id)
+                    best = list(zip((-scores).tolist(), shard.ids[places].tolist(), strict=True))
+                elif shard:
+                    plainly = large + list(zip(shard.ids.tolist(), shard.vectors.tolist(), strict=True))
+                best += [(-sum(map(mul, query, v)), i) for i, v in plainly if i != query_id]
+                for score, i in sorted(best)[:k]:
+                    if not -(1 << 63) <= -score < 1 << 63:
+                        raise OverflowError(f"the score of {query_id} and {i} does not fit 64 bits")
+                    columns["query_id"].append(query_id)
+                    columns["vec_id"].append(i)
+                    columns["score"].append(-score)
         return pd.DataFrame({c: np.array(v, np.int64) for c, v in columns.items()})
 
     return run
@@ -134,14 +156,15 @@ def top_k(rows: DataFrame, is_query: Column, *, k: int = 5, scale: float = 256.0
     ``is_query`` says which rows are queries; all rows but those with the query's own id are candidates, those of the queries too.
     Components are ``floor(scale * x)``. Equal scores rank by ascending id. Vectors that are null, empty or hold null or non-finite components, and rows with
     a null id, take no part; vectors of another length than the query's are no candidates. Of repeated queries one counts; repeated candidates are ranked each. A query with
-    fewer candidates than ``k`` has them all. An empty table gives no rows.
+    fewer candidates than ``k`` has them all. An empty table gives no rows. Components of any size count whole; a score among the ``k`` best of a
+    shard that does not fit 64 bits is an error.
 
     The rows are dealt into shards of about ``SHARD`` vectors, whatever the input's size, and each shard, indexed in its task, meets the queries in blocks of about
     ``QUERIES``; a shard gives back ``k`` rows for a query, of which the best ``k`` stay. So the work is that of the stated queries against all rows, in blocks.
     """
     source = rows.where(F.col(vec_id).isNotNull()).select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("x"), is_query.alias("q"))
-    vectors = materialize(source.select("vec_id", "x").mapInArrow(_split(scale), "vec_id long, d long, x array<int>"), "vectors")
-    asked = source.where("q").select("vec_id", "x").mapInArrow(_split(scale), "vec_id long, d long, x array<int>")
+    vectors = materialize(source.select("vec_id", "x").mapInArrow(_split(scale), "vec_id long, d long, x array<int>, large array<string>"), "vectors")
+    asked = source.where("q").select("vec_id", "x").mapInArrow(_split(scale), "vec_id long, d long, x array<int>, large array<string>")
     queries = materialize(asked.dropDuplicates(["vec_id"]), "queries")
     shards, blocks = -(-vectors.count() // SHARD), -(-queries.count() // QUERIES)
     if not shards or not blocks:

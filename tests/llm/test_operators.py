@@ -489,6 +489,17 @@ def test_top_k_of_odd_vectors(spark):
     assert impact_topk.top_k(df.limit(0), F.col("vec_id") % 5 == 0).count() == 0
 
 
+def test_top_k_counts_large_components_whole(spark):
+    vectors = {0: [100000.0, 1.0], 1: [1.0, 1e13], 2: [-4e4, 2.0], 3: [1.0, 1.0], 5: [1.0, 2.0], 6: [3e5, -1.0], 7: [2e5, 0.0]}
+    df = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
+    found = impact_topk.top_k(df, F.col("vec_id") % 5 == 0, k=4).orderBy("query_id", "rank").collect()
+    whole, wanted = {i: [int(256 * x) for x in v] for i, v in vectors.items()}, []
+    for q in (0, 5):
+        scored = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in whole.items() if i != q)[:4]
+        wanted += [(q, rank, i, -s) for rank, (s, i) in enumerate(scored, 1)]
+    assert [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found] == wanted
+
+
 def test_top_k_is_proved_by_the_index():
     rng = np.random.default_rng(9)
     vectors = np.floor(256 * rng.normal(size=(2000, 64))).astype(np.int64)
