@@ -8,7 +8,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordlens.llm import bpe_matrix, chat_tree, impact_topk, importance, packing, pigeonhole, superminhash, token_blocks, toxicity, url_rules
+from recordlens.llm import (
+    adaptive_scan,
+    bpe_matrix,
+    chat_tree,
+    fill_middle,
+    filter_audit,
+    impact_topk,
+    importance,
+    packing,
+    pigeonhole,
+    superminhash,
+    token_blocks,
+    toxicity,
+    url_rules,
+)
 from recordlens.llm.vocabularies import public_path
 
 # Fixed values of the contract: the rules of op3 and the conversation that op4 adds.
@@ -94,6 +108,24 @@ def op10_impact_topk(spark: SparkSession, folder: str) -> DataFrame:
     return impact_topk.top_k(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_adaptive_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest vectors found for every vector whose id is divisible by 50."""
+    return adaptive_scan.nearest_neighbours(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op12_fenwick_fim(spark: SparkSession, folder: str) -> DataFrame:
+    """Form, lengths and digests of every document's fill-in-the-middle text, and of the text that is made from it again."""
+    made = fill_middle.fill_in_middle(_table(spark, folder, "documents").select("doc_id", "text"))
+    back = fill_middle.restored(F.col("output"), F.col("form"))
+    digests = F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256")
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def op13_packed_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """What each of five filters removes in every order, by source."""
+    return filter_audit.audit(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """All stages of the corpus pipeline over the documents."""
     import corpus_pipeline
@@ -112,6 +144,9 @@ QUERIES = {
     "op8_pigeonhole": op8_pigeonhole,
     "op9_bpe_matrix": op9_bpe_matrix,
     "op10_impact_topk": op10_impact_topk,
+    "op11_adaptive_scan": op11_adaptive_scan,
+    "op12_fenwick_fim": op12_fenwick_fim,
+    "op13_packed_audit": op13_packed_audit,
     "pipeline": pipeline,
 }
 
@@ -170,4 +205,40 @@ ORACLES = {
         select query_id, cast(rank as integer) as rank, vec_id, score from (
             select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored) where rank <= 5
     """,
+    "op12_fenwick_fim": """
+        with d as (select doc_id, coalesce(text, '') as t, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+        drawn as (select doc_id, t, cast(length(t) as bigint) as n, cast('0x' || substr(h, 1, 8) as bigint) as h1, cast('0x' || substr(h, 9, 8) as bigint) as h2,
+            cast('0x' || substr(h, 17, 8) as bigint) as h3, cast('0x' || substr(h, 25, 8) as bigint) as h4 from d),
+        cuts as (select doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) as x, greatest(h1 % (n + 1), h2 % (n + 1)) as y,
+            case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain'
+                when h4 % 100 < 20 then 'spm' else 'psm' end as form from drawn),
+        parts as (select *, substr(t, 1, x) as p, substr(t, x + 1, y - x) as m, substr(t, y + 1) as s from cuts)
+        select doc_id, n, form, case when form <> 'plain' then x end as prefix_chars, case when form <> 'plain' then y - x end as middle_chars,
+            sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+            sha256(t) as restored_sha256
+        from parts
+    """,
+    "op13_packed_audit": r"""
+        with d as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as t from documents),
+        least as (select t, min(doc_id) as first_id from d group by t),
+        flags as (select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels where doc_id is not null group by doc_id),
+        words as (select d.doc_id, d.part, d.t, regexp_extract_all(d.t, '[^\x20\x09-\x0D]+') as w, coalesce(d.doc_id > l.first_id, false) as later,
+            coalesce(f.good, false) as good, coalesce(f.toxic, false) as toxic from d join least l using (t) left join flags f on f.doc_id = d.doc_id),
+        fails as (select part, good, toxic, (case when len(w) < 200 then 'A' else '' end) || (case when 100 * len(list_distinct(w)) < 50 * len(w) then 'B' else '' end)
+            || (case when 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t) then 'C' else '' end)
+            || (case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end) || (case when later then 'E' else '' end) as failed from words),
+        counted as (select part, failed, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic from fails group by part, failed),
+        letters(x) as (values ('A'), ('B'), ('C'), ('D'), ('E')),
+        orders as (select a.x || b.x || c.x || d.x || e.x as filter_order from letters a join letters b on b.x <> a.x join letters c on c.x not in (a.x, b.x)
+            join letters d on d.x not in (a.x, b.x, c.x) join letters e on e.x not in (a.x, b.x, c.x, d.x)),
+        steps as (select filter_order, cast(i as integer) as step, substr(filter_order, i, 1) as letter, substr(filter_order, 1, i - 1) as earlier from orders, range(1, 6) r(i)),
+        seen as (select s.filter_order, s.step, s.letter, c.*, contains(c.failed, s.letter) as fails, failed <> '' and regexp_matches(c.failed, '[' || s.earlier || '0]') as gone
+            from steps s join counted c on true),
+        found as (select part, filter_order, step, any_value(letter) as letter, sum(n) filter (not fails and not gone) as kept, sum(n) filter (fails and not gone) as removed,
+            sum(n) filter (fails and gone) as redundant, sum(n) filter (failed = letter) as unique_fails, sum(good) filter (fails and not gone) as good_lost,
+            sum(toxic) filter (fails and not gone) as toxic_lost from seen group by part, filter_order, step)
+        select part, filter_order, step, cast(coalesce(kept, 0) as bigint) as kept, cast(coalesce(removed, 0) as bigint) as removed, cast(coalesce(redundant, 0) as bigint) as redundant,
+            cast(coalesce(unique_fails, 0) as bigint) as unique_fails, cast(coalesce(good_lost, 0) as bigint) as good_lost, cast(coalesce(toxic_lost, 0) as bigint) as toxic_lost,
+            cast(coalesce(sum(removed) over (partition by part, letter), 0) as bigint) as shapley from found
+    """,
 }

@@ -74,12 +74,12 @@ def brute_components(texts, k, percent):
 @pytest.mark.parametrize("name", [*queries.ORACLES])
 def test_query_equals_its_sql(spark, small, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "conversations"):
+    for t in ("documents", "embeddings", "pages", "conversations", "labels"):
         con.sql(f"create view {t} as select * from '{small}/{t}.parquet'")
     found, wanted = queries.QUERIES[name](spark, small).toPandas(), con.sql(queries.ORACLES[name]).df()
     columns = sorted(wanted.columns)
     assert sorted(found.columns) == columns
-    as_text = lambda f: f[columns].astype(str).replace({"None": "nan"}).sort_values(columns).reset_index(drop=True)
+    as_text = lambda f: f[columns].convert_dtypes().astype(str).replace({"None": "nan"}).sort_values(columns).reset_index(drop=True)
     assert as_text(found).equals(as_text(wanted))
 
 
