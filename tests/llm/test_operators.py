@@ -5,6 +5,7 @@ import collections
 import hashlib
 import re
 import zlib
+from fractions import Fraction
 
 import duckdb
 import numpy as np
@@ -489,36 +490,66 @@ def test_top_k_of_odd_vectors(spark):
     assert impact_topk.top_k(df.limit(0), F.col("vec_id") % 5 == 0).count() == 0
 
 
+def exact_top(whole, query, k):
+    scored = sorted((-sum(a * b for a, b in zip(whole[query], v, strict=True)), i) for i, v in whole.items() if i != query)[:k]
+    return [(query, rank, i, -s) for rank, (s, i) in enumerate(scored, 1)]
+
+
 def test_top_k_counts_large_components_whole(spark):
     vectors = {0: [100000.0, 1.0], 1: [1.0, 1e13], 2: [-4e4, 2.0], 3: [1.0, 1.0], 5: [1.0, 2.0], 6: [3e5, -1.0], 7: [2e5, 0.0]}
     df = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
     found = impact_topk.top_k(df, F.col("vec_id") % 5 == 0, k=4).orderBy("query_id", "rank").collect()
-    whole, wanted = {i: [int(256 * x) for x in v] for i, v in vectors.items()}, []
-    for q in (0, 5):
-        scored = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in whole.items() if i != q)[:4]
-        wanted += [(q, rank, i, -s) for rank, (s, i) in enumerate(scored, 1)]
-    assert [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found] == wanted
+    whole = {i: [int(256 * x) for x in v] for i, v in vectors.items()}
+    assert [tuple(r) for r in found] == exact_top(whole, 0, 4) + exact_top(whole, 5, 4)
+
+
+def test_top_k_counts_components_that_overflow_whole(spark):
+    vectors = {0: [0.0, 3.0], 1: [1.7e308, 1.0], 2: [-1e308, 1.01], 3: [1e60, 1.0], 4: [1.0, 1.0], 6: [2.0, -7.3], 7: [0.0, 1.0], 8: [1.7e308, 1.0]}
+    df = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
+    found = impact_topk.top_k(df, F.col("vec_id") == 0, k=9).orderBy("rank").collect()
+    whole = {i: [int((256 * Fraction(x)) // 1) for x in v] for i, v in vectors.items()}
+    assert [tuple(r) for r in found] == exact_top(whole, 0, 9)
+    with pytest.raises(Exception, match="64 bits"):
+        impact_topk.top_k(df, F.col("vec_id") == 1).collect()
+
+
+def test_top_k_of_repeated_queries_takes_the_least_vector(spark):
+    rows = [(0, [2.0, 1.0]), (0, [1.0, 2.0]), (0, [1.0, 3.0]), (1, [5.0, 0.0]), (1, [5.0, 0.0]), (2, [0.0, 4.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = [tuple(r) for r in impact_topk.top_k(df, F.col("vec_id") == 0, scale=1.0).orderBy("rank").collect()]
+    assert found == [(0, 1, 2, 8), (0, 2, 1, 5), (0, 3, 1, 5)]
 
 
-def test_top_k_is_proved_by_the_index():
+def test_top_k_is_proved_by_the_index(monkeypatch):
     rng = np.random.default_rng(9)
-    vectors = np.floor(256 * rng.normal(size=(2000, 64))).astype(np.int64)
-    vectors[1500:] = vectors[0]  # exact copies: ties
-    vectors[7], vectors[8, :60] = 0, 0
-    ids, read = np.arange(2000)[::-1].copy(), []
-
-    class Read(np.ndarray):
-        def __getitem__(self, at):
-            read.append(len(at))
-            return np.asarray(super().__getitem__(at))
-
-    shard = impact_topk.Shard(ids, vectors)
-    shard.vectors = shard.vectors.view(Read)
+    rows = np.floor(256 * rng.normal(size=(2000, 64)))
+    rows[7], rows[8, :60] = 0, 0
+    rows[1500:1600] = rows[0] + rng.integers(0, 2, (100, 64))
+    ids, none = np.arange(2000)[::-1].copy(), np.zeros(2000, np.int64)
+    shard, query, read = impact_topk.Shard(ids, rows, none), impact_topk.Vectors(rows, none), []
+    scores = impact_topk.Shard.scores
+    monkeypatch.setattr(impact_topk.Shard, "scores", lambda self, places, *x: read.append(len(places)) or scores(self, places, *x))
     for i in [0, 1, 2, 3, 7, 8, 1600]:
-        places, scores = shard.search(vectors[i], 5, ids[i])
-        wanted = sorted((-s, j) for s, j in zip((vectors @ vectors[i]).tolist(), ids.tolist(), strict=True) if j != ids[i])[:5]
-        assert [(-int(s), int(j)) for s, j in zip(scores, ids[places], strict=True)] == wanted
-    assert max(read) <= impact_topk.FEW_SHARE * 2000
+        exact = (rows @ rows[i]).astype(np.int64).tolist()
+        wanted = sorted((-s, j) for s, j in zip(exact, ids.tolist(), strict=True))[:6]
+        for floor in (None, -wanted[-1][0], -wanted[0][0]):
+            places, found, share = shard.search(query, i, 6, floor)
+            kept = [w for w in wanted if floor is None or -w[0] >= floor]
+            assert [(-s, j) for s, j in zip(found, ids[places].tolist(), strict=True)][: len(kept)] == kept
+            assert share < 0.95 or i == 7
+        assert shard.search(query, i, 6, -wanted[0][0] * 100 + 10**7)[0].size == 0
+        assert max(read) <= impact_topk.FEW_SHARE * 2000 or i == 7  # a zero query has no postings, all scores are 0
+        read.clear()
+
+
+def test_a_shard_that_cannot_reach_the_floor_is_left_at_once():
+    rng = np.random.default_rng(14)
+    near, far = (np.floor(rng.normal(size=(500, 16)) + sign * 50) for sign in (1, -1))
+    none = np.zeros(500, np.int64)
+    query = impact_topk.Vectors(near[:1], none[:1])
+    places, scores, share = impact_topk.Shard(none, near, none).search(query, 0, 6, None)
+    assert len(places) == 6 and min(scores) > 0 and 0 < share <= 1
+    assert impact_topk.Shard(none, far, none).search(query, 0, 6, min(scores))[2] == 0
 
 
 def test_top_k_in_several_shards_and_blocks(spark, small, monkeypatch):
