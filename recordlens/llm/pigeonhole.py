@@ -16,9 +16,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recordlens.llm import vectors as vector_rows
 from recordlens.llm.common import components
 from recordlens.sources.scratch import materialize
 
@@ -29,12 +31,10 @@ TILE = 8192
 #: Vectors of one side that are compared at a time.
 STRIP = 512
 SEED = 11
-#: Room for rounding in the blocks' tests; the exact test has none.
+#: Room for rounding in the blocks' budgets; the exact test has none.
 _SLACK = 1e-6
-
-
-def unit(vectors: np.ndarray) -> np.ndarray:
-    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+#: Room for rounding around the blocks' tests, which all go by the same numbers.
+_MARGIN = 1e-9
 
 
 def rotation(dimensions: int, seed: int = SEED) -> np.ndarray:
@@ -47,27 +47,57 @@ def block_edges(dimensions: int, blocks: int) -> np.ndarray:
     return np.linspace(0, dimensions, min(blocks, dimensions) + 1).round().astype(int)
 
 
-def _clean(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
-    for i, x in enumerate(column.to_pylist()):
-        if x and None not in x:
-            v = np.array(x, float)
-            if np.isfinite(v).all() and v.any():
-                yield i, v
+def turned(vectors: np.ndarray) -> np.ndarray:
+    """Rotated unit vectors, the same to the bit whatever rows they are rotated with.
+
+    Both factors are rounded to 26 bits, so that all sums are of integers below 2**53 and exact in any order.
+    """
+    whole = np.rint(vector_rows.unit(vectors) * 2.0**26) @ np.rint(rotation(vectors.shape[1]) * 2.0**26)
+    return whole * 2.0**-52
+
+
+class Blocks:
+    """The blocks of ``d`` dimensions: their edges, budgets of squared distance, and widths of their slabs, for all steps alike."""
+
+    def __init__(self, d: int, blocks: int, cosine: float) -> None:
+        self.edges = block_edges(d, blocks)
+        self.budgets = (2 - 2 * cosine) * np.diff(self.edges) / d + _SLACK
+        # Vectors within a block's budget are in one slab or in neighbouring ones.
+        self.widths = np.sqrt(self.budgets) * (1 + _MARGIN)
+
+    def slabs(self, rows: np.ndarray) -> np.ndarray:
+        return np.floor(rows[:, self.edges[:-1]] / self.widths).astype(np.int64)
+
+    def within(self, rows: np.ndarray, i: np.ndarray, j: np.ndarray, block: int) -> np.ndarray:
+        """Which pairs are within the budget of a block; the same answer in whatever tile it is asked."""
+        total = np.zeros(len(i))
+        for c in range(self.edges[block], self.edges[block + 1]):
+            gap = rows[i, c] - rows[j, c]
+            total += gap * gap
+        return total <= self.budgets[block]
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add the key of each vector; null, and no vector, for those that take no part."""
+    for batch in batches:
+        found: list[bytes | None] = [None] * len(batch)
+        for places, matrix in vector_rows.clean(batch.column(1)):
+            some = matrix.any(1)
+            for i, key in zip(places[some].tolist(), vector_rows.keys(matrix[some]), strict=True):
+                found[i] = key
+        key = pa.array(found, pa.binary())
+        vector = pc.if_else(key.is_valid(), batch.column(1), pa.scalar(None, batch.column(1).type))
+        yield pa.RecordBatch.from_arrays([batch.column(0), vector, key], names=["vec_id", "vector", "key"])
 
 
 def _slabs(cosine: float, blocks: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            by_length: dict[int, list[tuple[int, np.ndarray]]] = {}
-            for i, v in _clean(batch.column(1)):
-                by_length.setdefault(len(v), []).append((i, v))
-            for d, rows in by_length.items():
-                turned = unit(np.stack([v for _, v in rows])) @ rotation(d)
-                edges = block_edges(d, blocks)
-                n, k = len(rows), len(edges) - 1
-                radius = np.sqrt((2 - 2 * cosine) * np.diff(edges) / d) + _SLACK
-                slab = np.floor(turned[:, edges[:-1]] / np.maximum(radius, 1e-9)).astype(np.int64)
-                at = pa.array(np.repeat([i for i, _ in rows], k))
+            for places, matrix in vector_rows.clean(batch.column(1)):
+                n, d = matrix.shape
+                slab = Blocks(d, blocks, cosine).slabs(turned(matrix))
+                k = slab.shape[1]
+                at = pa.array(np.repeat(places, k))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(at), batch.column(1).take(at), pa.array(np.full(n * k, d)), pa.array(np.tile(np.arange(k), n)), pa.array(slab.ravel())],
                     names=["kind", "vector", "d", "block", "slab"],
@@ -79,23 +109,21 @@ def _slabs(cosine: float, blocks: int):
 def _tile(cosine: float, blocks: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         d, block = int(frame["d"].iloc[0]), int(frame["block"].iloc[0])
-        vectors = unit(np.stack(frame["vector"].to_numpy()).astype(float))
+        matrix = np.stack(frame["vector"].to_numpy()).astype(float)
+        vectors, rows = vector_rows.unit(matrix), turned(matrix)
         kinds, copies = frame["kind"].to_numpy(), frame["copies"].to_numpy()
-        turned = vectors @ rotation(d)
-        edges = block_edges(d, blocks)
-        budget = 2 - 2 * cosine
-        shares = budget * np.diff(edges) / d + _SLACK
-        low, high = edges[block], edges[block + 1]
-        radius = np.sqrt(shares[block]) + _SLACK
+        cut = Blocks(d, blocks, cosine)
+        low, high = cut.edges[block], cut.edges[block + 1]
+        radius, budget = cut.widths[block], cut.budgets[block] + _MARGIN
         # Both sides in the order of the sweep. A tile of a part with itself has one side.
-        sweep = turned[:, low + 1] if high - low > 1 else turned[:, low]
+        sweep = rows[:, low + 1] if high - low > 1 else rows[:, low]
         one = bool(frame["single"].iloc[0])
         side = frame["side"].to_numpy()
         a = np.flatnonzero(side == 0)
         b = a if one else np.flatnonzero(side == 1)
         a, b = a[np.argsort(sweep[a], kind="stable")], b[np.argsort(sweep[b], kind="stable")]
         links, found_a, found_b = np.zeros(len(frame), np.int64), [], []
-        parts = turned[:, low:high]
+        parts = rows[:, low:high]
         squares = (parts**2).sum(1)
         label = np.arange(len(frame))
         for first in range(0, len(a), STRIP):
@@ -103,7 +131,7 @@ def _tile(cosine: float, blocks: int):
             start, end = np.searchsorted(sweep[b], [sweep[left[0]] - radius, sweep[left[-1]] + radius])
             for middle in range(start, end, 4 * STRIP):
                 right = b[middle : min(end, middle + 4 * STRIP)]
-                near = squares[left][:, None] + squares[right][None, :] - 2 * parts[left] @ parts[right].T <= shares[block]
+                near = squares[left][:, None] + squares[right][None, :] - 2 * parts[left] @ parts[right].T <= budget
                 if one:
                     near &= (first + np.arange(len(left)))[:, None] < (middle + np.arange(len(right)))[None, :]
                 x, y = np.nonzero(near)
@@ -111,14 +139,11 @@ def _tile(cosine: float, blocks: int):
                     i, j = left[x[at : at + (1 << 16)]], right[y[at : at + (1 << 16)]]
                     close = np.einsum("ij,ij->i", vectors[i], vectors[j]) >= cosine
                     i, j = i[close], j[close]
-                    if not len(i):
-                        continue
                     # Of the blocks that find this pair only the first counts it.
-                    earlier = np.zeros(len(i), bool)
+                    mine = cut.within(rows, i, j, block)
                     for k in range(block):
-                        gap = turned[i, edges[k] : edges[k + 1]] - turned[j, edges[k] : edges[k + 1]]
-                        earlier |= (gap**2).sum(1) <= shares[k]
-                    i, j = i[~earlier], j[~earlier]
+                        mine &= ~cut.within(rows, i, j, k)
+                    i, j = i[mine], j[mine]
                     np.add.at(links, i, copies[j])
                     np.add.at(links, j, copies[i])
                     # Only links between what is not yet together here are kept: a forest.
@@ -161,19 +186,19 @@ def near_vectors(rows: DataFrame, *, cosine: float = COSINE, blocks: int = BLOCK
     Equal vectors are one kind with a number of copies, so copies are never compared. Each kind goes to the tiles of
     its slab and the next one in every block; slabs of more than ``TILE`` kinds are cut into parts, and each pair of
     parts is a tile, so no task holds more than two parts, however many vectors are alike. A tile gives back counts and a forest of links,
-    never its pairs. The number of tiles of a slab grows with the square of its parts, as any exact join by these budgets does where vectors are not spread out.
+    never its pairs. Equal vectors are found by a 128-bit digest. The number of tiles of a slab grows with the square of its parts, as any exact join by these budgets does where vectors are not spread out.
     """
     source = rows.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("vector"))
-    keyed = source.withColumn("kind", F.xxhash64("vector"))
-    kinds = keyed.where("vector is not null").groupBy("kind").agg(F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least"), F.first("vector").alias("vector"))
-    kinds = materialize(kinds, "kinds")
+    keyed = materialize(source.mapInArrow(_keyed, f"vec_id long, vector {source.schema['vector'].dataType.simpleString()}, key binary"), "vectors")
+    kinds = keyed.where("key is not null").groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least"), F.first("vector").alias("vector"))
+    kinds = materialize(kinds.withColumn("kind", F.monotonically_increasing_id()), "kinds")  # written once, so numbers stay
     placed = kinds.select("kind", "vector").mapInArrow(_slabs(cosine, blocks), f"kind long, vector {source.schema['vector'].dataType.simpleString()}, d long, block long, slab long")
     placed = materialize(placed, "slabs")
-    # One row for each slab of each block: unit vectors have as many slabs as the radius fits into 2.
-    sizes = placed.groupBy("d", "block", "slab").agg(F.count(F.lit(1)).alias("n"))
-    parts = F.broadcast(sizes.select("d", "block", "slab", F.ceil(F.col("n") / TILE).alias("parts")))
-    following = F.broadcast(sizes.select("d", "block", (F.col("slab") - 1).alias("slab"), F.ceil(F.col("n") / TILE).alias("next")))
-    before = F.broadcast(sizes.select("d", "block", (F.col("slab") + 1).alias("slab"), F.ceil(F.col("n") / TILE).alias("last")))
+    # One row for each slab of each block: few, unless the cosine is near 1. Written, so Spark knows the size and broadcasts it or not.
+    sizes = materialize(placed.groupBy("d", "block", "slab").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("parts")), "sizes")
+    parts = sizes
+    following = sizes.select("d", "block", (F.col("slab") - 1).alias("slab"), F.col("parts").alias("next"))
+    before = sizes.select("d", "block", (F.col("slab") + 1).alias("slab"), F.col("parts").alias("last"))
     key = ["d", "block", "slab"]
     dealt = placed.join(parts, key).join(following, key, "left").join(before, key, "left").withColumn("part", F.pmod(F.xxhash64("kind"), F.col("parts")))
     none = F.expr("cast(array() as array<struct<home:bigint,x:bigint,y:bigint,side:int,single:boolean>>)")
@@ -188,18 +213,17 @@ def near_vectors(rows: DataFrame, *, cosine: float = COSINE, blocks: int = BLOCK
 
     links = found.groupBy("kind").agg(F.sum("links").alias("links"))
     whole = components(found.where("other is not null").selectExpr("kind as a", "other as b"))
-    clean = placed.select("kind").where("block = 0").withColumn("clean", F.lit(True))
     named = (
-        kinds.select("kind", "copies", "least")
-        .join(clean, "kind", "left")
+        kinds.select("key", "kind", "copies", "least")
         .join(links, "kind", "left")
         .join(whole, F.col("kind") == F.col("node"), "left")
         .withColumn("component", F.coalesce("component", "kind"))
     )
-    named = materialize(named.select("kind", "copies", "least", "clean", "links", "component"), "named")
+    named = materialize(named.select("key", "copies", "least", "links", "component"), "named")
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_kind = named.join(least, "component").select("kind", "copies", "clean", "links", "component_id")
-    out = keyed.select("vec_id", "kind").join(by_kind, "kind", "left")
-    n = F.when(F.col("clean"), F.coalesce("links", F.lit(0)) + F.col("copies") - 1).otherwise(0).cast("long")
-    own_id = F.when(F.col("clean"), F.col("component_id")).otherwise(F.col("vec_id"))
+    by_kind = named.join(least, "component").select("key", "copies", "links", "component_id")
+    out = keyed.select("vec_id", "key").join(by_kind, "key", "left")
+    taken = F.col("key").isNotNull()
+    n = F.when(taken, F.coalesce("links", F.lit(0)) + F.col("copies") - 1).otherwise(0).cast("long")
+    own_id = F.when(taken, F.col("component_id")).otherwise(F.col("vec_id"))
     return out.select("vec_id", n.alias("n_links"), own_id.alias("component_id"), F.col("vec_id").eqNullSafe(own_id).alias("kept"))
