@@ -49,43 +49,51 @@ def spans(classes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
+def _raw(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The polynomial of each span: the sum of its bytes' random values times the powers of their places in it."""
+    powers, inverses = _to_power(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTES[data] * powers[: len(data)], out=sums[1:])
+    return (sums[ends] - sums[starts]) * inverses[starts]
+
+
+def _finished(raw: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    return mix(raw + lengths.astype(np.uint64) * _GOLDEN)
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash of each span of bytes, the same wherever the span stands; A-Z count as a-z.
 
     It is a polynomial in the bytes' random values modulo 2**64, mixed. Memory is 24 bytes for each byte of
-    ``data``, so long texts are to be given in pieces.
+    ``data``; ``run_hashes`` takes a long text piece by piece.
     """
-    powers, inverses = _to_power(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTES[data] * powers[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverses[starts] + (ends - starts).astype(np.uint64) * _GOLDEN)
+    return _finished(_raw(data, starts, ends), ends - starts)
 
 
-def pieces(data: np.ndarray, size: int, gap: np.ndarray, overlap: int):
-    """Cut one long text into runs of about ``size`` bytes, each but the first with the last ``overlap`` spans before it.
+def run_hashes(data: np.ndarray, classes: np.ndarray, size: int) -> np.ndarray:
+    """The hashes of all runs of one non-zero class of bytes in one text, looked at ``size`` bytes at a time.
 
-    ``gap`` marks the bytes between spans. Yields (start, end); every run of ``overlap + 1`` spans is whole in one piece.
+    Pieces may end anywhere: the polynomial of a run that goes on is that of its first part plus that of the rest times the power of the part's length.
     """
-    n, start = len(data), 0
-    while start < n:
-        end = start + size
-        while end < n:  # up to the next gap, so that no span is cut
-            found = np.flatnonzero(gap[data[end : end + size]])
-            if len(found):
-                end += int(found[0])
-                break
-            end += size
-        end = min(end, n)
-        yield start, end
-        if end >= n:
-            return
-        back = end
-        for _ in range(overlap):
-            while back > start and gap[data[back - 1]]:
-                back -= 1
-            while back > start and not gap[data[back - 1]]:
-                back -= 1
-        start = back if back > start else end
+    found, none = [], np.empty(0, np.uint64)
+    kind, raw, length = 0, none, 0  # the run that the last piece ended in
+    for at in range(0, len(data), size):
+        piece = data[at : at + size]
+        of_byte = classes[piece].astype(np.uint8)
+        starts, ends, _ = spans(of_byte, np.array([0, len(piece)]))
+        raws, lengths = _raw(piece, starts, ends), ends - starts
+        if kind and of_byte[0] == kind:
+            raws[:1] = raw + np.uint64(pow(_BASE, length, 1 << 64)) * raws[:1]
+            lengths[0] += length
+        elif kind:
+            found.append(_finished(raw, np.array([length])))
+        kind = int(of_byte[-1])
+        last = len(raws) - (kind != 0)
+        raw, length = (raws[last:], int(lengths[last])) if kind else (none, 0)
+        found.append(_finished(raws[:last], lengths[:last]))
+    if kind:
+        found.append(_finished(raw, np.array([length])))
+    return np.concatenate(found) if found else none
 
 
 def gram_hashes(words: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -100,6 +108,13 @@ def gram_hashes(words: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarra
     return mix(total[whole]), owner[:count][whole]
 
 
+def long_gram_hashes(words: np.ndarray, n: int, size: int) -> np.ndarray:
+    """Hashes of every ``n`` consecutive words of one text, made about ``size`` at a time."""
+    ends = range(0, max(len(words) - n + 1, 0), size)
+    made = [gram_hashes(words[a : a + size + n - 1], np.zeros(min(size + n - 1, len(words) - a), np.int64), n)[0] for a in ends]
+    return np.concatenate(made) if made else np.empty(0, np.uint64)
+
+
 def set_hash(words: np.ndarray) -> int:
     """A hash of a sorted array of distinct values."""
     return int(np.add.reduce(mix(words + _GOLDEN)) ^ np.uint64(len(words)))

@@ -38,19 +38,17 @@ def shingles(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndar
     Words are runs of bytes other than 0x20 and 0x09-0x0D, A-Z as a-z. A text of fewer words has its whole sequence as its
     only shingle; one without words has none.
     """
-    one = len(offsets) == 2 and len(data) > 2 * CHUNK
-    if one:  # a very long text in pieces that share words - 1 words
-        found = [_grams(data[a:b], np.array([0, b - a]), words)[0] for a, b in hashing.pieces(data, CHUNK, hashing.SPACES, words - 1)]
-        found = [f for f in found if len(f)]
-        if found:
-            grams = np.unique(np.concatenate(found))
-            return grams, np.zeros(len(grams), np.int64)
-        # fewer words than a shingle, some of them huge
-    grams, owner = _grams(data, offsets, words)
-    spans_owner = owner[1]
-    short, short_owner = _short(owner[0], spans_owner, words)
-    grams = np.concatenate([grams, short])
-    at = np.concatenate([owner[2], short_owner])
+    if len(offsets) == 2 and len(data) > 2 * CHUNK:  # one very long text: its words' hashes piece by piece
+        hashes = hashing.run_hashes(data, ~hashing.SPACES, CHUNK)
+        owner = np.zeros(len(hashes), np.int64)
+        grams = hashing.long_gram_hashes(hashes, words, CHUNK)
+        at = np.zeros(len(grams), np.int64)
+    else:
+        starts, ends, owner = hashing.spans(~hashing.SPACES[data], offsets)
+        hashes = hashing.span_hashes(data, starts, ends)
+        grams, at = hashing.gram_hashes(hashes, owner, words)
+    short, short_at = _short(hashes, owner, words)
+    grams, at = np.concatenate([grams, short]), np.concatenate([at, short_at])
     order = np.lexsort((grams, at))
     grams, at = grams[order], at[order]
     if len(grams):
@@ -60,13 +58,6 @@ def shingles(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndar
     return grams, at
 
 
-def _grams(data: np.ndarray, offsets: np.ndarray, words: int):
-    starts, ends, owner = hashing.spans(~hashing.SPACES[data], offsets)
-    hashes = hashing.span_hashes(data, starts, ends)
-    grams, gram_owner = hashing.gram_hashes(hashes, owner, words)
-    return grams, (hashes, owner, gram_owner)
-
-
 def _short(hashes: np.ndarray, owner: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     texts, first, counts = np.unique(owner, return_index=True, return_counts=True)
     out, at = [], []

@@ -420,13 +420,29 @@ def test_resampling_of_odd_rows(spark):
     assert importance.resample(empty_docs(spark), labels).count() == 0
 
 
-def test_gram_buckets_of_pieces_equal_the_whole(monkeypatch):
-    data = np.frombuffer("one two two, three!! ".encode() * 50, np.uint8)
-    grams, owner = importance.gram_buckets(data, np.array([0, len(data)]), 1 << 20)
-    assert len(grams) == 2 * 6 * 50 - 1 and not owner.any()
-    monkeypatch.setattr(importance, "CHUNK", 100)
-    cut = importance.gram_buckets(data, np.array([0, len(data)]), 1 << 20)[0]
-    assert set(cut) <= set(grams) and len(grams) - len(cut) < 30  # only pairs across pieces are left out
+@pytest.mark.parametrize("size", [1, 2, 3, 10, 100, 1000])
+def test_pieces_of_long_texts_equal_the_whole(monkeypatch, size):
+    rng = np.random.default_rng(size)
+    for longest in (3, 40, 3000):
+        parts = ["".join(rng.choice(list("aBé,!-9"), rng.integers(1, longest))) + " \n"[: rng.integers(0, 3)] for _ in range(40)]
+        parts += parts[-1:] * 3 + ["one two two, three!! "] * 5
+        data = np.frombuffer("".join(parts).encode(), np.uint8)
+        ends = np.array([0, len(data)])
+        whole = importance.gram_buckets(data, ends, 1 << 40)[0], *(superminhash.shingles(data, ends, k)[0] for k in (1, 3, 5))
+        with monkeypatch.context() as patch:
+            patch.setattr(importance, "CHUNK", size)
+            patch.setattr(superminhash, "CHUNK", size)
+            cut = importance.gram_buckets(data, ends, 1 << 40)[0], *(superminhash.shingles(data, ends, k)[0] for k in (1, 3, 5))
+        assert all(np.array_equal(np.sort(x), np.sort(y)) for x, y in zip(whole, cut, strict=True))
+
+
+def test_long_words_in_long_texts(spark):
+    words = [c * 700_000 for c in "abcd"] + list("efgh")
+    other = [words[i] for i in (2, 0, 3, 1, 4, 5, 6, 7)]
+    few = ["x" * 2_500_000, "y"]
+    texts = {1: " ".join(words), 2: " ".join(other), 3: " ".join(words) + " ", 4: " ".join(few), 5: " ".join(few[::-1])}
+    found = superminhash.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), words=3, percent=85, bands=28, slots=6)
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found.collect()) == [(1, 6, 1), (2, 6, 2), (3, 6, 1), (4, 1, 4), (5, 1, 5)]
 
 
 # vectors
@@ -476,6 +492,51 @@ def test_near_vectors_equal_brute_force(spark, tile, monkeypatch):
     assert pigeonhole.near_vectors(df.limit(0)).count() == 0
 
 
+def links_of(found):
+    return {r["vec_id"]: r["n_links"] for r in found.collect()}
+
+
+def test_pairs_at_the_borders_of_slabs_are_found_once(spark):
+    rng = np.random.default_rng(15)
+    blocks = pigeonhole.Blocks(64, pigeonhole.BLOCKS, 0.95)
+    rows, turn = [], pigeonhole.rotation(64)
+    steps = [0, *(sign * 10.0**-p for p in range(5, 16) for sign in (1, -1))]
+    for n, step in enumerate(steps * 8):
+        # Two vectors that differ in one coordinate of block 0 by about its radius, and less in block 1.
+        x = rng.normal(size=64)
+        x /= np.linalg.norm(x)
+        y = x.copy()
+        y[n % 8] += np.sqrt(blocks.budgets[0]) * (1 + step)
+        if n % 3:
+            y[8 + n % 8] += 0.02 * (n % 3)
+        y[63] *= 1 + rng.normal() * 1e-9
+        rows += [(2 * n, (turn @ x).tolist()), (2 * n + 1, (turn @ y).tolist())]
+    found = links_of(pigeonhole.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")))
+    unit = np.array([v for _, v in rows])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    close = unit @ unit.T
+    assert abs(close - 0.95).min() > 1e-12
+    assert found == {i: int((close[i] >= 0.95).sum()) - 1 for i in range(len(rows))}
+    assert min(found.values()) >= 1
+
+
+@pytest.mark.parametrize("cosine", [0.95, 0.9999])
+def test_links_on_a_circle_equal_brute_force(spark, cosine):
+    rng = np.random.default_rng(16)
+    angles = np.concatenate([rng.uniform(0, 2 * np.pi, 150), np.arange(40) * np.arccos(cosine) * (1 + 1e-9), np.arange(40) * np.arccos(cosine) * (1 - 1e-9)])
+    points = np.stack([np.cos(angles), np.sin(angles)], 1) * rng.uniform(0.1, 9, (230, 1))
+    unit = points / np.linalg.norm(points, axis=1, keepdims=True)
+    found = links_of(pigeonhole.near_vectors(spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id long, embedding array<double>"), cosine=cosine))
+    assert found == {i: int((unit[i] @ unit.T >= cosine).sum()) - 1 for i in range(230)}
+
+
+def test_vectors_with_nulls_link_with_nothing(spark):
+    rows = [(1, [None, 1.0, 2.0]), (2, [1.0, 2.0, None]), (3, [1.0, 2.0]), (4, [2.0, 4.0]), (5, [1.0, None, 2.0]), (6, [1.0, 2.0]), (7, [1.0, 2.0, 0.0]), (8, [1.0, 2.0, -0.0]), (9, None)]
+    found = pigeonhole.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    by_id = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in found.collect()}
+    assert by_id == {1: (0, 1, True), 2: (0, 2, True), 3: (2, 3, True), 4: (2, 3, False), 5: (0, 5, True), 6: (2, 3, False), 7: (1, 7, True), 8: (1, 7, False), 9: (0, 9, True)}
+
+
 def test_top_k_of_odd_vectors(spark):
     rows, df = odd_vectors(spark)
     found = collections.defaultdict(list)
