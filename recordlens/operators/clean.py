@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,13 +13,15 @@ from recordlens.functions import epoch_span, folded, joined_text, repair_shifted
 _WHOLE_TYPES = {"tinyint", "smallint", "int", "integer", "bigint"}
 
 
+def cast_text(col: Column, target: str) -> Column:
+    """Text as a type; what does not fit is null."""
+    return whole_number(col, target) if target.lower() in _WHOLE_TYPES else col.try_cast(target)
+
+
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast columns in place, e.g. ``{"goal": "int"}``; values that do not fit become null."""
     texts = {field.name for field in df.schema if isinstance(field.dataType, T.StringType)}
-    casts = {}
-    for name, target in types.items():
-        from_text = name in texts and target.lower() in _WHOLE_TYPES
-        casts[name] = whole_number(F.col(name), target) if from_text else F.col(name).try_cast(target)
+    casts = {name: cast_text(F.col(name), to) if name in texts else F.col(name).try_cast(to) for name, to in types.items()}
     return df.withColumns(casts)
 
 

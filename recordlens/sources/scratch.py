@@ -3,9 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from recordlens.sources.files import delete
+
+_owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
 
 def _root(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -14,7 +22,11 @@ def _root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under ``spark.checkpoint.dir``, or under the warehouse where that is not set."""
-    return f"{_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_root(spark)}/{name}-{uuid.uuid4().hex}"
+    owned = _owned.get()
+    if owned is not None:
+        owned.append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -22,7 +34,35 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
     Used where several jobs read the same intermediate rows: it survives the loss of executors,
     needs no executor memory, and later readers still get column pruning and filter pushdown.
+    Inside a ``scope`` the table is deleted when that ends; outside it stays, like a checkpoint.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Own the scratch tables that are made inside and delete them at the end, also after an error.
+
+    A scope inside another owns its own tables. What leaves a scope must not read them any more.
+    """
+    paths: list[str] = []
+    before = _owned.set(paths)
+    try:
+        yield
+    finally:
+        _owned.reset(before)
+        for path in paths:
+            delete(spark, path)
+
+
+def scoped(function: Callable) -> Callable:
+    """Run a function whose first argument is a DataFrame, and whose result reads no scratch table, in a scope."""
+
+    @wraps(function)
+    def run(df: DataFrame, *args, **kwargs):
+        with scope(df.sparkSession):
+            return function(df, *args, **kwargs)
+
+    return run

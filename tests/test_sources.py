@@ -2,9 +2,11 @@
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 from recordlens import sources
 from recordlens.plans import prepare
 from recordlens.plans.tables import campaigns
+from recordlens.sources import files
 
 QUOTED = 'name,desc,country,currency\nx,"say ""hi, there"" now",US,USD\n'
 
@@ -133,3 +135,128 @@ def test_preparing_takes_a_stream(spark, small, tmp_path):
     query.awaitTermination(60)
     found, wanted = spark.table("prepared_stream"), prepare.prepare_records(raw)
     assert found.count() == wanted.count() and found.exceptAll(wanted).isEmpty()
+
+
+# Malformed rows
+
+ODD_LINES = """name,goal,desc
+a,1,plain
+b,2,"a, b",EXTRA
+c,3
+d,abc,"say ""hi, there"" now"
+"e, f",20.7,
+g,"open, never
+,,
+h,5,x,,
+"""
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_malformed_rows_are_set_apart(spark, tmp_path, strict):
+    (tmp_path / "a.csv").write_text(ODD_LINES)
+    (tmp_path / "b.csv").write_text("name,goal,desc\ni,7,y\nj\n")
+    good, rejected = sources.read_csv_checked(spark, str(tmp_path), ["goal", "name"], {"goal": "int"}, strict=strict)
+    unfit = [] if strict else [(None, "d")]
+    assert sorted(map(tuple, good.collect()), key=repr) == sorted([(1, "a"), *unfit, (20, "e, f"), (None, None), (7, "i")], key=repr)
+    found = {(r["file"].rpartition("/")[2], r["line"]): (r["n_fields"], r["reason"]) for r in rejected.collect()}
+    wanted = {
+        ("a.csv", 'b,2,"a, b",EXTRA'): (4, "too many fields"),
+        ("a.csv", "c,3"): (2, "too few fields"),
+        ("a.csv", 'g,"open, never'): (None, "a quote does not end"),
+        ("a.csv", "h,5,x,,"): (5, "too many fields"),
+        ("b.csv", "j"): (1, "too few fields"),
+    }
+    if strict:
+        wanted["a.csv", 'd,abc,"say ""hi, there"" now"'] = (3, "goal is no int")
+    assert found == wanted
+    # A part of the columns changes nothing.
+    assert good.count() == 5 - strict and rejected.select("reason").count() == len(wanted)
+
+
+def test_checked_rows_of_good_and_empty_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("_broken,_file\n1,2\n")
+    good, rejected = sources.read_csv_checked(spark, str(tmp_path))
+    assert [tuple(r) for r in good.collect()] == [("1", "2")] and good.columns == ["_broken", "_file"] and rejected.isEmpty()
+    (tmp_path / "a.csv").write_text("_broken,_file\n")
+    good, rejected = sources.read_csv_checked(spark, str(tmp_path), types={"_file": "int"}, strict=True)
+    assert good.isEmpty() and rejected.isEmpty()
+    with pytest.raises(ValueError, match="desc"):
+        sources.read_csv_checked(spark, str(tmp_path), ["desc"])
+
+
+def test_inferred_reading(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b,c,d,e,f,g\n1,2.5,2020-01-31,x,true,,3000000000\n-2,1e3,2020-02-30,1,FALSE,,1\n,.5,,,,,\n")
+    df = sources.read_csv_inferred(spark, str(tmp_path))
+    assert [t for _, t in df.dtypes] == ["int", "double", "string", "string", "boolean", "string", "bigint"]
+    assert tuple(df.first()) == (1, 2.5, "2020-01-31", "x", True, None, 3000000000)
+    loose = sources.read_csv_inferred(spark, str(tmp_path), least_share=0.5)
+    assert [t for _, t in loose.dtypes][2:4] == ["date", "int"] and loose.where("c is null").count() == 2
+
+
+# Replacing tables
+
+
+def names_in(folder):
+    return sorted(p.name for p in folder.iterdir())
+
+
+def test_a_failed_overwrite_leaves_the_old_table(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    sources.write_parquet(spark.range(100), path)
+    half = spark.range(0, 100, 1, 4).select(F.when(F.col("id") == 90, F.raise_error(F.lit("broken")).cast("long")).otherwise(-F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        sources.write_parquet(half, path, overwrite=True)
+    assert spark.read.parquet(path).agg(F.sum("id")).first()[0] == 4950
+    assert names_in(tmp_path) == ["t"]
+
+
+def test_a_table_is_replaced_by_what_is_read_from_it(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    for _ in range(2):
+        sources.write_parquet(spark.range(100), path, overwrite=True)
+    for left in (50, 25):
+        sources.write_parquet(spark.read.parquet(path).where(f"id < {left}"), path, overwrite=True)
+        assert spark.read.parquet(path).count() == left
+    assert names_in(tmp_path) == ["t"]
+
+
+def test_an_interrupted_overwrite_is_put_right(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/t"
+    sources.write_parquet(spark.range(3), path)
+    moves = []
+
+    def rename(spark, old, new, real=files.rename):
+        moves.append(old)
+        if len(moves) == 2:
+            raise OSError("the store is gone")
+        real(spark, old, new)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(files, "rename", rename)
+        with pytest.raises(OSError, match="gone"):
+            sources.write_parquet(spark.range(5), path, overwrite=True)
+    assert spark.read.parquet(path).count() == 3 and names_in(tmp_path) == ["t"]
+    # The driver died between the renames: the old table stands beside its place, hidden from readers of the folder.
+    (tmp_path / "t").rename(tmp_path / "_t.old-1")
+    assert sources.restore_interrupted(spark, path) and not sources.restore_interrupted(spark, path)
+    assert spark.read.parquet(path).count() == 3
+    (tmp_path / "t").rename(tmp_path / "_t.old-1")
+    sources.write_parquet(spark.range(7), path, overwrite=True)
+    assert spark.read.parquet(path).count() == 7 and names_in(tmp_path) == ["t"]
+
+
+# Scratch tables that end
+
+
+def test_a_scope_deletes_what_was_made_in_it(spark, shared_folder):
+    before = set(names_in(shared_folder))
+    with sources.scope(spark):
+        sources.materialize(spark.range(3), "outer")
+        with sources.scope(spark):
+            inner = sources.materialize(spark.range(4), "inner")
+            assert inner.count() == 4
+        assert {n.partition("-")[0] for n in set(names_in(shared_folder)) - before} == {"outer"}
+        with pytest.raises(KeyError), sources.scope(spark):
+            sources.materialize(spark.range(5), "failed")
+            raise KeyError
+    assert set(names_in(shared_folder)) == before
