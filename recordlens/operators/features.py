@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordlens.operators.terms import most_frequent, vocabulary
-from recordlens.sources.scratch import materialize
+from recordlens.sources.scratch import materialize, scoped
 
 #: The plain Spark stage's setting; ``fit_count_vectorizer`` cuts nothing unless asked to.
 VOCAB_SIZE = 1 << 18
@@ -59,6 +59,7 @@ def counter_of(terms: Sequence[str], column: str = "filtered", out: str = "rawFe
     return CountVectorizerModel.from_vocabulary(list(terms), column, out)
 
 
+@scoped
 def fit_count_vectorizer(
     df: DataFrame,
     column: str = "filtered",
@@ -71,7 +72,7 @@ def fit_count_vectorizer(
 
     Terms are counted and ranked over all tasks, equal counts in term order, so the same corpus gives the same
     vocabulary however it is partitioned. Nothing is cut unless ``vocab_size`` asks for it. More terms than the
-    driver may hold are an error: use hashed terms or the long form then.
+    driver may hold are an error: ``vectorize.add_term_vectors`` makes the same vectors without holding any.
     """
     kept = ranked_terms(vocabulary(df, column, min_df=min_df), vocab_size).collect()
     return counter_of([row["term"] for row in kept], column, out)
@@ -84,7 +85,7 @@ def ranked_terms(terms: DataFrame, vocab_size: int | None = None) -> DataFrame:
     if n == 0:
         raise ValueError("no term occurs in enough documents")
     if n > DRIVER_TERMS:
-        raise ValueError(f"{n} terms are more than {DRIVER_TERMS}: name a vocab_size, use hashed terms or the long form")
+        raise ValueError(f"{n} terms are more than {DRIVER_TERMS}: name a vocab_size, use hashed terms or vectorize.add_term_vectors")
     return kept.orderBy(F.desc("count"), "term")
 
 

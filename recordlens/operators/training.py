@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
@@ -20,7 +21,8 @@ from recordlens.operators.clean import drop_missing
 from recordlens.operators.evaluate import f1_evaluator
 from recordlens.operators.split import SPLIT_SEED, split_by_hash
 from recordlens.operators.terms import idf, vocabulary
-from recordlens.sources.scratch import materialize
+from recordlens.sources.files import exists
+from recordlens.sources.scratch import materialize, scoped
 
 # The hyper-parameters that the search tries.
 GRID_REG_PARAMS = (1e-7, 1e-5, 1e-3, 1e-1)
@@ -148,12 +150,16 @@ def _learning_rows(df: DataFrame, recipe: Recipe, name: str) -> DataFrame:
     return materialize(df.select(recipe.label, vector), name)
 
 
-def _token_rows(train: DataFrame, recipe: Recipe) -> DataFrame:
-    """The training rows with tokens in place of text, in a scratch table."""
+def token_rows(train: DataFrame, recipe: Recipe) -> DataFrame:
+    """The training rows with tokens in place of text, in a scratch table. Runs a job.
+
+    ``fit_each`` and ``tune`` take the table as ``tokens``, so that several fits over the same rows tokenise them once.
+    """
     tokenized = PipelineModel(token_stages(recipe)).transform(train)
     return materialize(tokenized.drop("tokens", recipe.text), "tokens")
 
 
+@scoped
 def fit_features(rows: DataFrame, recipe: Recipe) -> PipelineModel:
     """Fit the stages from ``filtered`` tokens to the vector that is learned from. Runs jobs."""
     stages.check_labels(rows, recipe.categories, recipe.max_labels)
@@ -182,14 +188,15 @@ def fit(train: DataFrame, recipe: Recipe) -> PipelineModel:
     """Fit all stages. Runs jobs.
 
     Tokens are computed once and written to a scratch table, because the vocabulary, the weights and
-    the label numbers each pass over them; so are the feature vectors, which the regression reads.
+    the label numbers each pass over them; so are the feature vectors, which the regression reads. These tables are deleted when the model is fitted.
     """
     return fit_each(train, recipe, (recipe.features,))[0]
 
 
-def fit_each(train: DataFrame, recipe: Recipe, columns: Sequence[str]) -> list[PipelineModel]:
+@scoped
+def fit_each(train: DataFrame, recipe: Recipe, columns: Sequence[str], *, tokens: DataFrame | None = None) -> list[PipelineModel]:
     """Like ``fit``, one model for each of several feature columns, over stages that are fitted once."""
-    return _fit_tokens(_token_rows(train, recipe), recipe, columns)
+    return _fit_tokens(token_rows(train, recipe) if tokens is None else tokens, recipe, columns)
 
 
 def score(model: PipelineModel | TrainValidationSplitModel, df: DataFrame) -> DataFrame:
@@ -232,6 +239,7 @@ class Tuned:
     n_fit: int
     n_check: int
     n_terms: dict[float, int]
+    reused: frozenset[tuple[float, float]] = frozenset()
 
     def report(self, spark: SparkSession) -> DataFrame:
         """``min_df, reg_param, f1, chosen, n_fit, n_check, n_terms``, one row for each grid point."""
@@ -254,6 +262,35 @@ def _term_models(terms: DataFrame, n_documents: int, recipe: Recipe) -> list:
     return [stages.counter_of([row["term"] for row in rows]), weights]
 
 
+_JOURNAL = "min_df double, reg_param double, f1 double, n_terms long"
+
+
+class Journal:
+    """The scores of finished grid points as written rows, one folder for each point of one search.
+
+    A search is known by its recipe, its split and its rows, whatever their order and partitions, so other data or settings never
+    meet its scores. A point that is written again replaces itself.
+    """
+
+    def __init__(self, rows: DataFrame, path: str, settings: tuple) -> None:
+        self.spark = rows.sparkSession
+        digest = F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)"))
+        content = rows.agg(F.count(F.lit(1)), digest).first()
+        self.path = f"{path.rstrip('/')}/{hashlib.sha256(repr((settings, tuple(content))).encode()).hexdigest()[:32]}"
+
+    def scores(self) -> dict[tuple[float, float], tuple[float, int]]:
+        """F1 and number of terms of the points that are finished: one row for each point."""
+        if not exists(self.spark, self.path):
+            return {}
+        rows = self.spark.read.schema(_JOURNAL).option("recursiveFileLookup", True).parquet(self.path).collect()
+        return {(r["min_df"], r["reg_param"]): (r["f1"], r["n_terms"]) for r in rows}
+
+    def add(self, min_df: float, reg_param: float, f1: float, n_terms: int) -> None:
+        row = self.spark.createDataFrame([(min_df, reg_param, f1, n_terms)], _JOURNAL)
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/{min_df!r}-{reg_param!r}")
+
+
+@scoped
 def tune(
     train: DataFrame,
     recipe: Recipe,
@@ -264,6 +301,8 @@ def tune(
     train_ratio: float = 0.7,
     seed: int = SPLIT_SEED,
     parallelism: int = 4,
+    journal: str | None = None,
+    tokens: DataFrame | None = None,
 ) -> Tuned:
     """Fit every grid point on one part, score it on the rest, refit the best on all rows. Runs jobs.
 
@@ -272,35 +311,52 @@ def tune(
     fitted once, and the feature vectors of one ``min_df`` are written once for all penalties.
     Up to ``parallelism`` regressions run at a time. The parts are split by a hash of ``key``, which
     ``recipe.keep`` must name. The terms that the driver holds are counted first.
+
+    With a ``journal``, a folder, every point's score is written there as soon as it is known, and a search over the same
+    rows with the same recipe and split takes the points that it finds there as they are, also a search over another grid. ``Tuned.reused`` names them. The
+    scratch tables of a search are deleted when it ends, the journal stays.
     """
     if recipe.hashed:
         raise ValueError("a hashed recipe has no vocabulary and no min_df to tune")
     if min(min_dfs) < 1:
         raise ValueError("min_dfs are numbers of documents")
-    rows = _token_rows(train, recipe)
+    min_dfs, reg_params = [float(v) for v in min_dfs], [float(v) for v in reg_params]
+    rows = token_rows(train, recipe) if tokens is None else tokens
+    # The grid sets the penalty and the least document frequency, and the label is part of the rows.
+    settings = replace(recipe, min_df=1.0, reg_param=0.0), key, train_ratio, seed
+    notes = Journal(rows, journal, settings) if journal else None
+    known = notes.scores() if notes else {}
     fit_rows, check_rows = split_by_hash(rows, key, train_ratio, seed)
-    terms = materialize(vocabulary(fit_rows, "filtered", min_df=min(min_dfs)), "terms")
-    n_documents, n_check, n_terms = fit_rows.count(), check_rows.count(), {}
-    stages.check_labels(fit_rows, recipe.categories, recipe.max_labels)
-    categories = Pipeline(stages=category_stages(recipe)).fit(fit_rows)
+    n_documents, n_check = fit_rows.count(), check_rows.count()
+    todo = {m: [r for r in reg_params if (m, r) not in known] for m in min_dfs}
+    if any(todo.values()):
+        terms = materialize(vocabulary(fit_rows, "filtered", min_df=min(m for m in min_dfs if todo[m])), "terms")
+        stages.check_labels(fit_rows, recipe.categories, recipe.max_labels)
+        categories = Pipeline(stages=category_stages(recipe)).fit(fit_rows)
 
     evaluator = f1_evaluator(recipe.label)
-    scores = []
+    found = dict(known)
     with ThreadPoolExecutor(parallelism) as pool:
-        for min_df in min_dfs:
-            point = replace(recipe, min_df=float(min_df))
+        for min_df in (m for m in min_dfs if todo[m]):
+            point = replace(recipe, min_df=min_df)
             counter, weights = _term_models(terms, n_documents, point)
-            n_terms[float(min_df)] = weights.getScalingVec().size
+            n_terms = weights.getScalingVec().size
             featurize = PipelineModel([counter, weights, *categories.stages, assemble_stage(recipe)])
             fit_vectors = _learning_rows(featurize.transform(fit_rows), recipe, "fit")
             check_vectors = _learning_rows(featurize.transform(check_rows), recipe, "check")
 
-            def f1_of(reg, point=point, fit_vectors=fit_vectors, check_vectors=check_vectors):
-                fitted = classifier(replace(point, reg_param=float(reg))).fit(fit_vectors)
-                return evaluator.evaluate(fitted.transform(check_vectors))
+            def f1_of(reg, point=point, n_terms=n_terms, fit_vectors=fit_vectors, check_vectors=check_vectors):
+                fitted = classifier(replace(point, reg_param=reg)).fit(fit_vectors)
+                f1 = evaluator.evaluate(fitted.transform(check_vectors))
+                if notes:
+                    notes.add(point.min_df, reg, f1, n_terms)
+                return f1, n_terms
 
             run = inheritable_thread_target(train.sparkSession)(f1_of)
-            scores += [(float(min_df), float(reg), f1) for reg, f1 in zip(reg_params, pool.map(run, reg_params))]
+            found |= {(min_df, reg): result for reg, result in zip(todo[min_df], pool.map(run, todo[min_df]), strict=True)}
+    grid_points = [(m, r) for m in min_dfs for r in reg_params]
+    scores = [(*point, found[point][0]) for point in grid_points]
+    n_terms = {m: found[m, reg_params[0]][1] for m in min_dfs}
 
     best_min_df, best_reg, _ = max(scores, key=lambda point: point[2])
     best = replace(recipe, min_df=best_min_df, reg_param=best_reg)
@@ -315,7 +371,7 @@ def tune(
         (model.seed, seed),
     ):
         model.set(param, value)
-    return Tuned(model, best, tuple(scores), n_documents, n_check, n_terms)
+    return Tuned(model, best, tuple(scores), n_documents, n_check, n_terms, frozenset(known).intersection(grid_points))
 
 
 def save_model(model, path: str) -> None:

@@ -152,6 +152,32 @@ _TEXT_COLUMNS = (("goal", 0), ("country2", 2), ("currency2", 3), ("keywords", 1)
 
 _TOP_COLUMNS = ("disable_communication", "country", "currency", "state_changed_at", "backers_count")
 
+_TYPE_TESTS = (
+    ("int", "regexp_matches(t, '^[+-]?[0-9]{1,19}$') and try_cast(t as integer) is not null"),
+    ("bigint", "regexp_matches(t, '^[+-]?[0-9]{1,19}$') and try_cast(t as bigint) is not null"),
+    ("double", "regexp_matches(t, '^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$')"),
+    ("date", "regexp_matches(t, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$') and try_cast(t as date) is not null"),
+    ("timestamp", "regexp_matches(t, '^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2})?)?$') and try_cast(t as timestamp) is not null"),
+    ("boolean", "lower(t) in ('true', 'false')"),
+)
+_TYPED_COLUMNS = ("id", "name", "goal", "launched_at", "backers_count", "disable_communication", "country", "launched_ms", "day", "price", "moment")
+
+
+def _inferred_types() -> str:
+    """Counts of fitting values by column and type, and the first type that enough of them fit."""
+    values = " union all ".join(f"""select '{name}' as "column", cast({name} as varchar) as t from wide""" for name in _TYPED_COLUMNS)
+    counts = ", ".join(f"count(*) filter ({test}) as n_{kind}" for kind, test in _TYPE_TESTS)
+    choice = " ".join(f"when n > 0 and n_{kind} >= least_share * n then '{kind}'" for kind, _ in _TYPE_TESTS)
+    n_fit = " ".join(f"when '{kind}' then n_{kind}" for kind, _ in _TYPE_TESTS)
+    return f"""with {_CAMPAIGNS}, wide as (select *, case when id % 5 = 0 then day else day || ' 10:20:30' end as moment from (
+          select c.*, launched_at * 1000 as launched_ms, strftime(o_orderdate, '%Y-%m-%d') as day, o_totalprice + 0.5 as price
+          from campaigns c join orders on o_orderkey = id)),
+        long as ({values}), counts as (select "column", count(t) as n, count(*) - count(t) as n_null, {counts} from long group by "column"),
+        typed as (select *, case {choice} else 'string' end as type from counts, (values (1.0::double), (0.9::double)) as s(least_share)),
+        fitted as (select *, case type {n_fit} else n end as n_fit from typed)
+        select "column", type, n, n_null, n_fit, round(n_fit / n, 6) as share, least_share from fitted"""
+
+
 ORACLES: dict[str, str] = {
     # Text lines and word counts
     "text_lines": f"with {_LINES} select value from lines",
@@ -180,6 +206,15 @@ ORACLES: dict[str, str] = {
         union all
         select o_orderkey, null, o_orderpriority, 2 from orders""",
     "parquet_overwrite": f"with {_PREPARED} select * from prepared",
+    "parquet_staged_overwrite": f"with {_CAMPAIGNS} select id, goal, true as failed_before from campaigns where id % 2 = 0",
+    "csv_quarantine": f"""with {_CAMPAIGNS}, parts as (select id, coalesce(goal, '') as goal, "desc",
+          '"' || replace("desc", '"', '""') || '"' as quoted, try_cast(regexp_replace(goal, '[.][0-9]*$', '') as integer) as number from campaigns)
+        select case when id % 13 = 0 then 'too many fields' when id % 17 = 0 then 'too few fields' when goal <> '' and number is null then 'goal is no int' else 'good' end as reason,
+          case when id % 13 = 0 then 5 when id % 17 = 0 then 2 else 3 end as n_fields,
+          case when id % 13 = 0 then concat_ws(',', id, goal, quoted, 'EXTRA', '"a, b"') when id % 17 = 0 then concat_ws(',', id, goal)
+            when goal <> '' and number is null then concat_ws(',', id, goal, quoted) else concat_ws('|', id, coalesce(cast(number as varchar), ''), "desc") end as line
+        from parts""",
+    "inferred_types": _inferred_types(),
     "parquet_refuse_existing": "select o_orderkey, o_totalprice, true as refused from orders",
     # Cleaning
     "cast_records": f"""with {_TYPED} select id, goal, deadline, state_changed_at, created_at, launched_at,
@@ -215,6 +250,8 @@ ORACLES: dict[str, str] = {
     "row_count": f"with {_CAMPAIGNS} select count(*) as n_rows from campaigns",
     "summary_of_numbers": f"with {_SPANS} "
     + " union all ".join(_summary("spans", name, place, kind, name) for name, place, kind in _NUMBER_COLUMNS),
+    "summary_of_parts": f"with {_SPANS} "
+    + " union all ".join(_summary("spans", name, place, kind, name) for place, (name, _, kind) in enumerate(_NUMBER_COLUMNS)),
     "summary_of_texts": f"""with {_CAMPAIGNS}, codes as (select goal, {_COUNTRY2} as country2,
         {_CURRENCY2} as currency2, keywords from campaigns) """
     + " union all ".join(
@@ -267,6 +304,8 @@ ORACLES: dict[str, str] = {
     # Spark ML features
     "count_vectors": f"with {_ML_TERMS} select doc_id, term, position, tf from tf join ml_vocab using (term)",
     "idf_vectors": f"with {_ML_TERMS} select doc_id, term, {_WEIGHTS} from tf join ml_vocab using (term), n",
+    "term_table_vectors": f"with {_ML_TERMS} select doc_id, term, position, tf, {_WEIGHTS} from tf join ml_vocab using (term), n",
+    "term_table_agreement": f"""with {_TERMS} select (select count(*) from documents) as n_documents, count(*) as n_entries, 0::bigint as n_different from tf""",
     "hashed_term_vectors": f"""with {_tokens()} select doc_id, 20000 as n_buckets, coalesce(m, 0) as n_terms
         from documents left join (select doc_id, count(*) as m from kept group by doc_id) using (doc_id)""",
     "string_indexer": f"""with l as (select lang, cast({_INDEX.format(label="lang")} as double) as lang_indexed
@@ -325,6 +364,17 @@ ORACLES: dict[str, str] = {
           true as f1_in_range, true as one_chosen, true as best_chosen
         from (values (10::double), (20::double), (40::double)) as m(min_df),
           (values (1e-7::double), (1e-5::double), (1e-3::double), (1e-1::double)) as r(reg_param)""",
+    "resumed_search": f"""with fit_rows as (select doc_id, text from documents join labels using (doc_id)
+          where {_hash_share("doc_id", 0.7)}),
+        check_rows as (select doc_id from documents join labels using (doc_id)
+          where {_hash_share("doc_id", 0.9)} and not {_hash_share("doc_id", 0.7)}),
+        {_tokens("fit_rows")},
+        dfs as (select token, count(distinct doc_id) as df from kept group by token)
+        select min_df, reg_param, (select count(*) from fit_rows) as n_fit, (select count(*) from check_rows) as n_check,
+          (select count(*) from dfs where df >= min_df) as n_terms, min_df = 20 as reused, true as same_f1
+        from (values (20::double), (40::double)) as m(min_df), (values (1e-5::double), (1e-3::double)) as r(reg_param)""",
+    "posting_scores": f"""select count(*) as n_rows, 0::bigint as n_different, 0::bigint as n_other_class
+        from documents join labels using (doc_id) where not {_hash_share("doc_id", 0.9)}""",
     "plain_stages_agreement": f"""select count(*) as n_rows, 0::bigint as n_different
         from documents join labels using (doc_id) where not {_hash_share("doc_id", 0.9)}""",
     "country_rates": f"""with {_PREPARED}

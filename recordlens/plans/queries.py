@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recordlens import sources
-from recordlens.operators import clean, evaluate, features, profile, split, terms, training, words
+from recordlens.operators import clean, evaluate, features, infer, linear, profile, split, states, terms, training, vectorize, words
 from recordlens.plans import prepare
 from recordlens.plans.tables import campaigns, documents, labelled, lines, spaced_lines, table
 
@@ -149,6 +149,55 @@ def parquet_overwrite(spark, folder):
     return sources.read_parquet(spark, path)
 
 
+@query
+def parquet_staged_overwrite(spark, folder):
+    """A table that a failed overwrite has left as it was, then replaced by half of its own rows."""
+    path = sources.scratch_path(spark, "staged")
+    raw = campaigns(spark, folder).select("id", "goal")
+    sources.write_parquet(raw, path)
+    broken = F.when(F.col("id") % 7 == 0, F.raise_error(F.lit("broken"))).otherwise(F.col("goal"))
+    failed = False
+    try:
+        sources.write_parquet(raw.withColumn("goal", broken.cast("string")), path, overwrite=True)
+    except Exception as error:  # whatever class the session raises it as
+        failed = "broken" in str(error)
+    sources.write_parquet(sources.read_parquet(spark, path).where("id % 2 = 0"), path, overwrite=True)
+    return sources.read_parquet(spark, path).withColumn("failed_before", F.lit(failed))
+
+
+def _written_lines(spark: SparkSession, lines_of: DataFrame, header: str, name: str) -> str:
+    """Write one text column as the lines of CSV files with a header, as they are."""
+    path = sources.scratch_path(spark, name)
+    as_they_are = {"header": True, "sep": "\x01", "quote": "", "escapeQuotes": False, "escape": "\x02", "nullValue": "", "emptyValue": ""}
+    lines_of.toDF(header).write.options(**as_they_are).csv(path)
+    return path
+
+
+@query
+def csv_quarantine(spark, folder):
+    """Records of which some have a field too many or too few: good rows and rejected lines of the same files."""
+    quoted = """concat('"', replace(desc, '"', '""'), '"')"""
+    line = f"""case when id % 13 = 0 then concat_ws(',', id, coalesce(goal, ''), {quoted}, 'EXTRA', '"a, b"')
+        when id % 17 = 0 then concat_ws(',', id, coalesce(goal, '')) else concat_ws(',', id, coalesce(goal, ''), {quoted}) end"""
+    path = _written_lines(spark, campaigns(spark, folder).selectExpr(line), "id,goal,desc", "lines-csv")
+    good, rejected = sources.read_csv_checked(spark, path, types={"id": "bigint", "goal": "int"}, strict=True)
+    accepted = good.select(F.lit("good").alias("reason"), F.lit(3).alias("n_fields"), F.concat_ws("|", "id", F.coalesce(F.col("goal").cast("string"), F.lit("")), "desc").alias("line"))
+    return accepted.unionByName(rejected.select("reason", "n_fields", "line"))
+
+
+@query
+def inferred_types(spark, folder):
+    """Narrowest types of the columns of CSV files, for all values and for nine tenths of them."""
+    path = sources.scratch_path(spark, "typed-csv")
+    columns = campaigns(spark, folder).select("id", "name", "goal", "launched_at", "backers_count", "disable_communication", "country").withColumn("launched_ms", F.expr("launched_at * 1000"))
+    days = table(spark, folder, "orders").select(F.col("o_orderkey").alias("id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), (F.col("o_totalprice") + 0.5).alias("price"))
+    times = F.when(F.col("id") % 5 == 0, F.col("day")).otherwise(F.concat_ws(" ", "day", F.lit("10:20:30")))
+    sources.write_csv(columns.join(days, "id").withColumn("moment", times), path)
+    raw = sources.read_csv(spark, path)
+    tables = [infer.infer_types(raw, least_share=share).withColumn("least_share", F.lit(share)) for share in (1.0, 0.9)]
+    return tables[0].union(tables[1]).drop("position").withColumn("share", F.round("share", 6))
+
+
 @query
 def parquet_refuse_existing(spark, folder):
     """A second write to the same path is refused and leaves the first in place."""
@@ -283,6 +332,18 @@ def summary_of_texts(spark, folder):
     return report.withColumns({"mean": F.round("mean", 4), "stddev": F.round("stddev", 4)})
 
 
+@query
+def summary_of_parts(spark, folder):
+    """The summary of a table that came in three parts, from the states that were stored with each."""
+    path = sources.scratch_path(spark, "states")
+    spans = clean.add_spans(typed_campaigns(spark, folder), prepare.SPANS)
+    columns = ["goal", "backers_count", "final_status", "deadline", "launched_at", "days_campaign", "hours_prepa"]
+    for part in range(3):
+        states.add_state(states.summary_state(spans.where(F.col("id") % 3 == part), columns), path)
+    report = states.merged_summary(states.read_states(spark, path))
+    return report.withColumns({"mean": F.round("mean", 4), "stddev": F.round("stddev", 4)})
+
+
 @query
 def value_frequencies(spark, folder):
     return words.ranked(profile.value_counts(campaigns(spark, folder), "country"), "country")
@@ -402,26 +463,49 @@ def ml_token_table(docs: DataFrame) -> DataFrame:
     return sources.materialize(ml_filtered(docs), "tokens")
 
 
+def _fitted_counter(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The written term table, and the counts of the Spark ML stage over its terms, written once."""
+    known = vectorize.fit_term_table(docs)
+    counter = features.counter_of([row["term"] for row in features.ranked_terms(known).select("term").collect()])
+    return known, sources.materialize(counter.transform(docs).drop("filtered"), "counted")
+
+
 @query
 def count_vectors(spark, folder):
-    """Counts per document and term with the term's position, read out of the fitted vectors."""
-    docs = ml_token_table(documents(spark, folder).select("doc_id", "text"))
-    model = features.fit_count_vectorizer(docs)
-    entries = features.vector_entries(model.transform(docs), "doc_id", "rawFeatures", "tf")
-    return entries.join(features.vocabulary_table(model, docs), "position").select(
-        "doc_id", "term", "position", F.col("tf").cast("int").alias("tf")
-    )
+    """Counts per document and term with the term's position, read out of the vectors of the Spark ML stage."""
+    known, counted = _fitted_counter(ml_token_table(documents(spark, folder).select("doc_id", "text")))
+    entries = features.vector_entries(counted, "doc_id", "rawFeatures", "tf")
+    return entries.join(known, "position").select("doc_id", "term", F.col("position").cast("int").alias("position"), F.col("tf").cast("int").alias("tf"))
 
 
 @query
 def idf_vectors(spark, folder):
-    docs = ml_token_table(documents(spark, folder).select("doc_id", "text"))
-    counter = features.fit_count_vectorizer(docs)
-    counted = counter.transform(docs)
+    known, counted = _fitted_counter(ml_token_table(documents(spark, folder).select("doc_id", "text")))
     weighted = features.idf().fit(counted).transform(counted)
     entries = features.vector_entries(weighted, "doc_id", "features", "tfidf")
-    return entries.join(features.vocabulary_table(counter, docs), "position").select(
-        "doc_id", "term", F.round("tfidf", 6).alias("tfidf")
+    return entries.join(known, "position").select("doc_id", "term", F.round("tfidf", 6).alias("tfidf"))
+
+
+@query
+def term_table_vectors(spark, folder):
+    """Counts and weights per document and term, read out of the vectors that are made from tables."""
+    docs = ml_token_table(documents(spark, folder).select("doc_id", "text"))
+    known = vectorize.fit_term_table(docs)
+    made = vectorize.add_term_vectors(docs, known)
+    counts, weights = (features.vector_entries(made, "doc_id", c, name) for c, name in (("rawFeatures", "tf"), ("features", "tfidf")))
+    return counts.join(weights, ["doc_id", "position"]).join(known, "position").select(
+        "doc_id", "term", F.col("position").cast("int").alias("position"), F.col("tf").cast("int").alias("tf"), F.round("tfidf", 6).alias("tfidf")
+    )
+
+
+@query
+def term_table_agreement(spark, folder):
+    """Documents whose vectors from tables are not those of the count vectorizer."""
+    docs = ml_token_table(documents(spark, folder).select("doc_id", "text"))
+    known, counted = _fitted_counter(docs)
+    made = vectorize.add_term_vectors(docs, known).select("doc_id", F.unwrap_udt(F.col("rawFeatures")).alias("a"))
+    return made.join(counted.select("doc_id", F.unwrap_udt(F.col("rawFeatures")).alias("b")), "doc_id").agg(
+        F.count(F.lit(1)).alias("n_documents"), F.sum(F.size("a.indices")).alias("n_entries"), F.count_if(~F.col("a").eqNullSafe(F.col("b"))).alias("n_different")
     )
 
 
@@ -591,10 +675,14 @@ def heldout_f1(spark, folder):
 
 
 def _f1_report(scored: DataFrame, label: str) -> DataFrame:
-    """``n_rows``, and whether the F1 of the table is in range and that of Spark's evaluator."""
-    rows = sources.materialize(scored.select(F.col(label).cast("double").alias(label), "predictions"), "scored")
-    f1 = evaluate.f1_evaluator(label).evaluate(rows)
-    report = evaluate.weighted_f1(rows, label)
+    """``n_rows``, and whether the F1 of the confusion table is in range and that of Spark's evaluator."""
+    pairs = scored.groupBy(F.col(label).cast("double").alias(label), "predictions").agg(F.count(F.lit(1)).alias("rows"))
+    return _f1_of_pairs(sources.materialize(pairs, "confusion"), label)
+
+
+def _f1_of_pairs(pairs: DataFrame, label: str) -> DataFrame:
+    f1 = evaluate.f1_evaluator(label).setWeightCol("rows").evaluate(pairs)
+    report = evaluate.weighted_f1(pairs, label, count="rows")
     return report.select("n_rows", (F.col("f1").between(0, 1) & (F.abs(F.col("f1") - f1) < 1e-9)).alias("f1_agrees"))
 
 
@@ -645,6 +733,35 @@ def grid_report(spark, folder):
     )
 
 
+@query
+def resumed_search(spark, folder):
+    """A search that finds half of its points in the journal of an earlier one: which it took from there, and its terms."""
+    train, _ = document_parts(spark, folder)
+    path, smaller = sources.scratch_path(spark, "journal"), DOCUMENT_MIN_DFS[1:2]
+    tokens = training.token_rows(train, DOCUMENT_RECIPE)
+    search = {"reg_params": training.GRID_REG_PARAMS[1:3], "journal": path, "tokens": tokens}
+    first = training.tune(train, DOCUMENT_RECIPE, "doc_id", min_dfs=smaller, **search)
+    again = training.tune(train, DOCUMENT_RECIPE, "doc_id", min_dfs=DOCUMENT_MIN_DFS[1:], **search)
+    rows = [(m, r, (m, r) in again.reused, (m, r, f1) in first.scores or (m, r) not in again.reused) for m, r, f1 in again.scores]
+    points = spark.createDataFrame(rows, "min_df double, reg_param double, reused boolean, same_f1 boolean")
+    return again.report(spark).select("min_df", "reg_param", "n_fit", "n_check", "n_terms").join(points, ["min_df", "reg_param"])
+
+
+@query
+def posting_scores(spark, folder):
+    """Held-out rows whose probability from a table of weights is not that of the model's vectors."""
+    train, test = document_parts(spark, folder)
+    model = training.fit(train, DOCUMENT_RECIPE)
+    weights, intercept = linear.weight_table(spark, model, DOCUMENT_RECIPE)
+    found = linear.score_by_weights(test, weights, intercept, DOCUMENT_RECIPE).select("doc_id", "p1", F.col("predictions").alias("found"))
+    wanted = training.score(model, test).select("doc_id", vector_to_array("probability")[1].alias("p"), "predictions")
+    return found.join(wanted, "doc_id").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.abs(F.col("p1") - F.col("p")) > 1e-9).alias("n_different"),
+        F.count_if(F.col("found") != F.col("predictions")).alias("n_other_class"),
+    )
+
+
 @query
 def plain_stages_agreement(spark, folder):
     """Held-out rows that the plain Spark stages, fitted in one pipeline, score differently."""
@@ -695,24 +812,29 @@ def campaign_models(spark, folder):
     The tuned model saved and loaded: the class that the tuned model gave.
     """
     train, test = campaign_parts(spark, folder)
-    simple, text = training.fit_each(train, CAMPAIGN_RECIPE, ("join_features", "features"))
-    tuned = training.tune(train, CAMPAIGN_RECIPE, "id").model
+    tokens = training.token_rows(train, CAMPAIGN_RECIPE)
+    simple, text = training.fit_each(train, CAMPAIGN_RECIPE, ("join_features", "features"), tokens=tokens)
+    tuned = training.tune(train, CAMPAIGN_RECIPE, "id", tokens=tokens).model
     path = sources.scratch_path(spark, "tuned")
     training.save_model(tuned, path)
     rule = evaluate.threshold_decision(vector_to_array("probability")[1], CAMPAIGN_RECIPE.thresholds)
-    reports = []
-    for name, model in (("simple", simple), ("text", text), ("tuned", tuned)):
-        scored = training.score(model, test).withColumn("right", F.col("predictions") == rule)
-        reports.append(_by_label(scored, name))
-    first = training.score(tuned, test).select("id", F.col("predictions").alias("before"))
-    again = training.score(training.load_tuned(path), test).join(first, "id")
-    reports.append(_by_label(again.withColumn("right", F.col("predictions") == F.col("before")), "reloaded"))
+    scored = {
+        name: training.score(model, test).select("id", "final_status", "predictions", (F.col("predictions") == rule).alias("right"))
+        for name, model in (("simple", simple), ("text", text), ("tuned", tuned))
+    }
+    scored["tuned"] = sources.materialize(scored["tuned"], "scored")
+    before = scored["tuned"].select("id", F.col("predictions").alias("before"))
+    again = training.score(training.load_tuned(path), test).select("id", "final_status", "predictions").join(before, "id")
+    scored["reloaded"] = again.withColumn("right", F.col("predictions") == F.col("before"))
+    reports = [_by_label(rows, name) for name, rows in scored.items()]
     return reports[0].union(reports[1]).union(reports[2]).union(reports[3])
 
 
 def _by_label(scored: DataFrame, name: str) -> DataFrame:
-    """Rows by label, and how many are right; the F1 of the table must be that of Spark's evaluator."""
-    rows = sources.materialize(scored.select("final_status", "predictions", "right"), "scored")
-    agrees = _f1_report(rows, "final_status").select("f1_agrees")
-    by_label = rows.groupBy("final_status").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("right").alias("n_right"))
+    """Rows by label, and how many are right; the F1 of the table must be that of Spark's evaluator. All from one confusion table."""
+    keys = F.col("final_status"), F.col("predictions"), F.col("right")
+    pairs = sources.materialize(scored.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")), "confusion")
+    agrees = _f1_of_pairs(pairs.withColumn("final_status", F.col("final_status").cast("double")), "final_status").select("f1_agrees")
+    right = F.coalesce(F.sum(F.when(F.col("right"), F.col("rows"))), F.lit(0))
+    by_label = pairs.groupBy("final_status").agg(F.sum("rows").alias("n_rows"), right.alias("n_right"))
     return by_label.join(F.broadcast(agrees)).select(F.lit(name).alias("model"), "*")  # one row

@@ -1,10 +1,11 @@
 """Profiling operators against Spark's own describe and against counting by hand."""
 
+import shutil
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
-from recordlens.operators import profile
+from recordlens.operators import infer, profile, states
 from recordlens.plans.queries import typed_campaigns
 
 
@@ -76,3 +77,61 @@ def test_summary_of_booleans_and_dates(spark):
     found = {row["column"]: row for row in profile.summary(df).collect()}
     assert (found["b"]["min"], found["b"]["max"]) == ("false", "true")
     assert (found["d"]["min"], found["d"]["max"]) == ("2020-01-01", "2020-01-03")
+
+
+# Types and states
+
+
+def test_types_of_all_values(spark):
+    rows = [("1", "1", "2020-01-01", "true", "a", None, 1), ("+2", "2.", "2020-01-01 10:00", "False", "2", None, 2), (" 3 ", "-1E5", "2020-13-01", None, "3", None, 3), (None, "99999999999", None, "true", "4", None, None)]
+    df = spark.createDataFrame(rows, "a string, b string, c string, d string, e string, `f.x` string, g int").repartition(3)
+    found = {r["column"]: tuple(r)[1:] for r in infer.infer_types(df).collect()}
+    assert found == {
+        "a": (0, "int", 3, 1, 3, 1.0),
+        "b": (1, "double", 4, 0, 4, 1.0),
+        "c": (2, "string", 3, 1, 3, 1.0),
+        "d": (3, "boolean", 3, 1, 3, 1.0),
+        "e": (4, "string", 4, 0, 4, 1.0),
+        "f.x": (5, "string", 0, 4, 0, None),
+        "g": (6, "int", 3, 1, 3, 1.0),
+    }
+    loose = {r["column"]: (r["type"], r["n_fit"], r["share"]) for r in infer.infer_types(df, ["e", "c"], least_share=0.6).collect()}
+    assert loose == {"e": ("int", 3, 0.75), "c": ("timestamp", 2, 2 / 3)}
+    assert [(r["type"], r["n"], r["n_null"]) for r in infer.infer_types(df.limit(0)).collect()] == [("string", 0, 0)] * 6 + [("int", 0, 0)]
+    with pytest.raises(ValueError):
+        infer.infer_types(df, least_share=0)
+
+
+def as_summary(df):
+    return {r["column"]: tuple(round(v, 6) if isinstance(v, float) else v for v in tuple(r)[1:]) for r in df.collect()}
+
+
+def test_merged_states_equal_one_summary(spark, tmp_path):
+    rows = [(i, 1e9 + i % 7 if i % 5 else None, f"{i}" if i % 3 else "x", i % 4) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, big double, text string, part int")
+    path = f"{tmp_path}/states"
+    for part in range(4):
+        states.add_state(states.summary_state(df.where(f"part = {part}"), ["id", "big", "text"]), path)
+    stored = states.read_states(spark, path)
+    assert stored.count() == 4
+    assert as_summary(states.merged_summary(stored)) == as_summary(profile.summary(df, ["id", "big", "text"]))
+    by_part = states.summary_state(df, ["id", "big"], by=["part"])
+    assert by_part.count() == 4 and as_summary(states.merged_summary(by_part, ["big", "id"]))["big"][1:] == as_summary(profile.summary(df, ["big"]))["big"][1:]
+
+
+def test_a_new_part_does_not_read_the_old_ones(spark, tmp_path):
+    path, old = f"{tmp_path}/states", f"{tmp_path}/old"
+    spark.range(10).write.parquet(old)
+    states.add_state(states.summary_state(spark.read.parquet(old)), path)
+    shutil.rmtree(old)
+    states.add_state(states.summary_state(spark.range(10, 20)), path)
+    assert as_summary(states.merged_summary(states.read_states(spark, path))) == as_summary(profile.summary(spark.range(20)))
+
+
+def test_states_of_empty_and_null_parts(spark):
+    df = spark.createDataFrame([(None, "a"), (None, None)], "x double, y string")
+    parts = [states.summary_state(df), states.summary_state(df.limit(0)), states.summary_state(spark.createDataFrame([(2.0, "7")], df.schema))]
+    merged = as_summary(states.merged_summary(parts[0].union(parts[1]).union(parts[2])))
+    assert merged == {"x": (0, "double", 1, 2, 2.0, None, "2.0", "2.0"), "y": (1, "string", 2, 1, 7.0, None, "7", "a")}
+    assert as_summary(states.merged_summary(parts[1])) == as_summary(profile.summary(df.limit(0)))
+    assert as_summary(states.merged_summary(parts[0].limit(0)))["x"][2:4] == (0, 0)

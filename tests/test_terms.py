@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import functions as F
 from recordlens.functions import STOP_WORDS, term_counts, tokens, without_stop_words
-from recordlens.operators import features, terms
+from recordlens.operators import features, terms, vectorize
 from recordlens.plans.queries import filtered_documents
 from recordlens.plans.tables import documents
 
@@ -222,3 +222,57 @@ def test_plain_regex_gives_the_same_tokens(spark, small):
     for row in terms.add_tokens(documents(spark, small)).select("text", "tokens").limit(50).collect():
         wanted = [t for t in re.split(r"\W+", row["text"].lower(), flags=re.ASCII) if t]
         assert row["tokens"] == wanted
+
+
+# Vectors from tables
+
+
+@pytest.mark.parametrize(("min_df", "size"), [(1, None), (3, None), (0.05, 40)])
+def test_vectors_from_tables_equal_the_count_vectorizer(spark, small, min_df, size):
+    docs = filtered_documents(documents(spark, small)).select("doc_id", "filtered").cache()
+    model = features.fit_count_vectorizer(docs, min_df=min_df, vocab_size=size)
+    known = vectorize.fit_term_table(docs, min_df=min_df, vocab_size=size)
+    assert [r["term"] for r in known.orderBy("position").collect()] == model.vocabulary
+    made = vectorize.add_term_vectors(docs, known, raw="ours")
+    both = made.join(model.transform(docs).select("doc_id", "rawFeatures"), "doc_id").collect()
+    assert len(both) == docs.count() and all(r["ours"] == r["rawFeatures"] for r in both)
+    counted = model.transform(docs)
+    weighted = {r["doc_id"]: r["features"] for r in features.idf().fit(counted).transform(counted).collect()}
+    for r in both:
+        assert r["features"].indices.tolist() == weighted[r["doc_id"]].indices.tolist()
+        assert r["features"].values == pytest.approx(weighted[r["doc_id"]].values)
+
+
+def test_vectors_of_odd_rows(spark):
+    rows = [(1, ["a", "b", "a"], "x"), (1, ["a", "b", "a"], "x"), (2, [], "y"), (3, None, "z"), (None, ["zz"], "w"), (4, ["b"], None)]
+    docs = spark.createDataFrame(rows, "id int, filtered array<string>, _row string")
+    known = vectorize.fit_term_table(docs.where("id < 5"))
+    found = [(r["id"], r["_row"], r["rawFeatures"].size, dict(zip(r["rawFeatures"].indices.tolist(), r["rawFeatures"].values.tolist()))) for r in vectorize.add_term_vectors(docs, known).collect()]
+    assert sorted(found, key=repr) == sorted([(1, "x", 2, {0: 2.0, 1: 1.0})] * 2 + [(2, "y", 2, {}), (3, "z", 2, {}), (None, "w", 2, {}), (4, None, 2, {1: 1.0})], key=repr)
+    assert vectorize.add_term_vectors(docs.limit(0), known).count() == 0
+    with pytest.raises(ValueError, match="no term"):
+        vectorize.add_term_vectors(docs, vectorize.fit_term_table(docs, min_df=50))
+
+
+def test_vectors_go_to_spark_ml_beyond_the_drivers_bound(spark, small, monkeypatch):
+    monkeypatch.setattr(features, "DRIVER_TERMS", 10)
+    docs = filtered_documents(documents(spark, small)).select("doc_id", "filtered", (F.col("doc_id") % 2).cast("double").alias("label"))
+    made = vectorize.add_term_vectors(docs, vectorize.fit_term_table(docs))
+    from pyspark.ml.classification import NaiveBayes
+
+    assert NaiveBayes().fit(made.select("label", "features")).transform(made).count() == docs.count()
+
+
+def test_vectors_split_a_term_that_most_documents_hold(spark):
+    rare = F.concat(F.lit("t"), (F.col("id") % 3000).cast("string"))
+    docs = spark.range(0, 60000, 1, 4).select(F.col("id").alias("doc_id"), F.array(F.lit("common"), rare).alias("filtered"))
+    known = vectorize.fit_term_table(docs)
+    with small_skewed_partitions(spark):
+        rows = docs.select("doc_id", F.inline(term_counts(F.col("filtered")))).join(known.select("term", "position"), "term")
+        assert rows.count() == 120000
+        made = vectorize.add_term_vectors(docs, known)
+        found = rows.select("position")
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    assert made.where(F.size(F.unwrap_udt(F.col("rawFeatures"))["indices"]) != 2).count() == 0
+    assert "SortMergeJoin(skew=true)" in plan
