@@ -16,8 +16,8 @@ from pyspark.sql import types as T
 
 from recordlens.llm.common import unused
 
-#: Keys of urls that are fetched to place the borders between ranges, for each range.
-SAMPLED = 50
+#: Keys of urls that are fetched to place the borders between ranges, about, for each range; twice as many at most.
+SAMPLED, SEED = 50, 3
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -47,7 +47,7 @@ def judge(urls: DataFrame, rules: DataFrame, url: str = "url", default: str = "a
     without ``://`` have an empty host and path, which no rule fits. Rules with a null or empty host fit nothing; a null path is
     empty. Columns of ``urls`` that are called like a new one are replaced.
 
-    The rows are dealt into ranges of keys. A key that fills several ranges (a host with a third of all urls) has its
+    The rows are dealt into ranges of keys. A key that fills several ranges (a host, or one url, with a third of all rows) has its
     rows dealt over them, and rules go to every range that their interval touches, so neither side is
     gathered and no task needs a whole host. A task holds its stack only.
     """
@@ -59,9 +59,10 @@ def judge(urls: DataFrame, rules: DataFrame, url: str = "url", default: str = "a
     keyed = base.withColumn(key, host_key(F.col("host")))
 
     n_ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    # At most SAMPLED keys for each range reach the driver: those with the least hashes.
-    least = keyed.select(key).orderBy(F.xxhash64(key, "path", *([url] if url in kept else []))).limit(SAMPLED * n_ranges)
-    sample = sorted((row[0] for row in least.collect()), key=lambda k: k.encode())
+    # Rows are drawn one by one, so a url that a third of all rows hold fills a third of the sample.
+    share = min(1.0, SAMPLED * n_ranges / max(urls.count(), 1))
+    drawn = keyed.select(key).sample(share, SEED).limit(2 * SAMPLED * n_ranges).collect()
+    sample = sorted((row[0] for row in drawn), key=lambda k: k.encode())
     borders = [sample[len(sample) * i // n_ranges] for i in range(1, n_ranges)] if sample else []
 
     def first_range(column: Column) -> Column:
@@ -71,7 +72,8 @@ def judge(urls: DataFrame, rules: DataFrame, url: str = "url", default: str = "a
         return F.expr("0") if not borders else _place(column, borders, lambda b, k: b <= k)
 
     low, high = first_range(F.col(key)), last_range(F.col(key))
-    dealt = keyed.withColumn(range_, low + F.pmod(F.xxhash64("path", *([url] if url in kept else [])), high - low + 1).cast("int"))
+    # Dealt by row, not by url, so the copies of one url are spread like any others. Which range a row is in changes no verdict.
+    dealt = keyed.withColumn(range_, low + F.pmod(F.xxhash64(F.monotonically_increasing_id()), high - low + 1).cast("int"))
 
     known = (
         rules.where("host is not null and host <> ''")
