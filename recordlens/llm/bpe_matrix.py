@@ -3,6 +3,11 @@
 A text is split by a pattern; each distinct chunk is encoded once while a worker remembers it. Matches of like length stand as rows of
 one padded matrix of token ids. In each round every row finds its pairs' ranks in a hashed table, merges its leftmost pair of the least rank and closes
 up; rows without a pair that is in the table leave.
+
+A long match stands in several rows, windows of it, whose ids are then joined. Ids are those of the whole match exactly if any two neighbours, encoded
+alone, stay as they are: before the first merge across a border between tokens all merges are inside them, in the order that they have in each pair of
+neighbours alone, so that merge would happen there, too. So only the neighbours at the borders of windows are tried, and where they do not stay, both windows are
+encoded as one row and cut anew at one of its tokens, until all borders hold.
 """
 
 from __future__ import annotations
@@ -23,8 +28,8 @@ from recordlens.llm.vocabularies import Memory, chunks
 
 #: Chunks of text after which a worker starts a new memory, keeping the last one; about 200 bytes each.
 REMEMBERED = 400_000
-#: Longest match, in bytes, that is encoded in a matrix; longer ones are rows of their own.
-WIDEST = 256
+#: Bytes of a row at first; a longer match takes several. Joined windows are longer rows.
+WINDOW = 128
 #: Cells of a matrix at most.
 CELLS = 1 << 18
 _NONE = np.int64(1) << 40
@@ -86,16 +91,22 @@ class Ranks:
 
     def encode(self, words: list[bytes]) -> list[bytes]:
         """The ids of each word, as 32-bit integers."""
+        pieces = [[w[a : a + WINDOW] for a in range(0, len(w), WINDOW)] or [w] for w in words]
+        found = iter(self._rows(list(chain.from_iterable(pieces))))
+        out = []
+        for some in pieces:
+            ids = [next(found) for _ in some]
+            out.append(ids[0] if len(ids) == 1 else self._joined(ids))
+        return out
+
+    def _rows(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word, each a row of a matrix with others of like length, of ``CELLS`` cells or one row at most."""
         out = [b""] * len(words)
         order = sorted(range(len(words)), key=lambda i: len(words[i]))
         at = 0
         while at < len(order):
             n = len(words[order[at]])
-            if n > WIDEST:
-                for i in order[at:]:
-                    out[i] = self._long(np.frombuffer(words[i], np.uint8)).astype("<i4").tobytes()
-                break
-            width, end = max(2, n + (n + 3) // 4), at  # lengths up to a quarter above share a matrix
+            width, end = max(2, n + (n + 3) // 4), at + 1  # lengths up to a quarter above share a matrix
             while end < len(order) and len(words[order[end]]) <= width and (end - at) * width < CELLS:
                 end += 1
             some = order[at:end]
@@ -104,6 +115,48 @@ class Ranks:
             at = end
         return out
 
+    def _joined(self, windows: list[bytes]) -> bytes:
+        """The ids of a match from those of its windows."""
+        parts = [np.frombuffer(w, "<i4").tolist() for w in windows]
+        untried = [True] * (len(parts) - 1)  # borders: of parts i and i + 1
+        stays: dict[tuple[int, int], bool] = {}
+        spell = lambda ids: b"".join(map(self.bytes.__getitem__, ids))
+        rounds, patience = 0, 4 * len(parts) + 16
+        while True:
+            borders = [i for i, u in enumerate(untried) if u]
+            pairs = {(parts[i][-1], parts[i + 1][0]) for i in borders} - stays.keys()
+            for pair, ids in zip(pairs, self._rows([spell(p) for p in pairs]), strict=True):
+                stays[pair] = np.frombuffer(ids, "<i4").tolist() == list(pair)
+            wrong = [i for i in borders if not stays[parts[i][-1], parts[i + 1][0]]]
+            if not wrong:
+                return np.array(list(chain.from_iterable(parts)), "<i4").tobytes()
+            for i in borders:
+                untried[i] = False
+            chosen, last = [], -2  # no part in two joins at a time
+            for i in wrong:
+                if i > last + 1:
+                    chosen.append(i)
+                    last = i
+                else:
+                    untried[i] = True
+            whole = self._rows([spell(parts[i]) + spell(parts[i + 1]) for i in chosen])
+            rounds += 1
+            gone = []
+            for i, ids in zip(chosen, whole, strict=True):
+                ids = np.frombuffer(ids, "<i4").tolist()
+                for border in (i - 1, i + 1):
+                    if 0 <= border < len(untried):
+                        untried[border] = True
+                if len(ids) > 1 and rounds <= patience:  # tokens of one row stay beside each other
+                    sizes = np.cumsum([len(self.bytes[t]) for t in ids])
+                    cut = min(int(np.searchsorted(sizes, sizes[-1] / 2)) + 1, len(ids) - 1)
+                    parts[i], parts[i + 1] = ids[:cut], ids[cut:]
+                else:  # joined for good
+                    parts[i] = ids
+                    gone.append(i)
+            for i in reversed(gone):
+                del parts[i + 1], untried[i]
+
     def _matrix(self, words: list[bytes]) -> list[bytes]:
         lengths = np.array([len(w) for w in words], np.int64)
         width = max(int(lengths.max()), 2)
@@ -142,35 +195,6 @@ class Ranks:
         flat, ends = done[done >= 0].astype("<i4").tobytes(), np.cumsum(counts) * 4
         return [flat[a:b] for a, b in zip((ends - 4 * counts).tolist(), ends.tolist(), strict=True)]
 
-    def _long(self, word: np.ndarray) -> np.ndarray:
-        """One long word. All places of the least pair merge in one round if none of them makes a pair of a lower or equal rank."""
-        ids = self.single[word]
-        while len(ids) > 1:
-            ranks = self.merged(ids[:-1], ids[1:])
-            least = ranks.min()
-            if least == _NONE:
-                break
-            places = np.flatnonzero(ranks == least)
-            # Of places next to each other every second one, from the left of its run.
-            run = np.cumsum(np.concatenate([[True], np.diff(places) > 1]))
-            first = np.concatenate([[0], np.flatnonzero(np.diff(run)) + 1])
-            in_run = np.arange(len(places)) - np.repeat(first, np.diff(np.append(first, len(places))))
-            chosen = places[in_run % 2 == 0]
-            new = self._merge_at(ids, chosen, least)
-            if len(chosen) > 1:
-                at = chosen - np.arange(len(chosen))
-                near = np.unique(np.concatenate([at[at > 0] - 1, at[at < len(new) - 1]]))
-                if len(near) and self.merged(new[near], new[near + 1]).min() <= least:
-                    new = self._merge_at(ids, chosen[:1], least)
-            ids = new
-        return ids
-
-    @staticmethod
-    def _merge_at(ids: np.ndarray, places: np.ndarray, value: int) -> np.ndarray:
-        out = ids.copy()
-        out[places] = value
-        return np.delete(out, places + 1)
-
 
 class Encoder:
     """Encodes texts piece by piece and decodes ids; remembers the pieces it has met."""
