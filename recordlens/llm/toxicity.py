@@ -117,12 +117,13 @@ def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grade
 
 
 def graded_sample(docs: DataFrame, labels: DataFrame, grade: str = "grade", most: int = MAX_LABELLED, text: str = "text") -> DataFrame:
-    """``doc_id, text, grade`` of at most ``most`` labelled ids; of several labels of an id the highest counts. Runs jobs."""
+    """``doc_id, text, grade`` of at most ``most`` labelled ids; of several labels of an id the highest counts, of several texts the least (null is empty). Runs jobs."""
     one = labels.where(f"doc_id is not null and {grade} is not null").groupBy("doc_id").agg(F.max(grade).cast("int").alias("grade"))
     chosen = materialize(one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most), "graded")
     known = F.broadcast(chosen.withColumnRenamed("doc_id", "_id"))  # at most `most` rows
     rows = docs.select("doc_id", F.col(text).alias("text")).join(known, F.col("doc_id") == F.col("_id"))
-    return materialize(rows.dropDuplicates(["doc_id"]).select("doc_id", "text", "grade"), "graded-texts")
+    one_text = rows.groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.max("grade").alias("grade"))
+    return materialize(one_text, "graded-texts")
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
