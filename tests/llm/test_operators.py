@@ -2,8 +2,11 @@
 
 import base64
 import collections
+import functools
 import hashlib
+import math
 import re
+import struct
 import zlib
 from fractions import Fraction
 
@@ -13,10 +16,11 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from recordlens.llm import bpe_matrix, chat_tree, impact_topk, importance, packing, pigeonhole, queries, superminhash, token_blocks, toxicity, url_rules, vocabularies
+from recordlens.llm import bpe_matrix, chat_tree, hashing, impact_topk, importance, packing, pigeonhole, queries, superminhash, token_blocks, toxicity, url_rules, vocabularies
 from recordlens.llm.common import components
 from recordlens.llm.vocabularies import Encoder, public_path
 
@@ -119,6 +123,40 @@ def test_ordinal_fit_orders_grades():
     assert cuts[0] < cuts[1] and abs(cuts[0]) < 0.3 and abs(cuts[1] - 1.5) < 0.3
 
 
+def test_severity_is_that_of_the_weights(spark, medium):
+    docs, flags = spark.read.parquet(f"{medium}/documents.parquet"), spark.read.parquet(f"{medium}/labels.parquet")
+    model = toxicity.model_of_flags(docs, flags)
+    assert model.weights and model.thresholds == sorted(model.thresholds) and len(model.thresholds) == 2
+    for r in toxicity.score(docs.select("doc_id", "text"), model).collect():
+        words = re.findall(r"[^\W\d_]+", (r["text"] or "").lower())
+        counts = collections.Counter(words) + collections.Counter(f"^{w[:k]}" for w in words for k in range(4, 9) if len(w) > k)
+        score = sum(model.weights.get(f, 0.0) * (1 + math.log(n)) for f, n in counts.items())
+        assert abs(r["severity"] - sum(1 / (1 + math.exp(t - score)) for t in model.thresholds)) < 1e-9
+
+
+def test_ordinal_fit_is_near_the_greatest_likelihood():
+    rng = np.random.default_rng(19)
+    x = rng.integers(0, 2, (500, 4)).astype(float)
+    grades = np.digitize(x @ [2.0, -1.0, 0.5, 0.0] + rng.logistic(size=500), [0.0, 1.0])
+    rows, columns = np.nonzero(x)
+    w, cuts = toxicity.fit_ordinal(rows, columns, x[rows, columns], grades, 4, 3, steps=3000)
+
+    def likelihood(w, cuts):
+        above = 1 / (1 + np.exp(-((x @ w)[:, None] - cuts)))
+        full = np.column_stack([np.ones(500), above, np.zeros(500)])
+        return np.log(full[np.arange(500), grades] - full[np.arange(500), grades + 1]).mean() - toxicity.PENALTY * (w**2).sum() / 2
+
+    best = likelihood(w, cuts)
+    for step in rng.normal(size=(200, 6)) * 0.05:
+        assert likelihood(w + step[:4], cuts + step[4:]) <= best + 1e-6
+
+
+def test_the_least_text_of_a_labelled_id_counts(spark):
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (1, "c"), (2, None), (2, "x"), (3, "y")], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0)], "doc_id long, grade int")
+    assert sorted(map(tuple, toxicity.graded_sample(docs, labels).collect())) == [(1, "a", 1), (2, "", 0)]
+
+
 def test_toxicity_of_odd_rows(spark):
     docs = odd_docs(spark)
     labels = spark.createDataFrame([(0, 0), (5, 1), (6, 0), (None, 1), (99, 1)], "doc_id long, toxic int")
@@ -229,6 +267,10 @@ def test_url_rules_of_many_nested_rules(spark):
         wanted = brute_rule(u, rules)
         if found[i] != wanted:  # several rules of the greatest length
             assert found[i][:2] == wanted[:2] and len(found[i][2]) == len(wanted[2])
+    same = spark.createDataFrame([(i, "http://a.b.com/a/") for i in range(3000)], "page_id long, url string")
+    judged = url_rules.judge(same, spark.createDataFrame(rules, "host string, path string, verdict string"))
+    sizes = [r["count"] for r in judged.groupBy(F.spark_partition_id()).count().collect()]
+    assert judged.select("verdict", "rule").distinct().count() == 1 and sum(sizes) == 3000 and max(sizes) < 1500
     none = spark.createDataFrame([], "host string, path string, verdict string")
     assert url_rules.judge(df, none).where("verdict <> 'allow' or rule is not null").count() == 0
     assert url_rules.judge(df.limit(0), none).count() == 0
@@ -410,6 +452,40 @@ def test_resampling_drops_bad_documents(spark, medium):
     assert drawn["gumbel_key"].min() >= found[~found["kept"]]["gumbel_key"].max()
 
 
+def spark_hash(*values):
+    h = 42
+    for v in values:
+        h = xxhash.xxh64_intdigest(struct.pack("<q" if isinstance(v, np.int64) else "<i", v), seed=h)
+    return h
+
+
+def test_resampling_equals_brute_force(spark, small):
+    docs, labels = table(small, "documents"), table(small, "labels")
+    found = queries.op7_importance(spark, small).toPandas().set_index("doc_id")
+    good = {i for i, q in zip(labels["doc_id"], labels["quality"], strict=True) if q == 1}
+    half = lambda i: spark_hash(np.int64(i), 1) % 2  # noqa: E731  even and odd are the same for signed and unsigned
+    grams, raw, target = {}, collections.Counter(), collections.Counter()
+    word_hash = functools.cache(lambda w: hashing.span_hashes(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0])
+    for i, text in zip(docs["doc_id"], docs["text"], strict=True):
+        words = re.findall(rb"[0-9A-Za-z_\x80-\xff]+|[!-/:-@\[-^`{-~]+", (text or "").encode())
+        hashes = [importance._REPEAT if k and words[k - 1].lower() == w.lower() else word_hash(w.lower()) for k, w in enumerate(words)]
+        own = [int(hashing.mix(np.array([h], np.uint64))[0]) for h in hashes]
+        own += [int(hashing.gram_hashes(np.array(p, np.uint64), np.zeros(2, int), 2)[0][0]) for p in zip(hashes, hashes[1:])]
+        grams[i] = collections.Counter(g % importance.BUCKETS for g in own)
+        raw.update(grams[i])
+        if i in good and half(i) == 0:
+            target.update(grams[i])
+    n_raw, n_target = sum(raw.values()), sum(target.values())
+    ratio = {g: math.log((target[g] + importance.SHRINK) / (n * n_target / n_raw + importance.SHRINK)) for g, n in raw.items()}
+    weight = {i: importance.EFFECTIVE_LENGTH * sum(ratio[g] * n for g, n in c.items()) / max(1, sum(c.values())) for i, c in grams.items()}
+    assert all(abs(found["log_weight"][i] - w) < 1e-9 for i, w in weight.items())
+    key = {i: w - math.log(-math.log(((spark_hash(np.int64(i), importance.SEED) >> 11) + 0.5) / 2**53)) for i, w in weight.items()}
+    assert all(abs(found["gumbel_key"][i] - k) < 1e-9 for i, k in key.items())
+    reached = np.quantile([weight[i] for i in good if i in weight and half(i) == 1], 1 - importance.RECALL)
+    drawn = sum(w >= reached - 1e-12 for w in weight.values())
+    assert {i for i in weight if found["kept"][i]} == set(sorted(key, key=lambda i: (-key[i], i))[:drawn])
+
+
 def test_resampling_of_odd_rows(spark):
     labels = spark.createDataFrame([(i, 1) for i in range(9)] + [(None, 1), (4, 0)], "doc_id long, quality int")
     found = importance.resample(odd_docs(spark), labels)
@@ -641,6 +717,26 @@ def test_bpe_equals_tiktoken(reference_bpe):
         assert ids.tolist() == reference_bpe.encode_ordinary(text) and bpe.decode(ids.tolist()) == text.encode()
 
 
+@pytest.mark.parametrize("window", [2, 7, 128])
+def test_long_matches_equal_tiktoken(reference_bpe, monkeypatch, window):
+    monkeypatch.setattr(bpe_matrix, "WINDOW", window)
+    ranks, rng = bpe_matrix.Encoder(public_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).ranks, np.random.default_rng(17)
+    words = ["a" * n for n in (255, 257, 1000, 1001)] + ["abc" * 333 + "a", "=" * 999, " " * 777, "the" * 200, "漢字" * 150, "é" * 301, "ab" * 300 + "b" * 301]
+    words += ["".join(rng.choice(list(letters), n)) for letters in ("ab", "aeiounrst", "漢字本日語ß") for n in (130, 600, 1500)]
+    for word, ids in zip(words, ranks.encode([w.encode() for w in words]), strict=True):
+        assert np.frombuffer(ids, "<i4").tolist() == reference_bpe.encode_ordinary(word)
+
+
+def test_a_match_of_a_megabyte(reference_bpe):
+    ranks, rng = bpe_matrix.Encoder(public_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).ranks, np.random.default_rng(18)
+    word = "".join(rng.choice(list("etaoinshrdlucmfwyp"), 1_000_000))
+    ids = np.frombuffer(ranks.encode([word.encode()])[0], "<i4").tolist()
+    assert b"".join(map(ranks.bytes.__getitem__, ids)) == word.encode()
+    # tiktoken takes long for the whole; its first part has the same ids up to near its end.
+    first = reference_bpe.encode_ordinary(word[:30_000])
+    assert ids[: len(first) - 20] == first[:-20]
+
+
 def test_bpe_query_equals_tiktoken(spark, small, reference_bpe):
     docs = table(small, "documents")
     found = {r["doc_id"]: tuple(r)[1:] for r in queries.op9_bpe_matrix(spark, small).collect()}
