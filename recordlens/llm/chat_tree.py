@@ -60,27 +60,26 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
-_TURN = pa.schema([("conv_id", pa.int64()), ("place", pa.int64()), ("path", pa.binary()), ("node", pa.binary()), ("tree", pa.binary()), ("written", pa.string()), ("length", pa.int64()), ("position", pa.int64()), ("loss_start", pa.int64()), ("loss_end", pa.int64())])
-_TURN_DDL = "conv_id long, place long, path binary, node binary, tree binary, written string, length long, position long, loss_start long, loss_end long"
+_TURN = pa.schema([("conv_id", pa.int64()), ("place", pa.int64()), ("parent", pa.binary()), ("node", pa.binary()), ("tree", pa.binary()), ("written", pa.string()), ("length", pa.int64()), ("position", pa.int64()), ("loss_start", pa.int64()), ("loss_end", pa.int64())])
+_TURN_DDL = "conv_id long, place long, parent binary, node binary, tree binary, written string, length long, position long, loss_start long, loss_end long"
 
 
 def _formatted(learned: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, chain, path, tree, place, position = object(), b"", b"", b"", 0, 0
+        current, chain, tree, place, position = object(), b"", b"", 0, 0
         for batch in batches:
             out, size = [], 0
             for conv, role, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 role, text = role or "", text or ""
                 if conv != current:
-                    current, chain, path, tree, place, position = conv, b"", b"", b"", 0, 0
+                    current, chain, tree, place, position = conv, b"", b"", 0, 0
                 written, start, end = format_turn(role, text)
-                chain = hashlib.sha256(chain + written.encode("utf-8", "surrogatepass")).digest()[:16]
-                path += chain[:8]
+                parent, chain = chain, hashlib.sha256(chain + written.encode("utf-8", "surrogatepass")).digest()[:16]
                 tree = tree or chain
                 if role not in learned:
                     start = end = 0
-                out.append((conv, place, path, chain, tree, written, len(written), position, start, end))
-                place, position, size = place + 1, position + len(written), size + len(written) + len(path)
+                out.append((conv, place, parent, chain, tree, written, len(written), position, start, end))
+                place, position, size = place + 1, position + len(written), size + len(written)
                 if size > 4_000_000:
                     yield _batch(out, _TURN)
                     out, size = [], 0
@@ -103,9 +102,10 @@ def build_trees(conversations: DataFrame, learned: tuple[str, ...] = LEARNED) ->
     Turns of equal number are in the order of role and text. Null roles and texts are empty; a null turn comes
     first; rows with a null ``conv_id`` are one conversation. An empty table gives no rows; other columns are not read.
 
-    Each conversation is streamed through one task turn by turn, as a chain of turns has to be; nothing is held but the path, 8 bytes for each
-    turn. Trees of any size are laid out by a sort of paths over all tasks, so a first turn that a third of all
-    conversations share is spread like any other.
+    Each conversation is streamed through one task turn by turn, as a chain of turns has to be; nothing is held but the last turn's digest.
+    Every turn costs a constant number of bytes, however long its conversation: the depth-first order is that of conversations
+    (see ``_ranks``), and a node stands where the first conversation that holds it has it. Trees of any size are laid out over
+    all tasks, so a first turn that a third of all conversations share is spread like any other.
     """
     by = [F.col("turn").asc_nulls_first(), "role", "text"]
     rows = conversations.select(F.col("conv_id").cast("long"), "role", "text", "turn")
@@ -113,42 +113,58 @@ def build_trees(conversations: DataFrame, learned: tuple[str, ...] = LEARNED) ->
     ordered = rows.repartition("conv_id").sortWithinPartitions(F.col("conv_id").asc_nulls_first(), *by)
     turns = materialize(ordered.select("conv_id", "role", "text").mapInArrow(_formatted(learned), _TURN_DDL), "turns")
 
-    # Equal nodes have equal other columns; the least conversation is the one whose walk gives the intervals.
-    columns = ("path", "tree", "length", "position", "loss_start", "loss_end")
-    nodes = turns.groupBy("node").agg(*[F.max(c).alias(c) for c in columns], F.max("written").alias("written"), F.min(F.struct(F.col("conv_id").isNull(), "conv_id", "place")).alias("by"))
-    nodes = materialize(nodes.select("node", *columns, "written", F.col("by.conv_id").alias("by"), F.col("by.place").alias("place")), "nodes")
-    # Paths in byte order are a preorder walk: a parent's path is a prefix of its children's.
-    placed = materialize(running(nodes.select("node", "path", "tree", "length"), [F.col("path"), F.col("node")], "length", "at").select("node", "tree", "at", "length"), "places")
-    firsts = placed.groupBy("tree").agg(F.min("at").alias("_first"))
-    starts = materialize(placed.join(firsts, "tree").select("node", (F.col("at") - F.col("_first")).alias("start"), "length"), "starts")
-
-    # Walk each node's ancestors along the conversation that stands for it.
-    walked = turns.select("conv_id", "place", "node").join(starts, "node")
-    mine = nodes.select(F.col("node").alias("_node"), F.col("by"), F.col("place").alias("_place"))
-    chosen = walked.join(mine, (F.col("node") == F.col("_node")) & F.col("conv_id").eqNullSafe(F.col("by")) & (F.col("place") == F.col("_place")), "left")
-    steps = chosen.select("conv_id", "place", "node", "start", "length", F.col("_node").isNotNull().alias("own"))
-    attends = steps.repartition("conv_id").sortWithinPartitions(F.col("conv_id").asc_nulls_first(), "place").mapInArrow(_intervals, "node binary, start long, attends array<array<long>>")
-    out = nodes.drop("by", "place", "path").join(attends, "node")
+    ranks = _ranks(turns)
+    steps = turns.select("conv_id", "place", "node", "length").join(ranks, turns["conv_id"].eqNullSafe(ranks["_conv"]))
+    steps = materialize(steps.select("rank", "place", "node", "length"), "steps")
+    # All turns of a node have its place and length; its owner is the first conversation that holds it.
+    owned = steps.groupBy("node").agg(F.min("rank").alias("owner"), F.max("place").alias("place"), F.max("length").alias("length"))
+    placed = running(materialize(owned, "owned"), [F.col("owner"), F.col("place")], "length", "at")
+    placed = materialize(placed.select("node", "owner", "at", "length"), "places")
+
+    # Walk each owner from its root, whose place is its tree's start, through the ancestors of the nodes it owns.
+    walked = steps.select("rank", "place", "node").join(placed, "node").select("rank", "place", "node", "at", "length", (F.col("owner") == F.col("rank")).alias("own"))
+    attends = walked.repartition("rank").sortWithinPartitions("rank", "place").mapInArrow(_intervals, "node binary, start long, attends array<array<long>>")
+    # Equal nodes have equal other columns.
+    columns = ("tree", "length", "position", "loss_start", "loss_end", "written")
+    nodes = turns.groupBy("node").agg(*[F.max(c).alias(c) for c in columns])
     return (
-        out.select("tree", "node", "start", "length", "position", "loss_start", "loss_end", "attends", "written"),
+        nodes.join(attends, "node").select("tree", "node", "start", "length", "position", "loss_start", "loss_end", "attends", "written"),
         turns.select("conv_id", "place", "node"),
     )
 
 
+def _ranks(turns: DataFrame) -> DataFrame:
+    """``_conv, rank``: conversations numbered so that those below any node follow each other. Runs jobs.
+
+    A conversation's choices are its first node and those whose parent has other children as well. Sorted by their
+    choices, two conversations part where their trees fork, and one that ends on the way of another comes before it. A turn is one
+    choice at most, of 16 bytes, so a chain of any length that nobody else enters is one choice.
+    """
+    children = turns.where("place > 0").groupBy("parent").agg(F.min("node").alias("_least"), F.max("node").alias("_greatest"))
+    forks = children.where("_least <> _greatest").select("parent")
+    later = turns.where("place > 0").select("conv_id", "place", "parent", "node").join(forks, "parent", "left_semi")
+    choices = turns.where("place = 0").select("conv_id", "place", "node").unionByName(later.select("conv_id", "place", "node"))
+    paths = choices.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("place", "node"))).alias("_choices"))
+    paths = materialize(paths.select(F.col("conv_id").alias("_conv"), F.col("_choices.node").alias("_path"), F.lit(1).cast("long").alias("_one")), "paths")
+    numbered = running(paths, [F.col("_path"), F.col("_conv").asc_nulls_first()], "_one", "rank")
+    return materialize(numbered.select("_conv", "rank"), "ranks")
+
+
 def _intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    current, spans = object(), []
+    schema = pa.schema([("node", pa.binary()), ("start", pa.int64()), ("attends", pa.list_(pa.list_(pa.int64())))])
+    current, root, spans = None, 0, []
     for batch in batches:
         out = []
-        for conv, _, node, start, length, own in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
-            if conv != current:
-                current, spans = conv, []
+        for rank, _, node, at, length, own in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+            if rank != current:
+                current, root, spans = rank, at, []
+            start = at - root
             if own:
                 out.append((node, start, [list(s) for s in spans]))
             if spans and spans[-1][1] == start:
                 spans[-1] = (spans[-1][0], start + length)
             else:
                 spans.append((start, start + length))
-        schema = pa.schema([("node", pa.binary()), ("start", pa.int64()), ("attends", pa.list_(pa.list_(pa.int64())))])
         yield _batch(out, schema) if out else pa.RecordBatch.from_pylist([], schema=schema)
 
 

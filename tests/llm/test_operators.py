@@ -5,6 +5,7 @@ import collections
 import functools
 import hashlib
 import math
+import os
 import re
 import struct
 import zlib
@@ -310,6 +311,56 @@ def test_trees_share_nodes_and_read_back(spark):
     assert chat_tree.read_conversations(*chat_tree.build_trees(df.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_trees_are_walked_depth_first(spark, seed):
+    rng = np.random.default_rng(seed)
+    talks = {c: [str(t) for t in rng.integers(0, 2, rng.integers(1, 8))] for c in range(150)}
+    talks |= {1000 + c: list("hot") + [str(c), "end"] for c in range(60)}  # one first turn, many ways on
+    rows = [(c if c else None, i, "user", t) for c, ts in talks.items() for i, t in enumerate(ts)]
+    nodes, turns = chat_tree.stored(*chat_tree.build_trees(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")))
+    spans = {r["node"]: (r["tree"], r["start"], r["start"] + r["length"], [tuple(a) for a in r["attends"]]) for r in nodes.collect()}
+    assert len(spans) == len({tuple(ts[: i + 1]) for ts in talks.values() for i in range(len(ts))})
+    ways = collections.defaultdict(dict)
+    for r in turns.collect():
+        ways[r["conv_id"]][r["place"]] = r["node"]
+    parent = {}
+    for way in ways.values():
+        above = []
+        for place in range(len(way)):
+            node = way[place]
+            merged = []
+            for a, b in sorted(spans[x][1:3] for x in above):
+                merged = [*merged[:-1], (merged[-1][0], b)] if merged and merged[-1][1] == a else [*merged, (a, b)]
+            assert spans[node][3] == merged
+            parent[node] = above[-1] if above else None
+            above.append(node)
+    stack = []
+    for node in sorted(spans, key=lambda x: spans[x][:2]):  # a preorder: each node's parent is open when it comes
+        while stack and stack[-1] != parent[node]:
+            stack.pop()
+        assert bool(stack) == (parent[node] is not None) and (stack or spans[node][1] == 0)
+        stack.append(node)
+
+
+def test_a_conversation_of_100000_turns(spark, monkeypatch):
+    written, n = {}, 100_000
+
+    def noted(df, name, write=chat_tree.materialize):
+        out = write(df, name)
+        written[name] = sum(os.path.getsize(f.removeprefix("file://")) for f in out.inputFiles())
+        return out
+
+    monkeypatch.setattr(chat_tree, "materialize", noted)
+    long = spark.range(n).selectExpr("cast(null as long) conv_id", "id turn", "if(id % 2 = 0, 'user', 'assistant') role", "concat('t', id) text")
+    other = long.where("turn < 50001").selectExpr("9L conv_id", "turn", "role", "if(turn = 50000, 'else', text) text")
+    nodes, turns = chat_tree.stored(*chat_tree.build_trees(long.unionByName(other)))
+    assert nodes.count() == n + 1 and nodes.select(F.max(F.size("attends"))).first()[0] <= 2
+    assert max(written.values()) < 150 * n and written["paths"] < 10_000  # no turn pays for those before it
+    found = {r["conv_id"]: tuple(r)[1:5] for r in chat_tree.read_conversations(nodes, turns).collect()}
+    texts = [(("user", "assistant")[i % 2], f"t{i}") for i in range(n)]
+    assert found == {None: brute_digest(texts), 9: brute_digest([*texts[:50000], ("user", "else")])}
+
+
 def test_turns_are_parsed_exactly():
     rng = np.random.default_rng(4)
     for _ in range(500):
