@@ -141,7 +141,8 @@ def _ranks(turns: DataFrame) -> DataFrame:
     choice at most, of 16 bytes, so a chain of any length that nobody else enters is one choice.
     """
     children = turns.where("place > 0").groupBy("parent").agg(F.min("node").alias("_least"), F.max("node").alias("_greatest"))
-    forks = children.where("_least <> _greatest").select("parent")
+    # A table, so that Spark knows its size and can split the turns below a hot first turn in the join.
+    forks = materialize(children.where("_least <> _greatest").select("parent"), "forks")
     later = turns.where("place > 0").select("conv_id", "place", "parent", "node").join(forks, "parent", "left_semi")
     choices = turns.where("place = 0").select("conv_id", "place", "node").unionByName(later.select("conv_id", "place", "node"))
     paths = choices.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("place", "node"))).alias("_choices"))
