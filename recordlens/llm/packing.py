@@ -1,7 +1,7 @@
 """Documents packed into as few sequences of a fixed length as possible, by best fit and a swap-based local search.
 
 Pieces are dealt into groups at random and each group is packed in one task: best fit, longest piece first, then a
-local search over the underfull bins. It exchanges one piece for one, one for two, or moves a piece, whenever that
+local search over the underfull bins. It exchanges one piece for one, one for two, two for one, or moves a piece, whenever that
 raises the sum of squared fills, which drives small bins towards empty; emptied bins vanish. Bins that stay
 underfull give up their pieces, which are dealt anew with those of other groups and packed once more.
 """
@@ -22,7 +22,7 @@ from recordlens.llm.vocabularies import encoder
 from recordlens.sources.scratch import materialize
 
 LENGTH = 2048
-#: Pieces that one task packs; some 3 MB of its memory, and 4 KB for each underfull bin.
+#: Pieces that one task packs; some 3 MB of its memory, and 8 KB for each underfull bin.
 GROUP = 20_000
 #: Bins filled less than this share are dealt anew in the second pass.
 REPACK_BELOW = 0.99
@@ -86,7 +86,7 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int, round
 
     Bins are taken from the emptiest up. From such a donor to a fuller receiver of room ``r``: a piece of at most
     ``r`` is moved; or a longer piece goes over against one shorter piece, or against two, where the receiver gains
-    at least one token and at most ``r``. All receivers are tried, the fullest first. Every such step raises the sum of squares, as the receiver is the fuller
+    at least one token and at most ``r``; or, where no piece alone can go, two go over against one in the same way. All receivers are tried, the fullest first. Every such step raises the sum of squares, as the receiver is the fuller
     one, so the search ends: after ``rounds`` rounds, or else when no step is left.
     """
     full = [b for b in bins if sum(lengths[i] for i in b) == capacity]
@@ -102,30 +102,26 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int, round
         for d, donor in enumerate(open_):
             step = True
             while step and donor:
-                step, tried = False, 0
+                step = False
                 donor.sort(key=lambda i: -lengths[i])
-                for i in list(donor):
-                    n = lengths[i]
-                    if n == tried:
-                        continue
-                    tried, r, given = n, None, []
+                for out in _outgoing(donor, lengths):
+                    n, r, given = sum(lengths[i] for i in out), None, []
                     # The tightest receiver with room for the whole piece: a move.
                     at = bisect.bisect_left(rooms, (n, -1))
                     if at < len(rooms) and rooms[at][1] == d:
                         at += 1
-                    if at < len(rooms) and fills[rooms[at][1]] >= fills[d]:
+                    if len(out) == 1 and at < len(rooms) and fills[rooms[at][1]] >= fills[d]:
                         r = rooms[at][1]
-                    else:  # Else the fullest receiver that has one or two pieces to exchange for it.
-                        r = offers.fullest(n, d)
+                    else:  # Else the fullest receiver that has pieces to exchange: one or two for one, one for two.
+                        r = offers.fullest(n, d, 3 - len(out))
                         if r is not None:
-                            given = _exchange(open_[r], lengths, n, capacity - fills[r])
+                            given = _exchange(open_[r], lengths, n, capacity - fills[r], 3 - len(out))
                     if r is not None:
                         gain = n - sum(lengths[j] for j in given)
                         _shift(rooms, fills, capacity, r, gain)
                         _shift(rooms, fills, capacity, d, -gain)
-                        open_[r] = [j for j in open_[r] if j not in given] + [i]
-                        donor.remove(i)
-                        donor.extend(given)
+                        open_[r] = [j for j in open_[r] if j not in given] + out
+                        donor[:] = [j for j in donor if j not in out] + given
                         offers.update(r, open_[r])
                         offers.update(d, donor)
                         step = changed = True
@@ -137,13 +133,30 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int, round
     return full + open_
 
 
+def _outgoing(donor: list[int], lengths: list[int]) -> Iterator[list[int]]:
+    """A donor's pieces, longest first, then its pairs: one for each length and each sum."""
+    tried = set()
+    for i in donor:
+        if lengths[i] not in tried:
+            tried.add(lengths[i])
+            yield [i]
+    tried = set()
+    some = _two_of_each(donor, lengths)
+    for a, i in enumerate(some):
+        for j in some[a + 1 :]:
+            if lengths[i] + lengths[j] not in tried:
+                tried.add(lengths[i] + lengths[j])
+                yield [i, j]
+
+
 class _Offers:
-    """What bins offer in exchange: for each sum and bin the greatest length up to it of one or two of the bin's pieces."""
+    """What bins offer in exchange: for each sum and bin the greatest length up to it of one piece, and of one or two, of the bin's."""
 
     def __init__(self, bins: list[list[int]], lengths: list[int], capacity: int) -> None:
         self.lengths, self.capacity, self.none = lengths, capacity, -capacity - 1
         self.room = np.zeros(len(bins), np.int32)
-        self.up_to = np.empty((capacity + 1, len(bins)), np.int16 if capacity < 1 << 14 else np.int32)
+        shape, kind = (capacity + 1, len(bins)), np.int16 if capacity < 1 << 14 else np.int32
+        self.up_to = {1: np.empty(shape, kind), 2: np.empty(shape, kind)}  # by the most pieces that are given
         for k, b in enumerate(bins):
             self.update(k, b)
 
@@ -155,12 +168,13 @@ class _Offers:
         np.fill_diagonal(pairs, np.where(times > 1, 2 * single, single))
         sums = np.full(self.capacity + 1, self.none)
         sums[single] = single
+        self.up_to[1][:, k] = np.maximum.accumulate(sums)
         sums[pairs.ravel()] = pairs.ravel()
-        self.up_to[:, k] = np.maximum.accumulate(sums)
+        self.up_to[2][:, k] = np.maximum.accumulate(sums)
 
-    def fullest(self, n: int, donor: int) -> int | None:
-        """The fullest bin, not emptier than the donor, that gains 1 up to its room by a piece of length ``n`` for one or two of its own."""
-        fits = np.flatnonzero((self.room > 0) & (self.room <= self.room[donor]) & (self.up_to[n - 1] >= n - self.room))
+    def fullest(self, n: int, donor: int, most: int) -> int | None:
+        """The fullest bin, not emptier than the donor, that gains 1 up to its room by a length of ``n`` for one to ``most`` of its pieces."""
+        fits = np.flatnonzero((self.room > 0) & (self.room <= self.room[donor]) & (self.up_to[most][n - 1] >= n - self.room))
         fits = fits[fits != donor]
         return int(fits[np.argmin(self.room[fits])]) if len(fits) else None
 
@@ -173,20 +187,26 @@ def _shift(rooms: list[tuple[int, int]], fills: list[int], capacity: int, k: int
         bisect.insort(rooms, (capacity - fills[k], k))
 
 
-def _exchange(receiver: list[int], lengths: list[int], n: int, room: int) -> list[int]:
-    """One or two pieces of the receiver, shorter than ``n`` together by 1 to ``room``: those that fill it best."""
-    best, best_gain = [], 0
+def _two_of_each(pieces: list[int], lengths: list[int]) -> list[int]:
+    """Pieces without the third and later ones of a length."""
     seen: dict[int, int] = {}
-    some = []  # two of each length at most
-    for j in receiver:
+    some = []
+    for j in pieces:
         seen[lengths[j]] = seen.get(lengths[j], 0) + 1
         if seen[lengths[j]] <= 2:
             some.append(j)
+    return some
+
+
+def _exchange(receiver: list[int], lengths: list[int], n: int, room: int, most: int) -> list[int]:
+    """One to ``most`` (1 or 2) pieces of the receiver, shorter than ``n`` together by 1 to ``room``: those that fill it best."""
+    best, best_gain = [], 0
+    some = _two_of_each(receiver, lengths)
     for a, j in enumerate(some):
         gain = n - lengths[j]
         if best_gain < gain <= room:
             best, best_gain = [j], gain
-        for k in some[a + 1 :]:
+        for k in some[a + 1 :] if most > 1 else ():
             if best_gain < gain - lengths[k] <= room:
                 best, best_gain = [j, k], gain - lengths[k]
     return best

@@ -437,6 +437,14 @@ def test_local_search_tries_all_receivers_until_nothing_changes():
                 continue
             back = [0, *receiver] + [x + y for i, x in enumerate(receiver) for y in receiver[:i]]
             assert not any(0 < n - x <= room for n in donor for x in back)
+            pairs = [x + y for i, x in enumerate(donor) for y in donor[:i]]
+            assert not any(0 < n - x <= room for n in pairs for x in receiver)
+
+
+def test_local_search_gives_two_pieces_for_one():
+    lengths = [60, 35, 36, 30]  # 36 and 30 for 60 fill the first bin; no piece alone can go over
+    packed = packing.local_search([[0, 1], [2, 3]], lengths, 101)
+    assert sorted(sum(lengths[i] for i in b) for b in packed) == [60, 101]
 
 
 # near-duplicates
