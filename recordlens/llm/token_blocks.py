@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordlens.llm.common import running
 from recordlens.llm.vocabularies import encoder
 from recordlens.sources.scratch import materialize, scratch_path
 
@@ -209,7 +210,9 @@ def write_tokens(tokens: DataFrame, borders: list[int], folder: str, percentile:
     files = materialize(
         ordered.mapInArrow(run, "file string, part long, place long, n_docs long, n_ids long"), "token-files"
     )
-    return files.select("*", F.expr("coalesce(sum(n_ids) over (order by part, place rows between unbounded preceding and 1 preceding), 0L) as start"))
+    # Summed over all tasks and written, so that a join knows its size however many files there are.
+    started = running(files, [F.col("part"), F.col("place")], "n_ids", "start")
+    return materialize(started.select("file", "part", "place", "n_docs", "n_ids", "start"), "token-starts")
 
 
 def id_borders(docs: DataFrame, doc_id: str = "doc_id") -> list[int]:
@@ -237,7 +240,7 @@ def _range(doc_id: Column, borders: list[int], last: bool) -> Column:
 def read_tokens(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
     """``doc_id, start, n_tokens, ids, ids_crc32`` of every document of the files.
 
-    ``files`` has one row for each file (of some million ids), so it is small beside them and may be broadcast.
+    ``files`` has one row for each file (of some million ids); Spark broadcasts it while its measured size allows that.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,7 +265,7 @@ def read_tokens(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame
 
     content = spark.read.format("binaryFile").option("pathGlobFilter", "*.pfor").load(folder)
     named = content.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
-    placed = named.join(F.broadcast(files.select("file", "start")), "file").select("start", "content")
+    placed = named.join(files.select("file", "start"), "file").select("start", "content")
     return placed.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary, ids_crc32 long")
 
 
