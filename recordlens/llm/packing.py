@@ -22,7 +22,7 @@ from recordlens.llm.vocabularies import encoder
 from recordlens.sources.scratch import materialize
 
 LENGTH = 2048
-#: Pieces that one task packs; some 3 MB of its memory, and 8 KB for each underfull bin.
+#: Pieces that one task packs; some 3 MB of its memory, and up to 4 KB for each underfull bin.
 GROUP = 20_000
 #: Bins filled less than this share are dealt anew in the second pass.
 REPACK_BELOW = 0.99
@@ -150,31 +150,40 @@ def _outgoing(donor: list[int], lengths: list[int]) -> Iterator[list[int]]:
 
 
 class _Offers:
-    """What bins offer in exchange: for each sum and bin the greatest length up to it of one piece, and of one or two, of the bin's."""
+    """Which bins offer an exchange for which sum: one piece for the sum of two, one or two pieces for the length of one.
+
+    ``fits[most]`` has a row for each such sum and says of every bin whether one to ``most`` of its pieces are shorter by 1 up to its room.
+    """
 
     def __init__(self, bins: list[list[int]], lengths: list[int], capacity: int) -> None:
-        self.lengths, self.capacity, self.none = lengths, capacity, -capacity - 1
+        self.lengths, self.capacity = lengths, capacity
         self.room = np.zeros(len(bins), np.int32)
-        shape, kind = (capacity + 1, len(bins)), np.int16 if capacity < 1 << 14 else np.int32
-        self.up_to = {1: np.empty(shape, kind), 2: np.empty(shape, kind)}  # by the most pieces that are given
+        held = np.array(sorted({lengths[i] for b in bins for i in b}), np.int64)
+        paired = np.zeros(2 * capacity + 1, bool)
+        for n in held:
+            paired[n + held] = True
+        # By the most pieces that are given.
+        self.sums = {1: np.flatnonzero(paired[: capacity + 1]), 2: held}
+        self.rows = {most: {n: i for i, n in enumerate(sums.tolist())} for most, sums in self.sums.items()}
+        self.fits = {most: np.zeros((len(sums), len(bins)), bool) for most, sums in self.sums.items()}
         for k, b in enumerate(bins):
             self.update(k, b)
 
     def update(self, k: int, pieces: list[int]) -> None:
-        held = np.array([self.lengths[i] for i in pieces], np.int64)
-        self.room[k] = self.capacity - held.sum()
-        single, times = np.unique(held, return_counts=True)
-        pairs = np.add.outer(single, single)
-        np.fill_diagonal(pairs, np.where(times > 1, 2 * single, single))
-        sums = np.full(self.capacity + 1, self.none)
-        sums[single] = single
-        self.up_to[1][:, k] = np.maximum.accumulate(sums)
-        sums[pairs.ravel()] = pairs.ravel()
-        self.up_to[2][:, k] = np.maximum.accumulate(sums)
+        room = self.capacity - sum(self.lengths[i] for i in pieces)
+        self.room[k] = room
+        some = [self.lengths[i] for i in _two_of_each(pieces, self.lengths)]
+        singles = set(some)
+        pairs = {n + m for i, n in enumerate(some) for m in some[i + 1 :]}
+        for most, given in ((1, singles), (2, singles | pairs)):
+            fits = np.zeros(self.capacity + 1, bool)
+            for n in given:
+                fits[n + 1 : n + room + 1] = True
+            self.fits[most][:, k] = fits[self.sums[most]]
 
     def fullest(self, n: int, donor: int, most: int) -> int | None:
         """The fullest bin, not emptier than the donor, that gains 1 up to its room by a length of ``n`` for one to ``most`` of its pieces."""
-        fits = np.flatnonzero((self.room > 0) & (self.room <= self.room[donor]) & (self.up_to[most][n - 1] >= n - self.room))
+        fits = np.flatnonzero(self.fits[most][self.rows[most][n]] & (self.room <= self.room[donor]))
         fits = fits[fits != donor]
         return int(fits[np.argmin(self.room[fits])]) if len(fits) else None
 

@@ -184,7 +184,6 @@ def test_blocks_round_trip(n, top):
 
 def brute_tokens(rows, path, end):
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return [(i, np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, end], "<u4")) for i, t in rows]
 
 
