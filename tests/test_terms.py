@@ -276,3 +276,17 @@ def test_vectors_split_a_term_that_most_documents_hold(spark):
         plan = found._jdf.queryExecution().executedPlan().toString()
     assert made.where(F.size(F.unwrap_udt(F.col("rawFeatures"))["indices"]) != 2).count() == 0
     assert "SortMergeJoin(skew=true)" in plan
+
+
+@pytest.mark.parametrize("known", [["b", "a"], ["one"], ["", "x"], ["a\x01b", "\n", "|", "é", "\U0001f600", "\\E"]])
+def test_counter_of_terms_is_that_of_spark(spark, known):
+    ours, plain = features.counter_of(known), features.CountVectorizerModel.from_vocabulary(known, "filtered", "rawFeatures")
+    assert ours.vocabulary == plain.vocabulary == known
+    assert ours.getVocabSize() == plain.getVocabSize() == len(known)
+    rows = spark.createDataFrame([([*known, "other", known[0]],), ([],)], "filtered array<string>")
+    assert ours.transform(rows).collect() == plain.transform(rows).collect()
+
+
+def test_a_counter_needs_terms(spark):
+    with pytest.raises(ValueError, match="needs terms"):
+        features.counter_of([])
