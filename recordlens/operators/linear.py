@@ -17,17 +17,36 @@ from pyspark.sql import functions as F
 
 from recordlens.functions import term_counts, tokens, without_stop_words
 from recordlens.operators.evaluate import threshold_decision
-from recordlens.operators.training import Recipe
+from recordlens.operators.training import Recipe, TableModel
 from recordlens.sources.scratch import materialize
 
 WEIGHTS = "feature string, name string, weight double"
 
 
-def weight_table(spark: SparkSession, model: PipelineModel, recipe: Recipe) -> tuple[DataFrame, float]:
+def _table_weights(spark: SparkSession, model: TableModel, recipe: Recipe) -> DataFrame:
+    """The weights of a model in tables: those of its terms are joined from them."""
+    terms, n_terms = model.features.terms, model.features.terms.count()
+    joined = terms.withColumn("position", F.col("position").cast("int")).join(model.coefficients, "position")
+    found = joined.select(F.lit(recipe.text).alias("feature"), F.col("term").alias("name"), (F.col("coefficient") * F.col("idf")).alias("weight"))
+    if model.recipe.features != "join_features":
+        return found
+    by_type = {type(stage): stage for stage in model.features.stages}
+    encoder, labels = by_type[OneHotEncoderModel], by_type[StringIndexerModel].labelsArray
+    names = [(number, None) for number in recipe.numbers]
+    for category, of_category, size in zip(recipe.categories, labels, encoder.categorySizes, strict=True):
+        names += [(category, label) for label in [*of_category, None][: size - encoder.getDropLast()]]
+    columns = {"position": pa.array(range(n_terms, n_terms + len(names)), pa.int32()), "feature": pa.array([f for f, _ in names], pa.string()), "name": pa.array([n for _, n in names], pa.string())}
+    others = spark.createDataFrame(pa.table(columns)).join(model.coefficients.where(F.col("position") >= n_terms), "position")
+    return found.union(others.select("feature", "name", F.col("coefficient").alias("weight")))
+
+
+def weight_table(spark: SparkSession, model: PipelineModel | TableModel, recipe: Recipe) -> tuple[DataFrame, float]:
     """``feature, name, weight`` of a fitted model, and its intercept. Runs a job.
 
     ``feature`` is a column of the recipe and ``name`` a term or a label; a number has no name. A term's weight holds its document frequency weight. Labels without a slot have no row.
     """
+    if isinstance(model, TableModel):
+        return materialize(_table_weights(spark, model, recipe), "weights"), model.intercept
     by_type = {type(stage): stage for stage in model.stages}
     learned: LogisticRegressionModel = by_type[LogisticRegressionModel]
     if CountVectorizerModel not in by_type:

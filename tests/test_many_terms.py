@@ -1,8 +1,12 @@
 """Queries over more terms than the driver may hold give what they give below that bound."""
 
+from dataclasses import replace
+
 import pytest
-from recordlens.operators import features, vectorize
-from recordlens.plans.queries import QUERIES
+from pyspark.ml.functions import vector_to_array
+from recordlens.operators import features, linear, training, vectorize
+from recordlens.plans.queries import DOCUMENT_RECIPE, QUERIES
+from recordlens.plans.tables import labelled
 
 
 @pytest.fixture(scope="module")
@@ -31,3 +35,31 @@ def test_vectors_of_more_terms_than_the_driver_may_hold(spark, folder, monkeypat
     monkeypatch.setattr(features, "DRIVER_TERMS", 20)
     monkeypatch.setattr(vectorize, "HEAD_TERMS", 5)
     assert rows_of(spark, folder, name) == wanted
+
+
+@pytest.mark.parametrize("name", ["assembled_vectors", "assembled_slots", "heldout_scores"])
+def test_training_on_more_terms_than_the_driver_may_hold(spark, folder, monkeypatch, name):
+    wanted = rows_of(spark, folder, name)
+    monkeypatch.setattr(features, "DRIVER_TERMS", 20)
+    monkeypatch.setattr(vectorize, "HEAD_TERMS", 5)
+    assert rows_of(spark, folder, name) == wanted
+
+
+@pytest.mark.parametrize("column", ["join_features", "features"])
+def test_coefficients_in_tables_are_those_of_spark(spark, folder, monkeypatch, tmp_path, column):
+    recipe = replace(DOCUMENT_RECIPE, features=column, reg_param=0.01, tol=1e-7)
+    rows = training.training_input(labelled(spark, folder), recipe)
+    by_spark = training.score(training.fit(rows, recipe), rows)
+    monkeypatch.setattr(features, "DRIVER_TERMS", 20)
+    monkeypatch.setattr(vectorize, "HEAD_TERMS", 5)
+    model = training.fit(rows, recipe)
+    assert isinstance(model, training.TableModel)
+    training.save_model(model, str(tmp_path / "model"))
+    again = training.score(training.load_model(str(tmp_path / "model")), rows)
+    weights, intercept = linear.weight_table(spark, model, recipe)
+    by_weights = linear.score_by_weights(rows, weights, intercept, recipe)
+    p1 = vector_to_array("probability")[1]
+    wanted, ours, loaded = ({r["doc_id"]: r["p"] for r in s.select("doc_id", p1.alias("p")).collect()} for s in (by_spark, training.score(model, rows), again))
+    assert len(wanted) == rows.count() and ours == pytest.approx(wanted, abs=1e-4)
+    assert loaded == pytest.approx(ours, abs=1e-12)
+    assert {r["doc_id"]: r["p1"] for r in by_weights.collect()} == pytest.approx(ours, abs=1e-9)
