@@ -117,6 +117,16 @@ def test_weights_equal_idf_of_spark(spark, small):
     assert all(math.isclose(ours[key], theirs[key], abs_tol=1e-9) for key in ours)
 
 
+def test_weights_count_the_terms_of_a_document_once(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    rows = [(1, ["a", "b", "a"]), (2, ["a"]), (2, ["a"]), (None, ["c", "b"]), (3, [])]
+    spark.createDataFrame(rows, "doc_id long, filtered array<string>").write.parquet(path)
+    weights = terms.term_weights(spark.read.parquet(path), "doc_id", min_df=0.4)
+    assert not [name for name in weights.inputFiles() if path in name]  # the join reads the counted terms, not the documents again
+    found = [(r["doc_id"], r["term"], r["tf"], r["df"]) for r in weights.collect()]
+    assert sorted(found, key=repr) == sorted([(1, "a", 2, 3), (1, "b", 1, 2), (2, "a", 1, 3), (2, "a", 1, 3), (None, "b", 1, 2)], key=repr)
+
+
 @contextmanager
 def small_skewed_partitions(spark):
     """No broadcast joins, and partitions count as skewed from a few kilobytes on."""
