@@ -24,6 +24,8 @@ from recordlens.sources.scratch import materialize
 LENGTH = 2048
 #: Pieces that one task packs; some 3 MB of its memory, and up to 4 KB for each underfull bin.
 GROUP = 20_000
+#: Chunks that a worker's encoder remembers, half as many as elsewhere: it stays in memory beside what the stages of a pipeline need.
+REMEMBERED = 250_000
 #: Bins filled less than this share are dealt anew in the second pass.
 REPACK_BELOW = 0.99
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -36,7 +38,7 @@ def pieces(docs: DataFrame, vocabulary: str, end: int, length: int = LENGTH, doc
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary)
+        encode = encoder(vocabulary, REMEMBERED)
         for batch in batches:
             for at in range(0, len(batch), 500):
                 part = batch.slice(at, 500)

@@ -24,8 +24,10 @@ from recordlens.sources.scratch import materialize
 #: Bands and slots in a band. A pair of similarity s shares a band with 1 - (1 - s**SLOTS)**BANDS: at 0.85 all but 2 in
 #: a million, at 0.8 with (32, 5) all but 3 in a million.
 BANDS, SLOTS = 28, 6
-#: Bytes of text that are hashed at a time.
-CHUNK = 1 << 20
+#: Bytes of text that are hashed at a time; some 50 bytes of memory each.
+CHUNK = 1 << 18
+#: Elements that are ranked at a time; up to two permutations of all slots each.
+RANKED = 1 << 15
 #: Sets that one task compares with as many others.
 TILE = 512
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -78,11 +80,11 @@ def signatures(elements: np.ndarray, owner: np.ndarray, n_sets: int, slots: int)
     """SuperMinHash signatures of the sets: ``n_sets`` rows of ``slots`` ranks; all ones for an empty set."""
     best = np.full(n_sets * slots, _EMPTY)
     live_sets = np.unique(owner)
-    for a, b in slices(np.searchsorted(owner, np.append(live_sets, n_sets)), 1 << 17):
+    for a, b in slices(np.searchsorted(owner, np.append(live_sets, n_sets)), RANKED):
         low, high = np.searchsorted(owner, [live_sets[a], live_sets[b - 1] + 1])
         # One set of very many elements is done in parts: a slot keeps the least rank of all.
-        for at in range(low, high, 1 << 18):
-            _rank(elements[at : min(high, at + (1 << 18))], owner[at : min(high, at + (1 << 18))], best, slots)
+        for at in range(low, high, RANKED):
+            _rank(elements[at : min(high, at + RANKED)], owner[at : min(high, at + RANKED)], best, slots)
     return best.reshape(n_sets, slots)
 
 
@@ -174,13 +176,15 @@ def _tile_links(percent: int):
         kept = shared[code]
         rows, columns = owner[order][kept], column[code[kept]]
         common = np.zeros((n, n), np.float32)
-        for first in range(0, int(shared.sum()), 4096):  # columns ascend, so a block is a slice
-            a, b = np.searchsorted(columns, [first, first + 4096])
-            block = np.zeros((n, 4096), np.float32)
+        for first in range(0, int(shared.sum()), 1024):  # columns ascend, so a block is a slice
+            a, b = np.searchsorted(columns, [first, first + 1024])
+            block = np.zeros((n, 1024), np.float32)
             block[rows[a:b], columns[a:b] - first] = 1
             common += block @ block.T
-        same = common.astype(np.int64)
-        linked = 100 * same >= percent * (sizes[:, None] + sizes[None, :] - same)
+        linked = np.zeros((n, n), bool)
+        for a in range(0, n, 128):
+            same = common[a : a + 128].astype(np.int64)
+            linked[a : a + 128] = 100 * same >= percent * (sizes[a : a + 128, None] + sizes[None, :] - same)
         label = np.arange(n)
         while True:  # every set takes the least label of its neighbours until none changes
             least = np.where(linked, label[None, :], n).min(1) if n else label

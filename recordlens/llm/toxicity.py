@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordlens.llm.common import texts
+from recordlens.llm.common import parts, texts
 from recordlens.sources.scratch import materialize
 
 #: Labelled documents that the model is fitted on at most: those with the least hashes of their ids.
@@ -128,12 +128,14 @@ def graded_sample(docs: DataFrame, labels: DataFrame, grade: str = "grade", most
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        counts: dict[str, list[int]] = {}
-        for text, grade in zip(texts(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-            for f in features(text):
-                counts.setdefault(f, [0, 0])[grade > 0] += 1
-        names = list(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([counts[f][0] for f in names], pa.int64()), pa.array([counts[f][1] for f in names], pa.int64())], names=["feature", "clean", "toxic"])
+        counts: dict[str, int] = {}  # documents that are clean, and 2**32 for each toxic one
+        for part in parts(batch):
+            for text, grade in zip(texts(part.column(0)), part.column(1).to_pylist(), strict=True):
+                one = 1 << 32 if grade > 0 else 1
+                for f in features(text):
+                    counts[f] = counts.get(f, 0) + one
+        both = np.fromiter(counts.values(), np.int64, len(counts))
+        yield pa.RecordBatch.from_arrays([pa.array(counts, pa.string()), pa.array(both & 0xFFFFFFFF), pa.array(both >> 32)], names=["feature", "clean", "toxic"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, grade: str = "grade", *, max_labelled: int = MAX_LABELLED, max_features: int = MAX_FEATURES, text: str = "text") -> Severity:
@@ -165,9 +167,10 @@ def fit_sample(sample: DataFrame, *, max_features: int = MAX_FEATURES) -> Severi
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple[list[int], list[float], int]] = []
-            for text_, g in zip(texts(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                found = [(number[f], 1 + math.log(n)) for f, n in features(text_).items() if f in number]
-                out.append(([i for i, _ in found], [x for _, x in found], g))
+            for part in parts(batch):
+                for text_, g in zip(texts(part.column(0)), part.column(1).to_pylist(), strict=True):
+                    found = [(number[f], 1 + math.log(n)) for f, n in features(text_).items() if f in number]
+                    out.append(([i for i, _ in found], [x for _, x in found], g))
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _, _ in out], pa.list_(pa.int32())), pa.array([b for _, b, _ in out], pa.list_(pa.float32())), pa.array([g for _, _, g in out], pa.int32())], names=["at", "value", "grade"])
 
     # In the order of the ids, so that the sums and the model are the same each time.
@@ -191,7 +194,7 @@ def score(docs: DataFrame, model: Severity, name: str = "severity", text: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expected = sent.value.expected
         for batch in batches:
-            values = [expected(x) for x in texts(batch.column(at))]
+            values = [expected(x) for part in parts(batch) for x in texts(part.column(at))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.float64())], names=[*batch.schema.names, name])
 
     return base.mapInArrow(run, schema)
@@ -210,7 +213,7 @@ def graded_by_density(sample: DataFrame, *, max_features: int = MAX_FEATURES) ->
     def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for text in texts(batch.column(1)):
+            for text in (x for part in parts(batch) for x in texts(part.column(1))):
                 words = _WORD.findall(text.lower())
                 marked = sum(w in markers or any(f"^{w[:k]}" in markers for k in PREFIXES if len(w) > k) for w in words)
                 out.append(marked / max(len(words), 1))

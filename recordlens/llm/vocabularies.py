@@ -90,7 +90,7 @@ class Memory:
 class Encoder:
     """Token ids as little-endian unsigned 32-bit integers; added tokens in a text have their ids, as in the library."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         os.environ.setdefault("RAYON_NUM_THREADS", "1")
         from tokenizers import Tokenizer, pre_tokenizers
@@ -105,7 +105,7 @@ class Encoder:
         self.bare = Tokenizer(self.tokenizer.model)
         self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.lowers = self.tokenizer.normalizer is not None
-        self.memory = Memory(REMEMBERED)
+        self.memory = Memory(remembered)
 
     def _piece(self, word: str) -> str | None:
         """A word of letters only as the vocabulary takes it, which is as one piece; None for anything else."""
@@ -183,9 +183,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
     """The worker's encoder of a vocabulary file; kept between tasks."""
-    return Encoder(path)
+    return Encoder(path, remembered)
 
 
 def public_path(name: str) -> str:

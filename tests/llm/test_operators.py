@@ -8,11 +8,13 @@ import math
 import os
 import re
 import struct
+import tracemalloc
 import zlib
 from fractions import Fraction
 
 import duckdb
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -804,3 +806,40 @@ def test_bpe_query_equals_tiktoken(spark, small, reference_bpe):
         assert found[i] == wanted
     out = bpe_matrix.encode_documents(odd_docs(spark), public_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
     assert out.count() == 12 and out.where("size(ids) <> n_tokens").count() == 0
+
+
+def peak_mb(run):
+    tracemalloc.start()
+    run()
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    return peak
+
+
+def test_memory_of_signatures_and_tiles_is_small():
+    """Beside the JVM's heap a worker has little room: ranking 130,800 elements and comparing 1,000 sets took 80 and 46 MB."""
+    elements, owner = hashing.mix(np.arange(327 * 400, dtype=np.uint64)), np.repeat(np.arange(327), 400)
+    assert peak_mb(lambda: superminhash.signatures(elements, owner, 327, 160)) < 40
+    sets = pd.DataFrame({"set_id": np.arange(1000), "elements": [np.arange(i, i + 20) for i in range(1000)]})
+    links = superminhash._tile_links(80)(sets)
+    assert len(links) == 999 and (links["a"] == 0).all()  # neighbours share 19 of 21
+    assert peak_mb(lambda: superminhash._tile_links(80)(sets)) < 32
+
+
+def test_packing_remembers_fewer_chunks_than_its_worker_could_hold():
+    encode = vocabularies.encoder(public_path("byte_bpe_50k.json"), packing.REMEMBERED)
+    assert encode.memory.most <= vocabularies.REMEMBERED // 2
+    docs = pa.array([" ".join(f"w{i}x{j}" for j in range(50)) for i in range(20)])
+    small = Encoder(public_path("byte_bpe_50k.json"), 100)
+    for _ in range(2):
+        ids, offsets = small(docs)
+        wanted, ends = encode(docs)
+        assert (ids == wanted).all() and (offsets == ends).all()
+
+
+def test_texts_of_a_batch_are_python_objects_a_few_at_a_time():
+    texts = pa.array(["word " * 2000 + "Δ"] * 2000)
+    batch = pa.RecordBatch.from_arrays([texts, pa.array([1, 0] * 1000, pa.int32())], names=["text", "grade"])
+    counted = []
+    assert peak_mb(lambda: counted.extend(toxicity._counted(iter([batch])))) < 20  # 40 MB for all at once
+    assert [tuple(r.values()) for r in counted[0].to_pylist()] == [("word", 1000, 1000), ("δ", 1000, 1000)]
