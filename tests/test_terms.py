@@ -12,7 +12,7 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import functions as F
 from recordlens.functions import STOP_WORDS, term_counts, tokens, without_stop_words
 from recordlens.operators import features, terms, vectorize
-from recordlens.plans.queries import filtered_documents
+from recordlens.plans.queries import QUERIES, filtered_documents
 from recordlens.plans.tables import documents
 
 
@@ -300,3 +300,13 @@ def test_counter_of_terms_is_that_of_spark(spark, known):
 def test_a_counter_needs_terms(spark):
     with pytest.raises(ValueError, match="needs terms"):
         features.counter_of([])
+
+
+def test_hashed_buckets_are_compared_without_a_join_by_term(spark, tmp_path):
+    rows = [(1, "alpha beta alpha"), (1, "alpha gamma"), (2, ""), (3, "beta beta delta"), (None, "xi omega")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["hashed_term_buckets"](spark, str(tmp_path))
+    # A repeated id has two counts of alpha against their sum, and a null id meets nothing.
+    assert found.collect() == [(10, 6, 0)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "Aggregate [term" not in plan
