@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordlens.llm.common import running
+from recordlens.llm.common import parts, running
 from recordlens.llm.vocabularies import encoder
 from recordlens.sources.scratch import materialize, scratch_path
 
@@ -34,6 +34,8 @@ BLOCK = 512
 PERCENTILE = 90.0
 #: Ids in one file at most, but for a document that alone has more.
 FILE_IDS = 4_000_000
+#: Blocks that are packed at a time; each id is taken apart to 32 bytes.
+PACKED = 256
 _MAGIC = b"PFORTOK1"
 _HEADER = struct.Struct("<8sIIQQ")
 _BLOCK_HEAD = np.dtype([("least", "<u4"), ("width", "u1"), ("zero", "u1"), ("exceptions", "<u2")])
@@ -45,9 +47,11 @@ def encode_ids(ids: np.ndarray, percentile: float = PERCENTILE) -> tuple[list[by
     """The blocks of an array of ids and the start of each block among them."""
     out, starts, place = [], [], 0
     full = len(ids) // BLOCK * BLOCK
-    for matrix in (ids[:full].reshape(-1, BLOCK), ids[full:].reshape(1, -1) if len(ids) > full else ids[:0].reshape(0, 1)):
-        if not len(matrix):
-            continue
+    whole = ids[:full].reshape(-1, BLOCK)
+    matrices = [whole[at : at + PACKED] for at in range(0, len(whole), PACKED)]
+    if len(ids) > full:
+        matrices.append(ids[full:].reshape(1, -1))
+    for matrix in matrices:
         least = matrix.min(1)
         rest = matrix - least[:, None]
         kth = max(0, int(np.ceil(matrix.shape[1] * percentile / 100)) - 1)
@@ -191,8 +195,8 @@ def write_tokens(tokens: DataFrame, borders: list[int], folder: str, percentile:
             row = {"file": [name.rpartition("/")[2]], "part": [part], "place": [place], "n_docs": [len(keys)], "n_ids": [total]}
             return pa.RecordBatch.from_pydict(row, schema=pa.schema([("file", pa.string()), ("part", pa.int64()), ("place", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
 
-        for batch in batches:
-            for key, n, raw, own in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+        for some in (some for batch in batches for some in parts(batch)):
+            for key, n, raw, own in zip(*(some.column(i).to_pylist() for i in range(4)), strict=True):
                 if keys and (own != part or total + n > FILE_IDS):
                     yield save()
                     place, keys, ids, total = place + 1, [], [], 0

@@ -189,6 +189,18 @@ def brute_tokens(rows, path, end):
     return [(i, np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, end], "<u4")) for i, t in rows]
 
 
+def test_packing_a_full_file_of_token_blocks_takes_little_memory_beside_its_ids():
+    ids = (np.random.default_rng(3).zipf(1.3, 1_500_100) % 49_000).astype("<u4")
+    tracemalloc.start()
+    blocks, starts = token_blocks.encode_ids(ids)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3 * ids.nbytes  # 10 times, when all blocks were taken apart at once
+    sizes = [token_blocks.BLOCK] * (len(blocks) - 1) + [len(ids) % token_blocks.BLOCK]
+    assert (np.concatenate([token_blocks.decode_block(b, n) for b, n in zip(blocks, sizes, strict=True)]) == ids).all()
+    assert starts.tolist() == [0, *np.cumsum([len(b) for b in blocks])[:-1].tolist()]
+
+
 def test_token_files_equal_brute_force(spark, small):
     docs = table(small, "documents").sort_values("doc_id")
     wanted, start = [], 0
