@@ -558,6 +558,31 @@ def test_resampling_equals_brute_force(spark, small):
     assert {i for i in weight if found["kept"][i]} == set(sorted(key, key=lambda i: (-key[i], i))[:drawn])
 
 
+def test_resampling_learns_from_all_labelled_documents(spark):
+    n = 20_600
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.format_string("a%d b%d", F.col("id") % 7, F.col("id") % 50).alias("text"))
+    labels = docs.select("doc_id", F.when(F.col("doc_id") % 50 < 10, 0).otherwise(1).alias("quality"))
+    assert importance.labelled_ids(labels, "quality").count() == n
+    found = importance.resample(docs, labels).withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2))).toPandas()
+    data = "".join(found["text"]).encode()
+    ends = np.concatenate([[0], np.cumsum([len(t) for t in found["text"]])])
+    grams, owner = importance.gram_buckets(np.frombuffer(data, np.uint8), ends)
+    good = (found["doc_id"] % 50 >= 10).to_numpy()
+    raw, target = (np.bincount(g, minlength=importance.BUCKETS) for g in (grams, grams[(good & (found["half"] == 0))[owner]]))
+    ratio = np.log((target + importance.SHRINK) / (raw * target.sum() / raw.sum() + importance.SHRINK))
+    weight = np.bincount(owner, ratio[grams]) / np.bincount(owner) * importance.EFFECTIVE_LENGTH
+    assert np.abs(found["log_weight"] - weight).max() < 1e-9
+    reached = np.quantile(weight[good & (found["half"] == 1)], 1 - importance.RECALL)
+    assert found["kept"].sum() == (weight >= reached - 1e-12).sum()
+
+
+@pytest.mark.parametrize("share", [0.0, 0.002, 0.5, 0.77, 1.0])
+def test_percentile_is_that_of_spark(spark, share):
+    rows = spark.createDataFrame([((i * 37 % 11) / 7,) for i in range(53)], "x double")
+    assert importance._percentile(rows, "x", share) == pytest.approx(rows.agg(F.percentile("x", share)).first()[0], abs=1e-15)
+    assert importance._percentile(rows.where("x < 0"), "x", share) is None
+
+
 def test_resampling_of_odd_rows(spark):
     labels = spark.createDataFrame([(i, 1) for i in range(9)] + [(None, 1), (4, 0)], "doc_id long, quality int")
     found = importance.resample(odd_docs(spark), labels)
