@@ -4,9 +4,11 @@ from dataclasses import replace
 
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
 from recordlens.operators import features, linear, training, vectorize
 from recordlens.plans.queries import DOCUMENT_RECIPE, QUERIES
 from recordlens.plans.tables import labelled
+from recordlens.sources import scratch
 
 
 @pytest.fixture(scope="module")
@@ -63,3 +65,33 @@ def test_coefficients_in_tables_are_those_of_spark(spark, folder, monkeypatch, t
     assert len(wanted) == rows.count() and ours == pytest.approx(wanted, abs=5e-3)  # both stop by a tolerance
     assert loaded == pytest.approx(ours, abs=1e-12)
     assert {r["doc_id"]: r["p1"] for r in by_weights.collect()} == pytest.approx(ours, abs=1e-9)
+
+
+@pytest.mark.parametrize("name, tables", [("assembled_slots", 5), ("term_table_agreement", 4)])
+def test_vector_queries_keep_only_the_tables_they_read(spark, folder, monkeypatch, tmp_path, name, tables):
+    monkeypatch.setattr(features, "DRIVER_TERMS", 20)
+    monkeypatch.setattr(vectorize, "HEAD_TERMS", 5)
+    monkeypatch.setattr(scratch, "_root", lambda spark: str(tmp_path))
+    assert rows_of(spark, folder, name)
+    assert len([path for path in tmp_path.iterdir() if path.is_dir()]) <= tables
+
+
+def test_slots_of_repeated_and_null_ids(spark, folder, tmp_path):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id < 8")
+    ids = F.when(F.col("doc_id") < 3, 1).when(F.col("doc_id") > 5, None).otherwise(F.col("doc_id")).cast("long")
+    docs.withColumn("doc_id", ids).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = training.training_input(spark.read.parquet(f"{tmp_path}/documents.parquet").withColumn("quality", F.lit(0)), DOCUMENT_RECIPE)
+    made = training.fit_features(training.token_rows(rows, DOCUMENT_RECIPE), DOCUMENT_RECIPE).transform(training.token_rows(rows, DOCUMENT_RECIPE))
+    entries, counted = {}, 0
+    for r in made.collect():
+        vector = r["join_features"]
+        entries.setdefault((r["doc_id"], r["doc_id"] is None and id(r)), []).append({i: v for i, v in enumerate(vector.toArray()) if v})
+    different = 0
+    for (doc_id, _), held in entries.items():
+        for place in set().union(*held):
+            values = [h[place] for h in held if place in h]
+            # Each row's entry meets those of all rows of its id; null ids meet none.
+            counted += len(values) ** 2 if doc_id is not None else len(values)
+            different += sum(x != y for x in values for y in values) if doc_id is not None else 2 * len(values)
+    found = QUERIES["assembled_slots"](spark, str(tmp_path)).first()
+    assert (found["n_entries"], found["n_different"]) == (counted, different)
