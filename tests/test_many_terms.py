@@ -5,7 +5,7 @@ from dataclasses import replace
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
-from recordlens.operators import features, linear, training, vectorize
+from recordlens.operators import features, linear, training, vectorize, wide
 from recordlens.plans.queries import DOCUMENT_RECIPE, QUERIES
 from recordlens.plans.tables import labelled
 from recordlens.sources import scratch
@@ -95,3 +95,14 @@ def test_slots_of_repeated_and_null_ids(spark, folder, tmp_path):
             different += sum(x != y for x in values for y in values) if doc_id is not None else 2 * len(values)
     found = QUERIES["assembled_slots"](spark, str(tmp_path)).first()
     assert (found["n_entries"], found["n_different"]) == (counted, different)
+
+
+def test_steps_of_the_regression_write_numbers_only(spark, folder, monkeypatch):
+    monkeypatch.setattr(features, "DRIVER_TERMS", 20)
+    monkeypatch.setattr(vectorize, "HEAD_TERMS", 5)
+    written, put = [], wide._Steps.put
+    monkeypatch.setattr(wide._Steps, "put", lambda self, df: (written.append(df.schema), put(self, df))[1])
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    training.fit_each(training.training_input(labelled(spark, folder), DOCUMENT_RECIPE), replace(DOCUMENT_RECIPE, max_iter=2), ("join_features", "features"))
+    assert len(written) > 2 and {f.dataType.simpleString() for schema in written for f in schema} <= {"bigint", "double"}
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
